@@ -1,0 +1,64 @@
+import pytest
+
+from tidemark.plans.job import JobConfig
+from tidemark.sources import broker, dictionary
+
+ENV = {
+    "BOOTSTRAP_SERVERS": "b:9092",
+    "CLIENT_ID": "c",
+    "GROUP_ID": "g",
+    "TOPIC_NAME": "orders",
+    "WRITE_TO": "hdfs://n/stores",
+    "JDBC_URL": "jdbc:x",
+    "DB_USER": "u",
+    "DB_PASSWORD": "p",
+    "DB_DRIVER": "d",
+}
+
+
+def test_range_options():
+    options = broker.range_options("b:9092", "orders", '{"orders":{"0":1}}', '{"orders":{"0":5}}', "g")
+    assert options == {
+        "subscribe": "orders",
+        "kafka.bootstrap.servers": "b:9092",
+        "kafka.group.id": "g",
+        "startingOffsets": '{"orders":{"0":1}}',
+        "endingOffsets": '{"orders":{"0":5}}',
+    }
+    assert "kafka.group.id" not in broker.subscription("b:9092", "orders")
+
+
+def test_jdbc_options():
+    plain = dictionary.jdbc_options("jdbc:x", "shops", "u", "p", "d")
+    assert plain == {
+        "url": "jdbc:x",
+        "dbtable": "shops",
+        "user": "u",
+        "password": "p",
+        "driver": "d",
+    }
+    cut = dictionary.jdbc_options("jdbc:x", "shops", "u", "p", "d", (1, 900), 8)
+    assert {k: cut[k] for k in cut.keys() - plain.keys()} == {
+        "partitionColumn": "id",
+        "lowerBound": "1",
+        "upperBound": "900",
+        "numPartitions": "8",
+    }
+
+
+def test_dictionary_from_a_table(spark, tmp_path):
+    path = str(tmp_path / "shops")
+    spark.createDataFrame([(1, "a", 5)], "key int, label string, extra int").write.parquet(path)
+    shops = dictionary.read_dictionary(spark, {"path": path}, "parquet", "key", "label")
+    assert shops.columns == ["id", "name"]
+    assert tuple(shops.first()) == (1, "a")
+
+
+def test_config_from_environment():
+    config = JobConfig.from_env(ENV)
+    assert (config.topic, config.write_to, config.batch_size) == ("orders", "hdfs://n/stores", 5000)
+    assert config.dictionary["dbtable"] == "shops"
+    assert config.broker["kafka.group.id"] == "g"
+    assert JobConfig.from_env({**ENV, "BATCH_SIZE": "70"}).batch_size == 70
+    with pytest.raises(KeyError):
+        JobConfig.from_env({k: v for k, v in ENV.items() if k != "TOPIC_NAME"})

@@ -25,6 +25,7 @@ def run_metrics(flat: DataFrame, stored: DataFrame, dictionary: DataFrame) -> Da
     although they collapse to one row that goes to a store.
     """
     survivors = dedup.dedup_in_batch(flat, copies=n.COPIES)
+    stored = dedup.only_weeks(stored, dedup.weeks_of(flat))
     has_id = F.col(n.ID).isNotNull()
     seen = F.coalesce(F.col(_SEEN), F.lit(False))
     copies = F.col(n.COPIES)

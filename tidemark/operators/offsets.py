@@ -40,24 +40,18 @@ def latest_offsets(log: DataFrame) -> DataFrame:
 
 
 def committed_offsets(state: DataFrame, topic: str | None = None) -> DataFrame:
-    """Last committed offset of each topic partition, out of the append-only state."""
+    """Last committed offset of each topic partition, out of the append-only state,
+    and the batch that committed it."""
     if topic is not None:
         state = state.filter(F.col(n.TOPIC) == topic)
     return state.groupBy(n.TOPIC, n.PARTITION).agg(
-        F.max_by(n.OFFSET, "batch_id").alias(n.OFFSET)
+        F.max_by(n.OFFSET, "batch_id").alias(n.OFFSET), F.max("batch_id").alias("batch_id")
     )
 
 
 def upsert_offsets(state: DataFrame, new: DataFrame) -> DataFrame:
     """State after a commit: per topic partition the row of the highest batch."""
-    return (
-        state.unionByName(new)
-        .groupBy(n.TOPIC, n.PARTITION)
-        .agg(
-            F.max_by(n.OFFSET, "batch_id").alias(n.OFFSET),
-            F.max("batch_id").alias("batch_id"),
-        )
-    )
+    return committed_offsets(state.unionByName(new))
 
 
 def _with_committed(bounds: DataFrame, committed: DataFrame) -> DataFrame:
@@ -68,11 +62,14 @@ def _with_committed(bounds: DataFrame, committed: DataFrame) -> DataFrame:
 def starting_offsets(bounds: DataFrame, committed: DataFrame) -> DataFrame:
     """Where each topic partition is read from: its committed offset, else its earliest.
 
-    A committed offset before the first one kept, or past the end of a topic that
-    was created anew, is moved into the log; `moved` tells so.
+    A committed offset before the first one kept moves up to it. One past the end
+    belongs to a topic that was created anew, which is read from its start. `moved`
+    tells of both.
     """
     wanted = F.coalesce(COMMITTED, EARLIEST)
-    inside = F.least(F.greatest(wanted, F.col(EARLIEST)), F.col(LATEST))
+    inside = F.when(wanted.between(F.col(EARLIEST), F.col(LATEST)), wanted).otherwise(
+        F.col(EARLIEST)
+    )
     return _with_committed(bounds, committed).select(
         n.TOPIC,
         n.PARTITION,
@@ -107,7 +104,7 @@ def _unread(log: DataFrame, committed: list[Row]) -> DataFrame:
     return log.filter(seen & reduce(lambda a, b: a | b, tails)).union(log.filter(~seen))
 
 
-def plan_unread(log: DataFrame, committed: DataFrame, batch_size: int) -> DataFrame:
+def plan_unread(log: DataFrame, committed: DataFrame, batch_size: int) -> list[Row]:
     """Like `plan_offsets`, but looks only at what lies past the committed offsets, and
     is fixed: it does not change when the log grows later.
 
@@ -117,48 +114,52 @@ def plan_unread(log: DataFrame, committed: DataFrame, batch_size: int) -> DataFr
     """
     known = committed.collect()
     log = log.select(n.TOPIC, n.PARTITION, n.OFFSET)
+
+    def planned(part: DataFrame) -> list[Row]:
+        starts = starting_offsets(log_bounds(part), committed)
+        return ending_offsets(starts, batch_size).collect()
+
     if not known:
-        bounds = log_bounds(log).collect()
-    else:
-        bounds = log_bounds(_unread(log, known)).collect()
-        found = {row[n.PARTITION] for row in bounds}
-        idle = [row[n.PARTITION] for row in known if row[n.PARTITION] not in found]
-        if idle:
-            bounds += log_bounds(log.filter(F.col(n.PARTITION).isin(idle))).collect()
-    spark = log.sparkSession
-    ddl = f"topic STRING, partition INT, {EARLIEST} LONG, {LATEST} LONG"
-    starts = starting_offsets(spark.createDataFrame(bounds, ddl), committed)
-    plan = ending_offsets(starts, batch_size)
-    return spark.createDataFrame(plan.collect(), plan.schema)
+        return planned(log)
+    plan = planned(_unread(log, known))
+    found = {row[n.PARTITION] for row in plan}
+    idle = [row[n.PARTITION] for row in known if row[n.PARTITION] not in found]
+    return plan + planned(log.filter(F.col(n.PARTITION).isin(idle))) if idle else plan
 
 
 def range_filter(log: DataFrame, ranges: list[Row]) -> DataFrame:
-    """Rows with start <= offset < end in their partition, as literals for the scan."""
-    if not ranges:
-        return log.filter(F.lit(False))
+    """Rows with start <= offset < end in their partition.
+
+    The ranges become literals, which prune partitions and row groups of the log.
+    """
     wanted = [
         (F.col(n.PARTITION) == r[n.PARTITION])
         & (F.col(n.OFFSET) >= r[START])
         & (F.col(n.OFFSET) < r[END])
         for r in ranges
+        if r[START] < r[END]
     ]
-    return log.filter(reduce(lambda a, b: a | b, wanted))
-
+    return log.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
-def log_range_scan(log: DataFrame, plan: DataFrame) -> DataFrame:
-    """Messages of one topic inside the planned ranges.
 
-    The ranges become literals, which prune partitions and row groups of the log.
-    A plan of very many partitions is joined instead, behind the outermost bounds.
-    """
-    ranges = plan.select(n.PARTITION, START, END).filter(F.col(START) < F.col(END))
-    rows = ranges.limit(MAX_LITERAL_RANGES + 1).collect()
-    if len(rows) <= MAX_LITERAL_RANGES:
-        return range_filter(log, rows)
+def range_join(log: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The same for a topic of very many partitions, behind the outermost bounds."""
     low, high = ranges.agg(F.min(START), F.max(END)).first()
     inside = log.filter((F.col(n.OFFSET) >= low) & (F.col(n.OFFSET) < high))
+    limits = F.broadcast(ranges.select(n.PARTITION, START, END))
     return (
-        inside.join(F.broadcast(ranges), n.PARTITION)
+        inside.join(limits, n.PARTITION)
         .filter((F.col(n.OFFSET) >= F.col(START)) & (F.col(n.OFFSET) < F.col(END)))
         .select(*log.columns)
     )
+
+
+def log_range_scan(log: DataFrame, plan: DataFrame | list[Row]) -> DataFrame:
+    """Messages of one topic inside the planned ranges."""
+    ranges = plan.collect() if isinstance(plan, DataFrame) else plan
+    if len(ranges) <= MAX_LITERAL_RANGES:
+        return range_filter(log, ranges)
+    columns = [n.PARTITION, START, END]
+    rows = [tuple(r[c] for c in columns) for r in ranges]
+    ddl = f"{n.PARTITION} INT, {START} LONG, {END} LONG"
+    return range_join(log, log.sparkSession.createDataFrame(rows, ddl))

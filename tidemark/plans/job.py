@@ -1,18 +1,22 @@
 """The ingestion job over a message log table: bounded batches, offsets committed last."""
 
+import logging
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.operators.offsets import END, START, log_range_scan, plan_unread
 from tidemark.plans.batch import BatchReport, store_batch
 from tidemark.sources import broker
 from tidemark.sources.dictionary import jdbc_options, read_dictionary
-from tidemark.sources.offset_table import commit_offsets, find_offsets, next_batch_id
+from tidemark.sources.offset_table import commit_offsets, find_offsets
 from tidemark.sources.store import store_path
 
+logger = logging.getLogger(__name__)
+
 DEFAULT_BATCH_SIZE = 5000
 
 
@@ -60,11 +64,23 @@ def incremental_batch(
     """
     spark = log.sparkSession
     log = log.filter(log[n.TOPIC] == config.topic)
-    committed = find_offsets(spark, config.offsets_path, config.topic)
-    plan = plan_unread(log, committed, config.batch_size)
-    if plan.filter(plan[START] < plan[END]).isEmpty():
+    committed = find_offsets(spark, config.offsets_path, config.topic).persist()
+    try:
+        plan = plan_unread(log, committed, config.batch_size)
+        last_batch = committed.agg(F.max("batch_id")).first()[0]
+    finally:
+        committed.unpersist()
+    if all(r[START] >= r[END] for r in plan):
         return None
-    batch_id = next_batch_id(spark, config.offsets_path, config.topic)
+    for row in plan:
+        if row["moved"]:
+            logger.warning(
+                "%s[%s]: the committed offset is not in the log, reading from %s",
+                config.topic,
+                row[n.PARTITION],
+                row[START],
+            )
+    batch_id = 0 if last_batch is None else last_batch + 1
     report = store_batch(
         log_range_scan(log, plan),
         dictionary,
@@ -72,7 +88,7 @@ def incremental_batch(
         replay_safe=config.replay_safe,
         quarantine=config.quarantine,
     )
-    commit_offsets(plan, config.offsets_path, batch_id)
+    commit_offsets(spark, plan, config.offsets_path, batch_id)
     return batch_id, report
 
 

@@ -1,8 +1,7 @@
 """Committed offsets as an append-only table: one row per topic partition and commit."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark import names as n
 from tidemark.operators.offsets import END, committed_offsets
@@ -22,17 +21,10 @@ def find_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return committed_offsets(read_state(spark, path), topic)
 
 
-def next_batch_id(spark: SparkSession, path: str, topic: str) -> int:
-    state = read_state(spark, path).filter(F.col(n.TOPIC) == topic)
-    return state.agg(F.coalesce(F.max("batch_id") + 1, F.lit(0))).first()[0]
-
-
-def commit_offsets(plan: DataFrame, path: str, batch_id: int) -> None:
+def commit_offsets(
+    spark: SparkSession, plan: list[Row], path: str, batch_id: int
+) -> None:
     """End offsets of a plan as the latest commit; a repeated commit changes nothing."""
-    rows = plan.select(
-        n.TOPIC,
-        n.PARTITION,
-        F.col(END).alias(n.OFFSET),
-        F.lit(batch_id).cast("long").alias("batch_id"),
-    )
-    rows.coalesce(1).write.mode("append").partitionBy(n.TOPIC).parquet(path)
+    rows = [(r[n.TOPIC], r[n.PARTITION], r[END], batch_id) for r in plan]
+    commit = spark.createDataFrame(rows, n.OFFSET_STATE_DDL)
+    commit.coalesce(1).write.mode("append").partitionBy(n.TOPIC).parquet(path)

@@ -68,16 +68,16 @@ state as (
     cast(2 as bigint) as batch_id
   from bounds where partition < 2),
 committed as (
-  select topic, partition, arg_max("offset", batch_id) as "offset"
+  select topic, partition, arg_max("offset", batch_id) as "offset", max(batch_id) as batch_id
   from state group by topic, partition)"""
 
 STARTS = f"""{STATE},
 starts as (
   select b.topic, b.partition, b.earliest_offset, b.latest_offset,
-    least(greatest(coalesce(c."offset", b.earliest_offset), b.earliest_offset), b.latest_offset)
-      as start_offset,
-    least(greatest(coalesce(c."offset", b.earliest_offset), b.earliest_offset), b.latest_offset)
-      <> coalesce(c."offset", b.earliest_offset) as moved
+    case when c."offset" between b.earliest_offset and b.latest_offset then c."offset"
+      else b.earliest_offset end as start_offset,
+    c."offset" is not null and c."offset" not between b.earliest_offset and b.latest_offset
+      as moved
   from bounds b left join committed c on b.topic = c.topic and b.partition = c.partition)"""
 
 
