@@ -5,7 +5,7 @@ from tidemark.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session()
+    session = local_session("4", shuffle_partitions="4")
     yield session
     session.stop()
 

@@ -143,6 +143,13 @@ def test_null_ids_collapse_or_are_set_aside(spark, tmp_path):
     assert sorted(r["offset"] for r in aside.collect()) == [3, 4, 5, 6]
 
 
+def test_a_safe_replay_sets_no_message_aside_twice(spark, tmp_path):
+    log = log_of(spark, [*THREE, message(3, None, value="not json")])
+    for _ in range(2):
+        store_batch(log, shops(spark), str(tmp_path), replay_safe=True, quarantine=True)
+    assert spark.read.parquet(str(tmp_path / n.QUARANTINE)).count() == 1
+
+
 def test_only_invalid_messages_with_quarantine(spark, tmp_path):
     log = log_of(spark, [message(0, None, value="")])
     report = store_batch(log, shops(spark), str(tmp_path), quarantine=True)

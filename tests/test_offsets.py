@@ -98,6 +98,13 @@ def test_offset_table_insert_update_and_absence(spark, tmp_path):
     commit("t", 25, 1)
     assert offset_table.find_offsets(spark, path, "t").first()["offset"] == 25
     assert offset_table.find_offsets(spark, path, "absent").count() == 0
+    compacted = str(tmp_path / "compacted")
+    offset_table.compact(spark, path, compacted)
+    for topic in ("t", "u", "absent"):
+        before, after = (
+            offset_table.find_offsets(spark, p, topic).collect() for p in (path, compacted)
+        )
+        assert before == after
 
 
 BOUND = st.tuples(st.integers(0, 20), st.integers(1, 15))

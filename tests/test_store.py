@@ -1,7 +1,6 @@
 from pathlib import Path
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -48,9 +47,25 @@ def test_missing_and_empty_stores_have_no_rows(spark, tmp_path):
     assert empty.count() == 0 and empty.columns == n.RESULT_COLUMNS
 
 
-def test_other_errors_are_raised(spark, tmp_path):
-    with pytest.raises(AnalysisException):
-        store.read_store(spark, str(tmp_path), ddl="no such type")
+def test_other_errors_are_raised(spark):
+    with pytest.raises(Exception, match="nosuchscheme"):
+        store.read_store(spark, "nosuchscheme://host/stores")
+
+
+def test_only_the_asked_weeks_are_listed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    store.write_routed(routed(spark, 300, weeks=5), root)
+    whole = store.read_store(spark, root)
+    weeks = [(2022, 2), (2022, 4), (2022, 40), (None, 1)]
+    some = store.read_store(spark, root, weeks=weeks)
+    expected = whole.filter("week_number in (2, 4)")
+    assert some.columns == whole.columns and some.schema == whole.schema
+    assert sorted(some.collect()) == sorted(expected.collect())
+    assert {Path(f).parent.name for f in some.inputFiles()} == {"week_number=2", "week_number=4"}
+    for none in ([(2022, 40)], [(2021, 2)], [], [(None, None)]):
+        assert store.read_store(spark, root, weeks=none).isEmpty()
+    monkeypatch.setattr(store, "MAX_LISTED_WEEKS", 1)
+    assert len(store.read_store(spark, root, weeks=weeks).inputFiles()) == len(whole.inputFiles())
 
 
 def test_append_adds_and_a_frame_read_before_does_not_change(spark, tmp_path):

@@ -7,6 +7,9 @@ from tidemark import names as n
 from tidemark.operators import dedup, offsets
 from tidemark.operators.enrich import enrich_with_dictionary
 
+# Committed offsets of up to this many topic partitions are broadcast.
+MAX_BROADCAST_PARTITIONS = 500_000
+
 _SEEN = "__seen"
 
 
@@ -69,12 +72,17 @@ def partition_lag(log: DataFrame, committed: DataFrame) -> DataFrame:
 
 
 def log_volume(log: DataFrame, committed: DataFrame) -> DataFrame:
-    """Messages written to, and read so far from, each topic partition."""
+    """Messages written to, and read so far from, each topic partition.
+
+    The committed offsets are broadcast if they are as few as they should be.
+    """
     known = committed.select(n.TOPIC, n.PARTITION, F.col(n.OFFSET).alias(offsets.COMMITTED))
+    if known.count() <= MAX_BROADCAST_PARTITIONS:
+        known = F.broadcast(known)
     read = F.col(n.OFFSET) < F.col(offsets.COMMITTED)
     return (
         log.select(n.TOPIC, n.PARTITION, n.OFFSET)
-        .join(F.broadcast(known), [n.TOPIC, n.PARTITION], "left")
+        .join(known, [n.TOPIC, n.PARTITION], "left")
         .groupBy(n.TOPIC, n.PARTITION)
         .agg(F.count(F.lit(1)).alias("written"), F.count_if(read).alias("read"))
     )

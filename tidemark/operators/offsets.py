@@ -1,8 +1,7 @@
 """Planning of bounded per-partition offset ranges over a message log.
 
-Offset frames hold one row per topic partition. That is what a topic has
-partitions, whatever the log holds, and the bound for what is broadcast or
-collected here.
+Offset frames hold one row per topic partition, however long the log is; plans of
+that length are what is collected here.
 """
 
 from functools import reduce
@@ -56,7 +55,7 @@ def upsert_offsets(state: DataFrame, new: DataFrame) -> DataFrame:
 
 def _with_committed(bounds: DataFrame, committed: DataFrame) -> DataFrame:
     known = committed.select(n.TOPIC, n.PARTITION, F.col(n.OFFSET).alias(COMMITTED))
-    return bounds.join(F.broadcast(known), [n.TOPIC, n.PARTITION], "left")
+    return bounds.join(known, [n.TOPIC, n.PARTITION], "left")
 
 
 def starting_offsets(bounds: DataFrame, committed: DataFrame) -> DataFrame:
@@ -77,6 +76,7 @@ def starting_offsets(bounds: DataFrame, committed: DataFrame) -> DataFrame:
         LATEST,
         inside.alias(START),
         (inside != wanted).alias("moved"),
+        COMMITTED,
     )
 
 
@@ -143,7 +143,10 @@ def range_filter(log: DataFrame, ranges: list[Row]) -> DataFrame:
 
 
 def range_join(log: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The same for a topic of very many partitions, behind the outermost bounds."""
+    """The same for a topic of very many partitions, behind the outermost bounds.
+
+    `ranges` is a plan that has been collected before, and is broadcast.
+    """
     low, high = ranges.agg(F.min(START), F.max(END)).first()
     inside = log.filter((F.col(n.OFFSET) >= low) & (F.col(n.OFFSET) < high))
     limits = F.broadcast(ranges.select(n.PARTITION, START, END))

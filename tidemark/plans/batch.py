@@ -17,7 +17,7 @@ from tidemark.operators.dedup import (
 )
 from tidemark.operators.enrich import enrich_with_dictionary, route
 from tidemark.scratch import ensure_checkpoint_dir
-from tidemark.sources.store import read_store, store_path, write_routed
+from tidemark.sources.store import append_quarantine, read_store, write_routed
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,7 @@ def store_batch(
         messages, invalid = split_invalid(messages)
         set_aside = invalid.count()
         if set_aside:
-            invalid.write.mode("append").parquet(store_path(root, n.QUARANTINE))
+            append_quarantine(invalid, root, replay_safe)
 
     flat = flatten_messages(messages, keep=_position(messages))
     survivors = dedup_in_batch(flat, copies=n.COPIES).persist(StorageLevel.MEMORY_AND_DISK)
@@ -108,7 +108,7 @@ def store_batch(
             else None
         )
         fresh = anti_join_stored(
-            survivors, read_store(spark, root, n.SUCCESS), pairs, id_range, kept
+            survivors, read_store(spark, root, n.SUCCESS, pairs), pairs, id_range, kept
         )
         rows = enrich_with_dictionary(fresh, dictionary).checkpoint()
     finally:
@@ -116,7 +116,7 @@ def store_batch(
 
     failed_before = None
     if replay_safe:
-        failed_before = only_weeks(read_store(spark, root, n.FAILED), pairs)
+        failed_before = only_weeks(read_store(spark, root, n.FAILED, pairs), pairs)
     success, failed = write_routed(rows, root, failed_before, max_rows_per_file)
     return BatchReport(
         read=read + set_aside,

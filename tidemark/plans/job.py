@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.operators.offsets import END, START, log_range_scan, plan_unread
+from tidemark.operators.offsets import COMMITTED, END, START, log_range_scan, plan_unread
 from tidemark.plans.batch import BatchReport, store_batch
 from tidemark.sources import broker
 from tidemark.sources.dictionary import jdbc_options, read_dictionary
@@ -33,10 +33,11 @@ class JobConfig:
     replay_safe: bool = False
     quarantine: bool = False
     broker: Mapping[str, str] = field(default_factory=dict)
+    offsets: str | None = None
 
     @property
     def offsets_path(self) -> str:
-        return store_path(self.write_to, "offsets")
+        return self.offsets or store_path(self.write_to, "offsets")
 
     @classmethod
     def from_env(cls, env: Mapping[str, str]) -> "JobConfig":
@@ -74,10 +75,12 @@ def incremental_batch(
         return None
     for row in plan:
         if row["moved"]:
-            logger.warning(
-                "%s[%s]: the committed offset is not in the log, reading from %s",
+            logger.log(
+                logging.WARNING if row[START] < row[COMMITTED] else logging.INFO,
+                "%s[%s]: offset %s is not in the log, reading from %s",
                 config.topic,
                 row[n.PARTITION],
+                row[COMMITTED],
                 row[START],
             )
     batch_id = 0 if last_batch is None else last_batch + 1

@@ -3,14 +3,16 @@
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: str = "8", memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: str = "8", memory: str = "8g", shuffle_partitions: str = "8"
+) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark-local")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", memory)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()

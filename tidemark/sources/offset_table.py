@@ -1,5 +1,6 @@
 """Committed offsets as an append-only table: one row per topic partition and commit."""
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -13,7 +14,7 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], n.OFFSET_STATE_DDL)
+        return spark.createDataFrame([], n.OFFSET_STATE_DDL).limit(0)
 
 
 def find_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
@@ -21,10 +22,22 @@ def find_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return committed_offsets(read_state(spark, path), topic)
 
 
-def commit_offsets(
-    spark: SparkSession, plan: list[Row], path: str, batch_id: int
-) -> None:
+def commit_offsets(spark: SparkSession, plan: list[Row], path: str, batch_id: int) -> None:
     """End offsets of a plan as the latest commit; a repeated commit changes nothing."""
-    rows = [(r[n.TOPIC], r[n.PARTITION], r[END], batch_id) for r in plan]
-    commit = spark.createDataFrame(rows, n.OFFSET_STATE_DDL)
-    commit.coalesce(1).write.mode("append").partitionBy(n.TOPIC).parquet(path)
+    commit = pa.table(
+        {
+            n.TOPIC: pa.array([r[n.TOPIC] for r in plan], pa.string()),
+            n.PARTITION: pa.array([r[n.PARTITION] for r in plan], pa.int32()),
+            n.OFFSET: pa.array([r[END] for r in plan], pa.int64()),
+            "batch_id": pa.array([batch_id] * len(plan), pa.int64()),
+        }
+    )
+    rows = spark.createDataFrame(commit).coalesce(1)
+    rows.write.mode("append").partitionBy(n.TOPIC).parquet(path)
+
+
+def compact(spark: SparkSession, path: str, new_path: str) -> None:
+    """The last commits of a table as a new one of one file per topic, for when years
+    of runs have left many small files. The old table stays as it is."""
+    last = committed_offsets(read_state(spark, path))
+    last.repartition(n.TOPIC).write.partitionBy(n.TOPIC).parquet(new_path)

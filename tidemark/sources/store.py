@@ -1,5 +1,7 @@
 """The parquet stores of routed rows, laid out by year and week of arrival."""
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -7,21 +9,44 @@ from pyspark.sql import functions as F
 from tidemark import names as n
 from tidemark.operators.enrich import matched, unmatched
 
+# Up to this many weeks are named one by one when a store is listed.
+MAX_LISTED_WEEKS = 200
+
 
 def store_path(root: str, store: str) -> str:
     return f"{root.rstrip('/')}/{store}"
 
 
 def read_store(
-    spark: SparkSession, root: str, store: str = n.SUCCESS, ddl: str = n.RESULT_DDL
+    spark: SparkSession,
+    root: str,
+    store: str = n.SUCCESS,
+    weeks: Sequence[tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """All rows of a store. One that was never written has none; other errors are raised."""
+    """Rows of a store. One that was never written has none; other errors are raised.
+
+    With `weeks`, only the directories of these (year, week) pairs are listed, so
+    that the cost of a batch does not grow with the age of the store.
+    """
+    base = path = store_path(root, store)
+    if weeks is not None:
+        known = sorted({pair for pair in weeks if None not in pair})
+        if not known:
+            return _no_rows(spark)
+        if len(known) <= MAX_LISTED_WEEKS:
+            folders = (f"{n.YEAR}={year}/{n.WEEK_NUMBER}={week}" for year, week in known)
+            path = f"{base}/{{{','.join(folders)}}}"
     try:
-        return spark.read.schema(ddl).parquet(store_path(root, store))
+        return spark.read.schema(n.RESULT_DDL).option("basePath", base).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ddl)
+        return _no_rows(spark)
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    # A limit of zero is planned as an empty relation, and joins with it away.
+    return spark.createDataFrame([], n.RESULT_DDL).limit(0)
 
 
 def distribute_by_partition(rows: DataFrame) -> DataFrame:
@@ -74,3 +99,18 @@ def write_routed(
             lost = not_yet_in(lost, failed_before)
         append_partitioned(lost, store_path(root, n.FAILED), max_rows_per_file)
     return success, failed
+
+
+def append_quarantine(messages: DataFrame, root: str, replay_safe: bool = False) -> None:
+    """Invalid messages as they came. On a replay, those already there are left out;
+    a message is known by its place in the log."""
+    path = store_path(root, n.QUARANTINE)
+    place = [c for c in (n.TOPIC, *n.POSITION) if c in messages.columns]
+    if replay_safe and n.OFFSET in place:
+        try:
+            before = messages.sparkSession.read.schema(messages.schema).parquet(path)
+            messages = messages.join(before.select(*place), place, "left_anti")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    messages.write.mode("append").parquet(path)

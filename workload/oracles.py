@@ -77,7 +77,8 @@ starts as (
     case when c."offset" between b.earliest_offset and b.latest_offset then c."offset"
       else b.earliest_offset end as start_offset,
     c."offset" is not null and c."offset" not between b.earliest_offset and b.latest_offset
-      as moved
+      as moved,
+    c."offset" as committed_offset
   from bounds b left join committed c on b.topic = c.topic and b.partition = c.partition)"""
 
 
@@ -90,11 +91,22 @@ plan as (
 QUARTER = """(select (max("offset") + 1 - min("offset")) // 4 + 1 from log)"""
 THIRD = """(select (max("offset") + 1 - min("offset")) // 3 + 1 from log)"""
 
-# Batches of the backfill: what is stored is looked at batch by batch.
+# Batches of the backfill: each starts at the next offset there is, and what is
+# stored is looked at batch by batch.
 SLICES = f"""{FLAT},
+ranges as (
+  select partition, 0 as slice, min("offset") as low,
+    least(max("offset") + 1, min("offset") + {THIRD}) as high
+  from log group by partition
+  union all
+  select r.partition, r.slice + 1, min(l."offset"),
+    least(max(l."offset") + 1, min(l."offset") + {THIRD})
+  from ranges r join log l on l.partition = r.partition and l."offset" >= r.high
+  group by r.partition, r.slice, r.high),
 sliced as (
-  select f.*, ("offset" - min("offset") over (partition by partition)) // {THIRD} as slice
-  from flat f),
+  select f.*, r.slice
+  from flat f join ranges r
+    on f.partition = r.partition and f."offset" >= r.low and f."offset" < r.high),
 kept as (
   select * from sliced
   qualify row_number() over (partition by slice, id order by receive_time, partition, "offset") = 1),
@@ -211,9 +223,9 @@ def oracle_sql() -> dict[str, str]:
         "distribute_by_partition": f"""with {FLAT}
             select id, shop_id, receive_time, order_timestamp, year, week_number from flat""",
         # Incremental
-        "incremental_batch": f"""with {SLICES}
+        "incremental_batch": f"""with recursive {SLICES}
             select {RESULT}, {ROUTE} from named where slice = 0""",
-        "backfill": f"""with {SLICES}
+        "backfill": f"""with recursive {SLICES}
             select {RESULT}, 'success' as route from stored
             union all
             select {RESULT}, 'failed' as route from refused""",

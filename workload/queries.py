@@ -110,10 +110,12 @@ def job_config(spark: SparkSession, batch_size: int, sf_dir: str = "") -> job.Jo
 
 def kafka_range_source(spark, sf_dir):
     """The two offset options of a bounded read, as rendered for the connector."""
-    plan = quarter_plan(message_log(spark, sf_dir))
-    starting = offsets_to_json(plan, offsets.START, "starting_offsets")
-    ending = offsets_to_json(plan, offsets.END, "ending_offsets")
-    return starting.join(ending, n.TOPIC).withColumnRenamed(n.TOPIC, "subscribe")
+    texts = offsets_to_json(
+        quarter_plan(message_log(spark, sf_dir)),
+        starting_offsets=offsets.START,
+        ending_offsets=offsets.END,
+    )
+    return texts.withColumnRenamed(n.TOPIC, "subscribe")
 
 
 def log_range_scan(spark, sf_dir):
