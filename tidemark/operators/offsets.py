@@ -6,7 +6,8 @@ that length are what is collected here.
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -21,6 +22,19 @@ COMMITTED = "committed_offset"
 MAX_LITERAL_RANGES = 500
 
 
+def local_offsets(spark: SparkSession, rows: list[Row], offset: str = n.OFFSET) -> DataFrame:
+    """Collected offset rows as a frame again, without a job."""
+    return spark.createDataFrame(
+        pa.table(
+            {
+                n.TOPIC: pa.array([r[n.TOPIC] for r in rows], pa.string()),
+                n.PARTITION: pa.array([r[n.PARTITION] for r in rows], pa.int32()),
+                n.OFFSET: pa.array([r[offset] for r in rows], pa.int64()),
+            }
+        )
+    )
+
+
 def log_bounds(log: DataFrame) -> DataFrame:
     """First offset and one past the last offset of each topic partition."""
     return log.groupBy(n.TOPIC, n.PARTITION).agg(
@@ -104,16 +118,17 @@ def _unread(log: DataFrame, committed: list[Row]) -> DataFrame:
     return log.filter(seen & reduce(lambda a, b: a | b, tails)).union(log.filter(~seen))
 
 
-def plan_unread(log: DataFrame, committed: DataFrame, batch_size: int) -> list[Row]:
+def plan_unread(log: DataFrame, known: list[Row], batch_size: int) -> list[Row]:
     """Like `plan_offsets`, but looks only at what lies past the committed offsets, and
-    is fixed: it does not change when the log grows later.
+    is fixed: it does not change when the log grows later. `known` are the rows of
+    `committed_offsets` for the topic.
 
     Partitions without anything new are looked at as a whole, to tell an idle one
     from one whose topic was created anew. A partition where the log leaves a gap
     after the committed offset is read from the next offset there is.
     """
-    known = committed.collect()
     log = log.select(n.TOPIC, n.PARTITION, n.OFFSET)
+    committed = local_offsets(log.sparkSession, known)
 
     def planned(part: DataFrame) -> list[Row]:
         starts = starting_offsets(log_bounds(part), committed)
@@ -142,16 +157,24 @@ def range_filter(log: DataFrame, ranges: list[Row]) -> DataFrame:
     return log.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
-def range_join(log: DataFrame, ranges: DataFrame) -> DataFrame:
+def range_join(log: DataFrame, ranges: list[Row]) -> DataFrame:
     """The same for a topic of very many partitions, behind the outermost bounds.
 
-    `ranges` is a plan that has been collected before, and is broadcast.
+    The plan, which has been collected already, is broadcast.
     """
-    low, high = ranges.agg(F.min(START), F.max(END)).first()
-    inside = log.filter((F.col(n.OFFSET) >= low) & (F.col(n.OFFSET) < high))
-    limits = F.broadcast(ranges.select(n.PARTITION, START, END))
+    limits = log.sparkSession.createDataFrame(
+        pa.table(
+            {
+                n.PARTITION: pa.array([r[n.PARTITION] for r in ranges], pa.int32()),
+                START: pa.array([r[START] for r in ranges], pa.int64()),
+                END: pa.array([r[END] for r in ranges], pa.int64()),
+            }
+        )
+    )
+    low, high = min(r[START] for r in ranges), max(r[END] for r in ranges)
     return (
-        inside.join(limits, n.PARTITION)
+        log.filter((F.col(n.OFFSET) >= low) & (F.col(n.OFFSET) < high))
+        .join(F.broadcast(limits), n.PARTITION)
         .filter((F.col(n.OFFSET) >= F.col(START)) & (F.col(n.OFFSET) < F.col(END)))
         .select(*log.columns)
     )
@@ -160,9 +183,5 @@ def range_join(log: DataFrame, ranges: DataFrame) -> DataFrame:
 def log_range_scan(log: DataFrame, plan: DataFrame | list[Row]) -> DataFrame:
     """Messages of one topic inside the planned ranges."""
     ranges = plan.collect() if isinstance(plan, DataFrame) else plan
-    if len(ranges) <= MAX_LITERAL_RANGES:
-        return range_filter(log, ranges)
-    columns = [n.PARTITION, START, END]
-    rows = [tuple(r[c] for c in columns) for r in ranges]
-    ddl = f"{n.PARTITION} INT, {START} LONG, {END} LONG"
-    return range_join(log, log.sparkSession.createDataFrame(rows, ddl))
+    few = len(ranges) <= MAX_LITERAL_RANGES
+    return range_filter(log, ranges) if few else range_join(log, ranges)

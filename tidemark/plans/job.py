@@ -5,7 +5,6 @@ from collections.abc import Mapping
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.operators.offsets import COMMITTED, END, START, log_range_scan, plan_unread
@@ -65,12 +64,8 @@ def incremental_batch(
     """
     spark = log.sparkSession
     log = log.filter(log[n.TOPIC] == config.topic)
-    committed = find_offsets(spark, config.offsets_path, config.topic).persist()
-    try:
-        plan = plan_unread(log, committed, config.batch_size)
-        last_batch = committed.agg(F.max("batch_id")).first()[0]
-    finally:
-        committed.unpersist()
+    known = find_offsets(spark, config.offsets_path, config.topic).collect()
+    plan = plan_unread(log, known, config.batch_size)
     if all(r[START] >= r[END] for r in plan):
         return None
     for row in plan:
@@ -83,7 +78,7 @@ def incremental_batch(
                 row[COMMITTED],
                 row[START],
             )
-    batch_id = 0 if last_batch is None else last_batch + 1
+    batch_id = max((row["batch_id"] for row in known), default=-1) + 1
     report = store_batch(
         log_range_scan(log, plan),
         dictionary,

@@ -1,11 +1,11 @@
 """Committed offsets as an append-only table: one row per topic partition and commit."""
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.operators.offsets import END, committed_offsets
+from tidemark.operators.offsets import END, committed_offsets, local_offsets
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -24,15 +24,8 @@ def find_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
 
 def commit_offsets(spark: SparkSession, plan: list[Row], path: str, batch_id: int) -> None:
     """End offsets of a plan as the latest commit; a repeated commit changes nothing."""
-    commit = pa.table(
-        {
-            n.TOPIC: pa.array([r[n.TOPIC] for r in plan], pa.string()),
-            n.PARTITION: pa.array([r[n.PARTITION] for r in plan], pa.int32()),
-            n.OFFSET: pa.array([r[END] for r in plan], pa.int64()),
-            "batch_id": pa.array([batch_id] * len(plan), pa.int64()),
-        }
-    )
-    rows = spark.createDataFrame(commit).coalesce(1)
+    rows = local_offsets(spark, plan, END).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    rows = rows.coalesce(1)
     rows.write.mode("append").partitionBy(n.TOPIC).parquet(path)
 
 
