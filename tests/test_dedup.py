@@ -99,7 +99,8 @@ def test_store_scan_is_pruned_to_the_weeks_and_ids_of_the_batch(spark, plan_of,
 
 def test_a_small_batch_does_not_shuffle_the_store(spark, plan_of, tmp_path):
     path = str(tmp_path / "store")
-    spark.createDataFrame([flat_row(1, 1)], FLAT).write.partitionBy("year", "week_number").parquet(path)
+    stored = spark.createDataFrame([flat_row(1, 1)], FLAT)
+    stored.write.partitionBy("year", "week_number").parquet(path)
     batch = spark.createDataFrame([flat_row(1, 0)], FLAT)
     kept = dedup.anti_join_stored(batch, spark.read.parquet(path), [(2022, 1)], (1, 1), 1)
     plan = plan_of(kept)
@@ -108,7 +109,8 @@ def test_a_small_batch_does_not_shuffle_the_store(spark, plan_of, tmp_path):
 
 def test_very_many_weeks_prune_by_year(spark, plan_of, tmp_path):
     path = str(tmp_path / "store")
-    spark.createDataFrame([flat_row(1, 1)], FLAT).write.partitionBy("year", "week_number").parquet(path)
+    stored = spark.createDataFrame([flat_row(1, 1)], FLAT)
+    stored.write.partitionBy("year", "week_number").parquet(path)
     weeks = [(year, week) for year in range(2000, 2025) for week in range(1, 53)]
     assert len(weeks) > dedup.MAX_LITERAL_WEEKS
     assert dedup.only_weeks(spark.read.parquet(path), weeks).count() == 1

@@ -77,7 +77,8 @@ def test_a_hot_shop_is_split_beyond_the_broadcast_limit(spark):
 
 def test_lookup_reaches_the_source(spark, plan_of, tmp_path):
     path = str(tmp_path / "shops")
-    spark.createDataFrame([(i, f"shop#{i}") for i in (1, 2, 3)], "id int, name string").write.parquet(path)
+    names = spark.createDataFrame([(i, f"shop#{i}") for i in (1, 2, 3)], "id int, name string")
+    names.write.parquet(path)
     found = enrich.dictionary_lookup(spark.read.parquet(path), 3)
     assert [r[n.DICTIONARY_NAME] for r in found.collect()] == ["shop#3"]
     assert "EqualTo(id,3)" in plan_of(found)

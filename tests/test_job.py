@@ -163,9 +163,8 @@ def random_messages(seed, count=60):
         partition = draw.randrange(3)
         value = "{" if draw.random() < 0.1 else None
         hours = i * 8
-        rows.append(
-            message(ends[partition], draw.randrange(25), draw.randrange(1, 6), partition, hours, value)
-        )
+        id_, shop = draw.randrange(25), draw.randrange(1, 6)
+        rows.append(message(ends[partition], id_, shop, partition, hours, value))
         ends[partition] += draw.choice([1, 1, 2])
     return rows
 

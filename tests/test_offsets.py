@@ -166,3 +166,21 @@ def test_ranges_reach_the_scan(spark, plan_of, tmp_path):
     assert "partition" in text.split("PartitionFilters: ")[1].split("]")[0]
     assert "GreaterThanOrEqual(offset,2)" in text and "LessThan(offset,5)" in text
     assert scan.count() == 4
+
+
+def test_committed_offsets_reach_the_scan(spark, plan_of, tmp_path):
+    path = str(tmp_path / "log")
+    log(spark, {0: (0, 9), 1: (0, 9), 2: (0, 9)}).write.partitionBy("partition").parquet(path)
+    done = state(spark, (0, 4, 1), (1, 7, 1)).collect()
+    tail = offsets._unread(spark.read.parquet(path), done)
+    assert tail.count() == 5 + 2 + 9
+    seen, unseen = plan_of(tail).split("FileScan")[1:]
+    assert "GreaterThanOrEqual(offset,4)" in seen and "GreaterThanOrEqual(offset,7)" in seen
+    assert "partition" in unseen.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_bounds_and_commits_meet_without_a_shuffle_of_their_own(spark, plan_of):
+    messages = log(spark, {0: (0, 9), 1: (0, 9)})
+    committed = offsets.committed_offsets(state(spark, (0, 4, 1)), "t")
+    plan = plan_of(offsets.plan_offsets(messages, committed, 3))
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -1,6 +1,7 @@
 import pytest
 
 from tidemark.plans.job import JobConfig
+from tidemark.scratch import ensure_checkpoint_dir, run_folder
 from tidemark.sources import broker, dictionary
 
 ENV = {
@@ -17,7 +18,8 @@ ENV = {
 
 
 def test_range_options():
-    options = broker.range_options("b:9092", "orders", '{"orders":{"0":1}}', '{"orders":{"0":5}}', "g")
+    starting, ending = '{"orders":{"0":1}}', '{"orders":{"0":5}}'
+    options = broker.range_options("b:9092", "orders", starting, ending, "g")
     assert options == {
         "subscribe": "orders",
         "kafka.bootstrap.servers": "b:9092",
@@ -62,3 +64,15 @@ def test_config_from_environment():
     assert JobConfig.from_env({**ENV, "BATCH_SIZE": "70"}).batch_size == 70
     with pytest.raises(KeyError):
         JobConfig.from_env({k: v for k, v in ENV.items() if k != "TOPIC_NAME"})
+
+
+def test_scratch_folders_follow_the_session(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    assert run_folder(spark, "x") != run_folder(spark, "x")
+    if before:
+        assert run_folder(spark, "x").startswith(before.rstrip("/") + "/")
+    ensure_checkpoint_dir(spark)
+    named = spark.sparkContext.getCheckpointDir()
+    assert named is not None
+    ensure_checkpoint_dir(spark)
+    assert spark.sparkContext.getCheckpointDir() == named

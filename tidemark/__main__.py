@@ -21,7 +21,12 @@ def main() -> None:
     partitions = int(os.environ.get("TOPIC_PARTITIONS", "1"))
     log.info("start, topic %s", config.topic)
     query = ingest_stream(
-        read_stream(spark, dict(config.broker), config.batch_size * partitions),
+        read_stream(
+            spark,
+            dict(config.broker),
+            config.batch_size * partitions,
+            os.environ.get("STARTING_OFFSETS", "earliest"),
+        ),
         lambda: load_dictionary(spark, config),
         config.write_to,
         store_path(config.write_to, "checkpoint"),

@@ -71,6 +71,29 @@ def weeks_of(batch: DataFrame) -> list[tuple[int, int]]:
     return [tuple(row) for row in batch.select(n.YEAR, n.WEEK_NUMBER).distinct().collect()]
 
 
+def missing_from(
+    rows: DataFrame,
+    known: DataFrame,
+    key: Sequence[str],
+    row_count: int | None = None,
+    null_safe: bool = False,
+) -> DataFrame:
+    """Rows whose key `known` does not hold. Nulls match nothing, or with `null_safe`
+    one another.
+
+    `row_count`, where known, bounds the number of `rows`. Up to `SMALL_BATCH_ROWS`
+    their keys go to `known`, which then is not shuffled, and only the keys found
+    there come back. `rows` are read twice in that case and should be persisted.
+    """
+    other = {c: F.col(f"__known_{c}") for c in key}
+    known = known.select(*[F.col(c).alias(f"__known_{c}") for c in key])
+    same = [F.col(c).eqNullSafe(o) if null_safe else F.col(c) == o for c, o in other.items()]
+    if row_count is not None and row_count <= SMALL_BATCH_ROWS:
+        asked = F.broadcast(rows.select(*key))
+        known = F.broadcast(known.join(asked, same, "left_semi").distinct())
+    return rows.join(known, same, "left_anti")
+
+
 def anti_join_stored(
     batch: DataFrame,
     stored: DataFrame,
@@ -82,20 +105,14 @@ def anti_join_stored(
 
     `weeks` and `id_range`, where known, are those of the batch; both are implied
     by the join key and only keep partitions and row groups of the store from
-    being read. `batch_rows`, where known, bounds the rows of the batch: below
-    `SMALL_BATCH_ROWS` the batch keys go to the store instead of the store being
-    shuffled, and only the keys found there come back. The batch is then read
-    twice and should be persisted.
+    being read. For `batch_rows` see `missing_from`.
     """
     known = store_key(stored)
     if weeks is not None:
         known = only_weeks(known, weeks)
     if id_range is not None and None not in id_range:
         known = known.filter(F.col(n.ID).between(*id_range))
-    if batch_rows is not None and batch_rows <= SMALL_BATCH_ROWS:
-        known = known.join(F.broadcast(store_key(batch)), n.STORE_KEY, "left_semi").distinct()
-        known = F.broadcast(known)
-    return batch.join(known, n.STORE_KEY, "left_anti").select(*batch.columns)
+    return missing_from(batch, known, n.STORE_KEY, batch_rows)
 
 
 def dedup_incremental(flat: DataFrame, stored: DataFrame | None) -> DataFrame:

@@ -73,9 +73,13 @@ def store_batch(
     set_aside = 0
     if quarantine:
         messages, invalid = split_invalid(messages)
-        set_aside = invalid.count()
-        if set_aside:
-            append_quarantine(invalid, root, replay_safe)
+        invalid.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            set_aside = invalid.count()
+            if set_aside:
+                append_quarantine(invalid, root, replay_safe, set_aside)
+        finally:
+            invalid.unpersist()
 
     flat = flatten_messages(messages, keep=_position(messages))
     survivors = dedup_in_batch(flat, copies=n.COPIES).persist(StorageLevel.MEMORY_AND_DISK)

@@ -33,11 +33,18 @@ def read_range(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def read_stream(
-    spark: SparkSession, options: dict[str, str], offsets_per_batch: int | None = None
+    spark: SparkSession,
+    options: dict[str, str],
+    offsets_per_batch: int | None = None,
+    starting: str = "earliest",
 ) -> DataFrame:
-    """The topic as a stream; its checkpoint keeps the offsets, so nothing is planned here."""
+    """The topic as a stream; its checkpoint keeps the offsets, so nothing is planned here.
+
+    `starting` counts for the first run alone: offsets kept elsewhere so far are given
+    as `offsets_to_json` renders them.
+    """
     reader = spark.readStream.format("kafka").options(**options)
-    reader = reader.option("startingOffsets", "earliest")
+    reader = reader.option("startingOffsets", starting)
     if offsets_per_batch is not None:
         reader = reader.option("maxOffsetsPerTrigger", str(offsets_per_batch))
     return reader.load()

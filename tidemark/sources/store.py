@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
+from tidemark.operators.dedup import missing_from
 from tidemark.operators.enrich import matched, unmatched
 
 # Up to this many weeks are named one by one when a store is listed.
@@ -66,13 +67,11 @@ def append_partitioned(rows: DataFrame, path: str, max_rows_per_file: int | None
     writer.parquet(path)
 
 
-def not_yet_in(rows: DataFrame, stored: DataFrame) -> DataFrame:
+def not_yet_in(rows: DataFrame, stored: DataFrame, row_count: int | None = None) -> DataFrame:
     """Rows a store does not hold; null ids compare as equal. Keeps a replay from
     adding failed rows twice, while orders sent again still accumulate."""
     key = [*n.STORE_PARTITIONS, n.RECEIVE_TIME, n.ID]
-    known = stored.select(*[F.col(c).alias(f"__{c}") for c in key])
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
-    return rows.join(known, same, "left_anti")
+    return missing_from(rows, stored, key, row_count, null_safe=True)
 
 
 def write_routed(
@@ -96,12 +95,14 @@ def write_routed(
     if failed:
         lost = unmatched(rows)
         if failed_before is not None:
-            lost = not_yet_in(lost, failed_before)
+            lost = not_yet_in(lost, failed_before, failed)
         append_partitioned(lost, store_path(root, n.FAILED), max_rows_per_file)
     return success, failed
 
 
-def append_quarantine(messages: DataFrame, root: str, replay_safe: bool = False) -> None:
+def append_quarantine(
+    messages: DataFrame, root: str, replay_safe: bool = False, row_count: int | None = None
+) -> None:
     """Invalid messages as they came. On a replay, those already there are left out;
     a message is known by its place in the log."""
     path = store_path(root, n.QUARANTINE)
@@ -109,7 +110,7 @@ def append_quarantine(messages: DataFrame, root: str, replay_safe: bool = False)
     if replay_safe and n.OFFSET in place:
         try:
             before = messages.sparkSession.read.schema(messages.schema).parquet(path)
-            messages = messages.join(before.select(*place), place, "left_anti")
+            messages = missing_from(messages, before, place, row_count)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

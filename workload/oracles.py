@@ -109,7 +109,8 @@ sliced as (
     on f.partition = r.partition and f."offset" >= r.low and f."offset" < r.high),
 kept as (
   select * from sliced
-  qualify row_number() over (partition by slice, id order by receive_time, partition, "offset") = 1),
+  qualify row_number() over (
+    partition by slice, id order by receive_time, partition, "offset") = 1),
 named as (
   select k.*, s.s_name as shop_name
   from kept k left join supplier s on k.shop_id = s.s_suppkey),
