@@ -281,3 +281,16 @@ def test_ingest_job_reads_its_dictionary(spark, tmp_path):
         dictionary_source="parquet",
     )
     assert job.ingest_job(spark, log_of(spark, THREE), settings)[1].success == 1
+
+
+def test_nothing_stays_persisted(spark, tmp_path):
+    persistent = spark.sparkContext._jsc.getPersistentRDDs
+    before = persistent().size()
+    log = log_of(spark, [*THREE, message(3, None, value="not json")])
+    settings = config(tmp_path, quarantine=True, replay_safe=True, max_rows_per_file=1)
+    job.backfill(log, shops(spark), settings)
+    assert persistent().size() == before
+
+    with pytest.raises(Exception, match="no_such_column"):
+        store_batch(log, shops(spark).withColumnRenamed("id", "no_such_column"), str(tmp_path))
+    assert persistent().size() == before

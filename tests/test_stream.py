@@ -52,3 +52,24 @@ def test_a_micro_batch_run_again_after_a_crash_adds_no_row(spark, tmp_path):
     write_slice(spark, SECOND, str(tmp_path / "log"))
     run(spark, tmp_path)
     assert stores(spark, tmp_path / "out") == EXPECTED
+
+
+def test_the_submitted_program_runs_on_its_environment(spark, tmp_path, monkeypatch):
+    import tidemark.__main__ as program
+    from tests.test_sources import ENV
+
+    asked = {}
+
+    def files(spark, options, offsets_per_batch, starting):
+        asked.update(options, cap=offsets_per_batch, starting=starting)
+        return spark.readStream.schema(LOG).parquet(str(tmp_path / "log"))
+
+    write_slice(spark, FIRST, str(tmp_path / "log"))
+    settings = {"WRITE_TO": str(tmp_path / "out"), "BATCH_SIZE": "50", "TOPIC_PARTITIONS": "4"}
+    for name, value in {**ENV, **settings}.items():
+        monkeypatch.setenv(name, value)
+    monkeypatch.setattr(program, "read_stream", files)
+    monkeypatch.setattr(program, "load_dictionary", lambda spark, _: shops(spark))
+    program.main()
+    assert stores(spark, tmp_path / "out") == ([(1, "shop#2")], [(2, None)])
+    assert (asked["subscribe"], asked["cap"], asked["starting"]) == ("orders", 200, "earliest")

@@ -31,6 +31,7 @@ class JobConfig:
     batch_size: int = DEFAULT_BATCH_SIZE
     replay_safe: bool = False
     quarantine: bool = False
+    max_rows_per_file: int | None = None
     broker: Mapping[str, str] = field(default_factory=dict)
     offsets: str | None = None
 
@@ -85,6 +86,7 @@ def incremental_batch(
         config.write_to,
         replay_safe=config.replay_safe,
         quarantine=config.quarantine,
+        max_rows_per_file=config.max_rows_per_file,
     )
     commit_offsets(spark, plan, config.offsets_path, batch_id)
     return batch_id, report
