@@ -3,6 +3,7 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tests.frames import local_frame
 from tidemark import names as n
 from tidemark.operators import dedup
 
@@ -77,8 +78,8 @@ def test_incremental_dedup_equals_brute_force(spark, batch, known):
     stored_keys = {(r[0], r[4], r[5]) for r in stored_rows if r[0] is not None}
     expected = {r for r in first.values() if (r[0], r[4], r[5]) not in stored_keys}
 
-    frame = spark.createDataFrame(rows, FLAT)
-    stored = spark.createDataFrame(stored_rows, FLAT)
+    frame = local_frame(spark, rows, FLAT)
+    stored = local_frame(spark, stored_rows, FLAT)
     assert {tuple(r) for r in dedup.dedup_incremental(frame, stored).collect()} == expected
 
 

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.frames import local_frame
 from tidemark import names as n
 from tidemark.functions.messages import flatten_messages
 from tidemark.operators.dedup import dedup_in_batch
@@ -25,11 +26,11 @@ def message(offset, id_, shop=2, partition=0, hours=0, value=None):
 
 
 def log_of(spark, rows):
-    return spark.createDataFrame(rows, LOG)
+    return local_frame(spark, rows, LOG)
 
 
 def shops(spark):
-    return spark.createDataFrame([(i, f"shop#{i}") for i in (1, 2, 3)], "id int, name string")
+    return local_frame(spark, [(i, f"shop#{i}") for i in (1, 2, 3)], "id int, name string")
 
 
 def config(path, **other):

@@ -3,6 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from tests.frames import local_frame
 from tidemark.functions.offset_text import (
     decode_offset_document,
     encode_offset_document,
@@ -16,11 +17,11 @@ STATE = f"{OFFSETS}, batch_id long"
 
 
 def frame(spark, *rows):
-    return spark.createDataFrame([("t", *row) for row in rows], OFFSETS)
+    return local_frame(spark, [("t", *row) for row in rows], OFFSETS)
 
 
 def state(spark, *rows):
-    return spark.createDataFrame([("t", *row) for row in rows], STATE)
+    return local_frame(spark, [("t", *row) for row in rows], STATE)
 
 
 def log(spark, bounds):
@@ -121,7 +122,7 @@ def test_planning_the_tail_equals_planning_the_log(spark, bounds, committed, cap
     done = state(spark, *[(p, o, 1) for p, o in committed.items()])
     whole = offsets.plan_offsets(messages, done, cap).collect()
     tail = offsets.plan_unread(messages, done.collect(), cap)
-    assert ranges(tail) == ranges(whole)
+    assert ranges(tail) == {p: r for p, r in ranges(whole).items() if r[0] < r[1]}
     expected = {}
     for p, (low, size) in bounds.items():
         start = committed.get(p, low)
@@ -179,6 +180,15 @@ def test_committed_offsets_reach_the_scan(spark, plan_of, tmp_path):
     assert "partition" in unseen.split("PartitionFilters: ")[1].split("]")[0]
 
 
+def test_an_idle_partition_is_told_from_one_created_anew(spark):
+    messages = log(spark, {0: (0, 9), 1: (3, 9), 2: (0, 2)})
+    done = state(spark, (0, 9, 1), (1, 9, 1), (2, 9, 1), (3, 9, 1)).collect()
+    assert sorted(offsets._not_reaching(messages, done)) == [2, 3]
+    plan = offsets.plan_unread(messages, done, 5)
+    assert ranges(plan) == {2: (0, 2)}
+    assert plan[0]["moved"]
+
+
 def test_bounds_and_commits_meet_without_a_shuffle_of_their_own(spark, plan_of):
     messages = log(spark, {0: (0, 9), 1: (0, 9)})
     committed = offsets.committed_offsets(state(spark, (0, 4, 1)), "t")

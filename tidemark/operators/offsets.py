@@ -4,10 +4,11 @@ Offset frames hold one row per topic partition, however long the log is; plans o
 that length are what is collected here.
 """
 
+from collections.abc import Iterable
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -104,42 +105,58 @@ def plan_offsets(log: DataFrame, committed: DataFrame, batch_size: int) -> DataF
     return ending_offsets(starting_offsets(log_bounds(log), committed), batch_size)
 
 
-def _unread(log: DataFrame, committed: list[Row]) -> DataFrame:
+def _any_of(predicates: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, predicates, F.lit(False))
+
+
+def _unread(log: DataFrame, known: list[Row]) -> DataFrame:
     """Log rows at or past the committed offset of their partition, and all rows of
     partitions not seen before. Literals, so that a scan can leave out read ranges."""
-    if len(committed) > MAX_LITERAL_RANGES:
-        return log
-    tails = [
+    tails = _any_of(
         (F.col(n.PARTITION) == row[n.PARTITION]) & (F.col(n.OFFSET) >= row[n.OFFSET])
-        for row in committed
-    ]
-    seen = F.col(n.PARTITION).isin([row[n.PARTITION] for row in committed])
+        for row in known
+    )
+    seen = F.col(n.PARTITION).isin([row[n.PARTITION] for row in known])
     # Two scans: joined by OR, the second predicate would keep the first from the files.
-    return log.filter(seen & reduce(lambda a, b: a | b, tails)).union(log.filter(~seen))
+    return log.filter(seen & tails).union(log.filter(~seen))
+
+
+def _not_reaching(log: DataFrame, idle: list[Row]) -> list[int]:
+    """Partitions whose last read offset is not in the log; a lookup, not a scan."""
+    last_read = _any_of(
+        (F.col(n.PARTITION) == row[n.PARTITION]) & (F.col(n.OFFSET) == row[n.OFFSET] - 1)
+        for row in idle
+    )
+    there = {row[0] for row in log.filter(last_read).select(n.PARTITION).distinct().collect()}
+    return [row[n.PARTITION] for row in idle if row[n.PARTITION] not in there]
 
 
 def plan_unread(log: DataFrame, known: list[Row], batch_size: int) -> list[Row]:
     """Like `plan_offsets`, but looks only at what lies past the committed offsets, and
     is fixed: it does not change when the log grows later. `known` are the rows of
-    `committed_offsets` for the topic.
+    `committed_offsets` for the topic; partitions without anything new are left out.
 
-    Partitions without anything new are looked at as a whole, to tell an idle one
-    from one whose topic was created anew. A partition where the log leaves a gap
-    after the committed offset is read from the next offset there is.
+    A partition without anything new whose last read offset is gone is looked at as
+    a whole, as its topic may have been created anew. A partition where the log
+    leaves a gap after the committed offset is read from the next offset there is.
     """
     log = log.select(n.TOPIC, n.PARTITION, n.OFFSET)
     committed = local_offsets(log.sparkSession, known)
 
     def planned(part: DataFrame) -> list[Row]:
         starts = starting_offsets(log_bounds(part), committed)
-        return ending_offsets(starts, batch_size).collect()
+        rows = ending_offsets(starts, batch_size).collect()
+        return [row for row in rows if row[START] < row[END]]
 
-    if not known:
+    if not known or len(known) > MAX_LITERAL_RANGES:
         return planned(log)
     plan = planned(_unread(log, known))
     found = {row[n.PARTITION] for row in plan}
-    idle = [row[n.PARTITION] for row in known if row[n.PARTITION] not in found]
-    return plan + planned(log.filter(F.col(n.PARTITION).isin(idle))) if idle else plan
+    idle = [row for row in known if row[n.PARTITION] not in found]
+    lost = _not_reaching(log, idle) if idle else []
+    if lost:
+        plan += planned(log.filter(F.col(n.PARTITION).isin(lost)))
+    return plan
 
 
 def range_filter(log: DataFrame, ranges: list[Row]) -> DataFrame:
@@ -147,14 +164,14 @@ def range_filter(log: DataFrame, ranges: list[Row]) -> DataFrame:
 
     The ranges become literals, which prune partitions and row groups of the log.
     """
-    wanted = [
+    wanted = _any_of(
         (F.col(n.PARTITION) == r[n.PARTITION])
         & (F.col(n.OFFSET) >= r[START])
         & (F.col(n.OFFSET) < r[END])
         for r in ranges
         if r[START] < r[END]
-    ]
-    return log.filter(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    )
+    return log.filter(wanted)
 
 
 def range_join(log: DataFrame, ranges: list[Row]) -> DataFrame:

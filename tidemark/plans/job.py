@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import names as n
-from tidemark.operators.offsets import COMMITTED, END, START, log_range_scan, plan_unread
+from tidemark.operators.offsets import COMMITTED, START, log_range_scan, plan_unread
 from tidemark.plans.batch import BatchReport, store_batch
 from tidemark.sources import broker
 from tidemark.sources.dictionary import jdbc_options, read_dictionary
@@ -67,7 +67,7 @@ def incremental_batch(
     log = log.filter(log[n.TOPIC] == config.topic)
     known = find_offsets(spark, config.offsets_path, config.topic).collect()
     plan = plan_unread(log, known, config.batch_size)
-    if all(r[START] >= r[END] for r in plan):
+    if not plan:
         return None
     for row in plan:
         if row["moved"]:
