@@ -255,10 +255,10 @@ def test_metrics_of_nothing_are_zero(spark):
 def test_the_batch_beyond_the_small_size_gives_the_same(spark, tmp_path, monkeypatch):
     from tidemark.operators import dedup
 
-    rows = random_messages(5)
+    rows = random_messages(5, count=24)
     for limit, folder in ((500_000, "a"), (0, "b")):
         monkeypatch.setattr(dedup, "SMALL_BATCH_ROWS", limit)
-        job.backfill(log_of(spark, rows), shops(spark), config(tmp_path / folder, batch_size=7))
+        job.backfill(log_of(spark, rows), shops(spark), config(tmp_path / folder, batch_size=6))
     assert stores(spark, tmp_path / "a") == stores(spark, tmp_path / "b")
 
 
