@@ -59,8 +59,8 @@ def store_batch(
 ) -> BatchReport:
     """Process one bounded batch and append it to the stores below `root`.
 
-    Messages are read and parsed once; the survivors of the batch are persisted
-    and carry the counts. Their result is checkpointed before the first write, as
+    Messages are read and parsed once, without `quarantine`; the survivors of the
+    batch are persisted and carry the counts. Their result is checkpointed before the first write, as
     a write to a store makes Spark drop what it has cached over that store, and so
     that a lost executor cannot set off a second look at a store already written.
 
