@@ -6,8 +6,8 @@ import __spark_entry__ as contract
 from tests.compare import database, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = contract.catalog.queries()
+SQL = contract.oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
