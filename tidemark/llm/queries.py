@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, token_files, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_token_counts": tokens.op2_token_counts,
         "op4_mix_sources": mixing.op4_mix_sources,
+        "op7_token_files": token_files.op7_token_files,
     }
 
 
