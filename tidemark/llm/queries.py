@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, token_files, tokens
+from tidemark.llm import mixing, quality, secrets, token_files, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": tokens.op2_token_counts,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op7_token_files": token_files.op7_token_files,
+        "op9_quality_rules": quality.op9_quality_rules,
+        "op10_secret_scan": secrets.op10_secret_scan,
     }
 
 
