@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, quality, secrets, token_files, tokens
+from tidemark.llm import decontaminate, mixing, neardup, quality, secrets, token_files, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op4_mix_sources": mixing.op4_mix_sources,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_token_files": token_files.op7_token_files,
+        "op8_near_duplicates": neardup.op8_near_duplicates,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_secret_scan": secrets.op10_secret_scan,
     }
@@ -26,4 +27,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_mix_sources": mixing.OP4_SQL,
         "op6_decontamination": decontaminate.OP6_SQL,
+        "op8_near_duplicates": neardup.OP8_SQL,
     }
