@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, neardup, quality, secrets, token_files, tokens
+from tidemark.llm import (
+    decontaminate,
+    licenses,
+    mixing,
+    neardup,
+    quality,
+    secrets,
+    token_files,
+    tokens,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": licenses.op1_license_scan,
         "op2_token_counts": tokens.op2_token_counts,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op6_decontamination": decontaminate.op6_decontamination,
