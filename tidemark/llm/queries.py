@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
     decontaminate,
+    extraction,
     licenses,
     mixing,
     neardup,
@@ -24,6 +25,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": licenses.op1_license_scan,
         "op2_token_counts": tokens.op2_token_counts,
+        "op3_html_extraction": extraction.op3_html_extraction,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_token_files": token_files.op7_token_files,
