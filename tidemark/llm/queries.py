@@ -14,6 +14,7 @@ from tidemark.llm import (
     neardup,
     quality,
     secrets,
+    suffix_dedup,
     token_files,
     tokens,
 )
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": tokens.op2_token_counts,
         "op3_html_extraction": extraction.op3_html_extraction,
         "op4_mix_sources": mixing.op4_mix_sources,
+        "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_token_files": token_files.op7_token_files,
         "op8_near_duplicates": neardup.op8_near_duplicates,
