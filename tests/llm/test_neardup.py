@@ -1,0 +1,132 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tests.llm.frames import documents, empty, messy, prose, vocabulary
+from tidemark.llm import neardup
+
+
+def shingles(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return set()
+    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def brute(rows, size=5, percent=80):
+    """(doc_id, set size, component) of every row, by comparing all pairs."""
+    sets = [shingles(text, size) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    least = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(k)] = min(doc_id, least.get(find(k), doc_id))
+    return sorted(
+        repr((doc_id, len(sets[k]), least.get(find(k)) if sets[k] else doc_id))
+        for k, (doc_id, _) in enumerate(rows)
+    )
+
+
+def found(frame, **options):
+    rows = neardup.near_duplicates(frame, **options).collect()
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
+    return sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in rows)
+
+
+def edited(rng, words, edits, known):
+    words = list(words)
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = rng.choice(known)
+    return " ".join(words)
+
+
+def copies(seed):
+    """Groups of copies at all distances from their original, chains, and loners."""
+    rng, known = random.Random(seed), vocabulary()
+    texts = []
+    for _ in range(4):
+        base = [rng.choice(known) for _ in range(rng.randint(40, 200))]
+        texts += [edited(rng, base, rng.randint(0, 6), known) for _ in range(40)]
+    chain = [rng.choice(known) for _ in range(120)]
+    for _ in range(12):
+        texts.append(" ".join(chain))
+        chain[rng.randrange(120)] = rng.choice(known)
+    shared = prose(rng, 60, known)  # a passage in texts that are not alike
+    texts += [shared + " " + prose(rng, rng.randint(5, 80), known) for _ in range(40)]
+    texts += [prose(rng, rng.randint(1, 8), known[:6]) for _ in range(30)]
+    texts += texts[:5] + [texts[0].upper(), "  " + texts[1].replace(" ", "\n")]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    return list(zip(ids, texts, strict=True))
+
+
+@pytest.mark.parametrize("seed, size", [(1, 5), (2, 4), (3, 4)])
+def test_components_equal_brute_force(spark, seed, size):
+    rows = copies(seed)
+    frame = documents(spark, [(*row, "en", "s") for row in rows])
+    assert found(frame, size=size) == brute(rows, size)
+
+
+def test_copies_that_link_only_among_themselves(spark):
+    """Copies too far from the least one, which every group compares first."""
+    rng, known = random.Random(9), vocabulary()
+    base = [rng.choice(known) for _ in range(150)]
+    far = base[:95] + [rng.choice(known) for _ in range(55)]
+    rows = [(0, " ".join(far))] + [(k, edited(rng, base, 3, known)) for k in range(1, 60)]
+    assert found(documents(spark, [(*row, "en", "s") for row in rows])) == brute(rows)
+
+
+def test_messy_and_empty_tables(spark):
+    docs = messy(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = neardup.near_duplicates(docs).collect()
+    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == brute(rows)
+    assert found(empty(spark)) == []
+    assert neardup.drop_near_duplicates(empty(spark)).collect() == []
+
+
+def test_one_document_of_each_group_stays(spark):
+    docs = messy(spark)
+    kept = neardup.drop_near_duplicates(docs)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    components = {r["component_id"] for r in neardup.near_duplicates(docs).collect() if r["n_shingles"] > 0}
+    filled = [r for r in kept.collect() if shingles(r["text"], 5)]
+    assert len(filled) >= len(components - {None})
+    assert len({r["text"] for r in filled}) == len(filled)
+
+
+def test_sketches_measure_high_similarities():
+    rng = np.random.default_rng(3)
+    limit = neardup.most_differing_bits()
+    for share in (0.8, 0.9, 0.3):
+        inside = 0
+        for _ in range(60):
+            common = rng.integers(0, 2**64, 900, dtype=np.uint64)
+            rest = int(900 * (1 - share) / share)
+            a = np.unique(np.concatenate([common, rng.integers(0, 2**64, rest // 2, dtype=np.uint64)]))
+            b = np.unique(np.concatenate([common, rng.integers(0, 2**64, rest - rest // 2, dtype=np.uint64)]))
+            (keys, one), (others, two) = neardup.signature(a), neardup.signature(b)
+            inside += np.bitwise_count((one ^ two).view(np.uint64)).sum() <= limit
+            assert share < 0.8 or (keys == others).any()
+        assert inside == (60 if share >= 0.8 else 0)
+
+
+def test_components_of_long_chains_and_stars(spark):
+    chain = [(f"c{k:03d}", f"c{k + 1:03d}") for k in range(120)]
+    star = [("a0", f"b{k}") for k in range(50)]
+    links = spark.createDataFrame(chain + star, "low string, high string")
+    roots = {r["node"]: r["root"] for r in neardup.components(links).collect()}
+    assert set(roots.values()) == {"c000", "a0"}
+    assert len(roots) == 121 + 51

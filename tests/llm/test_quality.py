@@ -1,0 +1,120 @@
+import random
+import re
+from collections import Counter
+from fractions import Fraction
+from math import comb
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.frames import documents, empty, messy, prose, vocabulary
+from tidemark.llm import quality
+from tidemark.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def counted(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
+    hit = {k + j for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for j in range(3)}
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        sum(line in lines[:k] for k, line in enumerate(lines)),
+        len(hit),
+    )
+
+
+@pytest.mark.parametrize(
+    "text",
+    [None, "", " \n ", "a", "a b", "a a a a", "a b c a b c a b", "x\nx\n\n \nx y\nx y", "é#*$ %&|<>\x1c ü\x0b",
+     "w " * 500, "a b c d a b c e\ta b\nc"],
+)
+def test_counts_of_one_text(text):
+    assert quality.measure(text)[:5] == counted(text)
+
+
+def test_counts_of_the_tables(spark):
+    rows = quality.quality_verdicts(table(spark, SF, "documents"), table(spark, SF, "labels")).collect()
+    texts = {r["doc_id"]: r["text"] for r in table(spark, SF, "documents").collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = counted(texts[r["doc_id"]])
+        assert tuple(r)[1:6] == want
+        assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r["base_failed"] and r["kept"])
+
+
+@pytest.mark.parametrize("hits, trials", [(0, 10), (3, 50), (7, 200), (50, 50)])
+def test_tail_is_exact(hits, trials):
+    p = Fraction(1, 50)
+    want = sum(comb(trials, k) * p**k * (1 - p) ** (trials - k) for k in range(hits + 1))
+    assert quality.binomial_tail(hits, trials, float(p)) == pytest.approx(float(want))
+
+
+def test_cutoff_catches_bad_documents_and_spares_good_ones():
+    good, bad = [0] * 1001, [0] * 1001
+    good[0], good[30], bad[400], bad[10] = 2000, 4, 99, 1
+    cutoff = quality.choose_cutoff(good, bad, level=0.01)
+    assert 30 < cutoff <= 400
+
+
+def test_too_few_labels_reject_nothing():
+    good, bad = [0] * 1001, [0] * 1001
+    good[0], bad[900] = 50, 50
+    assert quality.choose_cutoff(good, bad, level=0.01) is None
+    assert quality.choose_cutoff([0] * 1001, bad, level=0.01) is None
+
+
+def test_a_cutoff_seldom_exceeds_its_risk():
+    """The guarantee itself: good scores drawn again and again, the true risk of the cutoff."""
+    rng, exceeded = random.Random(4), 0
+    for _ in range(150):
+        good, bad = [0] * 1001, [0] * 1001
+        for _ in range(600):
+            good[rng.randrange(1001)] += 1
+        bad[rng.randrange(1, 1001)] += 1
+        cutoff = quality.choose_cutoff(good, bad, level=0.05, good_cost=0.0)
+        exceeded += cutoff is not None and (1001 - cutoff) / 1001 > quality.RISK
+    assert exceeded <= 150 * 0.05 + 8
+
+
+def junk_and_prose(n):
+    rng, known = random.Random(2), vocabulary()
+    rows, labels = [], []
+    for k in range(n):
+        text = prose(rng, 80, known)
+        bad = k % 5 == 0
+        if bad:
+            text = " ".join(w + rng.choice(["###", "$$", "%"]) for w in text.split())
+        rows.append((k, text, ["en", "en", "de", None][k // 2 % 4], "s"))
+        labels.append((k, int(not bad), 0))
+    return rows, labels
+
+
+def test_labelled_junk_goes_and_the_rest_stays(spark):
+    rows, labels = junk_and_prose(3000)
+    docs = documents(spark, rows)
+    # every second document is labelled, some twice, some without quality or document
+    marked = spark.createDataFrame(
+        labels[::2] + labels[:20] + [(None, 1, 0), (7, None, None), (10**6, 0, 1)], LABELS
+    )
+    kept = {r["doc_id"] for r in quality.keep_good(docs, marked).collect()}
+    assert kept == {k for k, good, _ in labels if good}
+    assert quality.keep_good(docs, marked).columns == docs.columns
+
+
+def test_messy_and_empty_tables(spark):
+    none = spark.createDataFrame([], LABELS)
+    docs = messy(spark)
+    rows = quality.quality_verdicts(docs, none).collect()
+    assert len(rows) == docs.count()
+    assert all(r["kept"] != r["base_failed"] for r in rows)  # without labels only the base rules act
+    assert quality.keep_good(docs, none).count() == sum(r["kept"] for r in rows)
+    assert quality.quality_verdicts(empty(spark), none).collect() == []
+    assert quality.keep_good(empty(spark), none).filter(F.lit(True)).collect() == []

@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.frames import documents, empty, messy, prose, vocabulary
+from tidemark.llm import suffix_dedup as sd
+from tidemark.llm.suffix_sort import suffix_array
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 30])
+def test_suffix_arrays_equal_sorting(letters):
+    rng = random.Random(letters)
+    for _ in range(400):
+        text = [rng.randrange(letters) for _ in range(rng.randint(0, 40))]
+        assert suffix_array(text) == sorted(range(len(text)), key=lambda k: text[k:])
+
+
+def test_suffix_array_of_a_long_repetitive_text():
+    text = ([1, 2, 1, 1, 2] * 400 + [0]) * 5
+    order = suffix_array(text)
+    assert sorted(order) == list(range(len(text)))
+    assert all(text[a : a + 2100] <= text[b : b + 2100] for a, b in zip(order, order[1:], strict=False))
+
+
+def brute(rows, length=100):
+    """(id, removed, spans, hash) of each row; rows are (id, text), equal rows one document."""
+    seen, judged = set(), {}
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2])
+    for doc_id, text, hashed in sorted(set(rows), key=key):
+        data = text.encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - length + 1):
+            part = data[k : k + length]
+            if part in seen:
+                gone[k : k + length] = b"\1" * length
+            seen.add(part)
+        kept = bytes(c for c, g in zip(data, gone, strict=True) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        judged[doc_id, text] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return sorted(repr((doc_id, *judged[doc_id, text])) for doc_id, text, _ in rows)
+
+
+def check(spark, frame, **options):
+    rows = [
+        (r[0], r[1], r[2])
+        for r in frame.selectExpr("doc_id", "coalesce(text, '') t", "xxhash64(coalesce(text, ''))").collect()
+    ]
+    got = sd.remove_repeats(frame, **options).drop("kept").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows)
+
+
+def passages(seed):
+    rng, known = random.Random(seed), vocabulary()
+    shared = [prose(rng, rng.randint(15, 60), known) for _ in range(6)]
+    texts = []
+    for _ in range(90):
+        parts = [prose(rng, rng.randint(0, 30), known)]
+        for _ in range(rng.randint(0, 3)):
+            parts += [rng.choice(shared), prose(rng, rng.randint(0, 12), known)]
+        texts.append(" ".join(parts))
+    texts += ["a" * 400, "b" + "a" * 150, "ab" * 200, "xyz" * 60 + "ab" * 70, "é" * 120, "x" * 99, "x" * 100, "\x00" * 250]
+    texts += texts[::9]
+    for text in texts[:20]:  # copies with one byte changed
+        at = rng.randrange(max(1, len(text)))
+        texts.append(text[:at] + "#" + text[at + 1 :])
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    return [(k, t, "en", "s") for k, t in zip(ids, texts, strict=True)]
+
+
+@pytest.mark.parametrize("seed, hot", [(1, 20_000), (2, 1), (3, 8)])
+def test_removed_bytes_equal_brute_force(spark, seed, hot):
+    check(spark, documents(spark, passages(seed)), hot_group=hot)
+
+
+def test_messy_and_empty_tables(spark):
+    check(spark, messy(spark))
+    assert sd.remove_repeats(empty(spark)).collect() == []
+
+
+def test_equal_strings_elect_equal_anchors():
+    rng = np.random.default_rng(2)
+    string = rng.integers(97, 100, 100).astype(np.uint8)
+    places = []
+    for front in (0, 3, 50):
+        data = np.concatenate([rng.integers(97, 100, front).astype(np.uint8), string, rng.integers(97, 100, 40).astype(np.uint8)])
+        at, hashes = sd.anchors(data, np.array([len(data)]))
+        inside = {(int(p) - front, int(h)) for p, h in zip(at, hashes, strict=True) if front <= p <= front + 100 - sd.GRAM}
+        assert inside
+        places.append(inside)
+    assert set.intersection(*places)
+
+
+def test_no_anchor_reaches_across_documents():
+    data = np.frombuffer(b"abcdefghij" * 30, np.uint8)
+    assert len(sd.anchors(data, np.array([99, 198, 297, 300]))[0]) == 0
