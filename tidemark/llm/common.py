@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,6 +19,30 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the application's executors, once, as `--py-files` would."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    if context.applicationId in _SHIPPED or not (root / "tidemark").is_dir():
+        return
+    _SHIPPED.add(context.applicationId)
+    name = f"{tempfile.mkdtemp(prefix='tidemark-')}/tidemark-{uuid.uuid4().hex}"
+    context.addPyFile(shutil.make_archive(name, "zip", root, "tidemark"))
+
+
+def ships_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage, its session first, that runs wherever its workers were started."""
+
+    @functools.wraps(query)
+    def shipped(spark: SparkSession, *rest) -> DataFrame:
+        ship_package(spark)
+        return query(spark, *rest)
+
+    return shipped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -51,7 +78,7 @@ def lower_ascii(text: Column) -> Column:
 
 def small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if it has no more rows than that, counted here."""
-    return F.broadcast(frame) if len(frame.limit(rows + 1).take(rows + 1)) <= rows else frame
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
 
 
 def by_bytes(

@@ -18,12 +18,13 @@ from tidemark.llm import (
     token_files,
     tokens,
 )
+from tidemark.llm.common import ships_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "op1_license_scan": licenses.op1_license_scan,
         "op2_token_counts": tokens.op2_token_counts,
         "op3_html_extraction": extraction.op3_html_extraction,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_secret_scan": secrets.op10_secret_scan,
     }
+    return {name: ships_package(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
