@@ -17,7 +17,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import shared_folder, table
+from tidemark.llm.common import shared_folder, ships_package, table
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.neardup import drop_near_duplicates
@@ -28,22 +28,27 @@ from tidemark.llm.tokens import VOCABULARY
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+@ships_package
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+@ships_package
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
+@ships_package
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@ships_package
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+@ships_package
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document taken twice is in the files twice, one copy after the other."""
     return token_files(
