@@ -33,8 +33,8 @@ def ranges(rows):
 
 
 def test_offset_text(spark):
-    rows = spark.createDataFrame([("test", 0, 1), ("test", 1, 2)], OFFSETS)
-    assert offsets_to_json(rows).first()["offsets"] == '{"test":{"0":1,"1":2}}'
+    rows = spark.createDataFrame([("clicks", 4, 310), ("clicks", 7, 0)], OFFSETS)
+    assert offsets_to_json(rows).first()["offsets"] == '{"clicks":{"4":310,"7":0}}'
 
 
 def test_offset_text_is_in_partition_order(spark):
@@ -92,12 +92,12 @@ def test_offset_table_insert_update_and_absence(spark, tmp_path):
         row = Row(topic=topic, partition=0, **{offsets.END: offset})
         offset_table.commit_offsets(spark, [row], path, batch)
 
-    commit("t", 10, 0)
+    commit("t", 14, 0)
     commit("u", 3, 0)
-    assert offset_table.find_offsets(spark, path, "t").first()["offset"] == 10
-    commit("t", 25, 1)
-    commit("t", 25, 1)
-    assert offset_table.find_offsets(spark, path, "t").first()["offset"] == 25
+    assert offset_table.find_offsets(spark, path, "t").first()["offset"] == 14
+    commit("t", 31, 1)
+    commit("t", 31, 1)
+    assert offset_table.find_offsets(spark, path, "t").first()["offset"] == 31
     assert offset_table.find_offsets(spark, path, "absent").count() == 0
     compacted = str(tmp_path / "compacted")
     offset_table.compact(spark, path, compacted)
@@ -131,6 +131,51 @@ def test_planning_the_tail_equals_planning_the_log(spark, bounds, committed, cap
     assert ranges(whole) == expected
 
 
+@settings(max_examples=8, deadline=None)
+@given(
+    places=st.dictionaries(st.integers(0, 3), st.sets(st.integers(0, 60), min_size=1), min_size=1),
+    committed=st.dictionaries(st.integers(0, 4), st.integers(0, 70)),
+    cap=st.integers(1, 12),
+)
+def test_both_forms_plan_the_same_over_gaps(spark, places, committed, cap):
+    """Each range starts at the next offset there is, whatever the number of partitions."""
+    messages = frame(spark, *[(p, o) for p, found in places.items() for o in found])
+    done = state(spark, *[(p, o, 1) for p, o in committed.items()]).collect()
+    expected = {}
+    for p, found in places.items():
+        rest = [o for o in found if o >= committed.get(p, 0)]
+        if not rest and committed[p] - 1 not in found:
+            rest = found  # the topic was created anew
+        if rest:
+            expected[p] = (min(rest), min(max(rest) + 1, min(rest) + cap))
+    default = offsets.MAX_LITERAL_RANGES
+    for limit in (default, 0):
+        offsets.MAX_LITERAL_RANGES = limit
+        try:
+            assert ranges(offsets.plan_unread(messages, done, cap)) == expected
+        finally:
+            offsets.MAX_LITERAL_RANGES = default
+
+
+def test_many_partitions_prune_the_scan_too(spark, plan_of, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    log(spark, {0: (0, 9), 1: (0, 9), 2: (0, 9)}).write.partitionBy("partition").parquet(path)
+    monkeypatch.setattr(offsets, "MAX_LITERAL_RANGES", 1)
+    done = state(spark, (0, 4, 1), (1, 7, 1)).collect()
+    tail = offsets._unread(spark.read.parquet(path), done)
+    assert tail.count() == 5 + 2 + 9
+    seen, unseen = plan_of(tail).split("FileScan")[1:]
+    assert "GreaterThanOrEqual(offset,4)" in seen
+    for scan in (seen, unseen):
+        assert "partition" in scan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_commits_of_one_batch_leave_the_higher_offset(spark):
+    rows = state(spark, (0, 7, 3), (0, 9, 3), (0, 8, 3), (0, 50, 2))
+    for order in (rows, rows.orderBy("offset"), rows.orderBy(F.desc("offset"))):
+        assert tuple(offsets.committed_offsets(order).first()) == ("t", 0, 9, 3)
+
+
 def test_range_forms_agree(spark):
     messages = log(spark, {0: (0, 9), 1: (0, 9), 2: (0, 9)})
     plan = spark.createDataFrame(

@@ -19,23 +19,29 @@ EARLIEST = "earliest_offset"
 LATEST = "latest_offset"
 COMMITTED = "committed_offset"
 
-# Ranges of up to this many topic partitions are written out as literals.
+# Ranges of up to this many topic partitions are written out as literals; those of more
+# are joined. Either way the same rows are found.
 MAX_LITERAL_RANGES = 500
 
 
-def local_offsets(spark: SparkSession, rows: list[Row], offset: str = n.OFFSET) -> DataFrame:
-    """Collected offset rows as a frame again, without a job."""
+def _local(spark: SparkSession, rows: list[Row], columns: dict[str, str]) -> DataFrame:
+    """Collected rows as a frame again, without a job; `columns` as name: name in the row."""
+    kinds = {n.TOPIC: pa.string(), n.PARTITION: pa.int32()}
     return spark.createDataFrame(
         pa.table(
             {
-                n.TOPIC: pa.array([r[n.TOPIC] for r in rows], pa.string()),
-                n.PARTITION: pa.array([r[n.PARTITION] for r in rows], pa.int32()),
-                n.OFFSET: pa.array([r[offset] for r in rows], pa.int64()),
+                name: pa.array([r[source] for r in rows], kinds.get(name, pa.int64()))
+                for name, source in columns.items()
             }
         )
     )
 
 
+def local_offsets(spark: SparkSession, rows: list[Row], offset: str = n.OFFSET) -> DataFrame:
+    """Collected offset rows as a frame again, without a job."""
+    return _local(spark, rows, {n.TOPIC: n.TOPIC, n.PARTITION: n.PARTITION, n.OFFSET: offset})
+
+
 def log_bounds(log: DataFrame) -> DataFrame:
     """First offset and one past the last offset of each topic partition."""
     return log.groupBy(n.TOPIC, n.PARTITION).agg(
@@ -55,11 +61,14 @@ def latest_offsets(log: DataFrame) -> DataFrame:
 
 def committed_offsets(state: DataFrame, topic: str | None = None) -> DataFrame:
     """Last committed offset of each topic partition, out of the append-only state,
-    and the batch that committed it."""
+    and the batch that committed it. Two commits of one batch: the higher offset."""
     if topic is not None:
         state = state.filter(F.col(n.TOPIC) == topic)
-    return state.groupBy(n.TOPIC, n.PARTITION).agg(
-        F.max_by(n.OFFSET, "batch_id").alias(n.OFFSET), F.max("batch_id").alias("batch_id")
+    last = F.max(F.struct("batch_id", n.OFFSET))
+    return (
+        state.groupBy(n.TOPIC, n.PARTITION)
+        .agg(last.alias("__last"))
+        .select(n.TOPIC, n.PARTITION, f"__last.{n.OFFSET}", "__last.batch_id")
     )
 
 
@@ -109,25 +118,57 @@ def _any_of(predicates: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, predicates, F.lit(False))
 
 
+def _places(log: DataFrame, rows: list[Row], offset: str) -> DataFrame:
+    """The rows as a broadcast frame of partition and `offset`; they have been collected,
+    one per topic partition."""
+    return F.broadcast(_local(log.sparkSession, rows, {n.PARTITION: n.PARTITION, offset: n.OFFSET}))
+
+
 def _unread(log: DataFrame, known: list[Row]) -> DataFrame:
     """Log rows at or past the committed offset of their partition, and all rows of
-    partitions not seen before. Literals, so that a scan can leave out read ranges."""
-    tails = _any_of(
-        (F.col(n.PARTITION) == row[n.PARTITION]) & (F.col(n.OFFSET) >= row[n.OFFSET])
-        for row in known
-    )
+    partitions not seen before. Partitions, and the offsets of few of them or the least
+    of many, are literals, so that a scan can leave out read ranges."""
     seen = F.col(n.PARTITION).isin([row[n.PARTITION] for row in known])
+    if len(known) <= MAX_LITERAL_RANGES:
+        tails = log.filter(
+            seen
+            & _any_of(
+                (F.col(n.PARTITION) == row[n.PARTITION]) & (F.col(n.OFFSET) >= row[n.OFFSET])
+                for row in known
+            )
+        )
+    else:
+        least = min(row[n.OFFSET] for row in known)
+        tails = (
+            log.filter(seen & (F.col(n.OFFSET) >= least))
+            .join(_places(log, known, COMMITTED), n.PARTITION)
+            .filter(F.col(n.OFFSET) >= F.col(COMMITTED))
+            .select(*log.columns)
+        )
     # Two scans: joined by OR, the second predicate would keep the first from the files.
-    return log.filter(seen & tails).union(log.filter(~seen))
+    return tails.union(log.filter(~seen))
 
 
 def _not_reaching(log: DataFrame, idle: list[Row]) -> list[int]:
     """Partitions whose last read offset is not in the log; a lookup, not a scan."""
-    last_read = _any_of(
-        (F.col(n.PARTITION) == row[n.PARTITION]) & (F.col(n.OFFSET) == row[n.OFFSET] - 1)
-        for row in idle
-    )
-    there = {row[0] for row in log.filter(last_read).select(n.PARTITION).distinct().collect()}
+    if len(idle) <= MAX_LITERAL_RANGES:
+        last_read = log.filter(
+            _any_of(
+                (F.col(n.PARTITION) == row[n.PARTITION]) & (F.col(n.OFFSET) == row[n.OFFSET] - 1)
+                for row in idle
+            )
+        )
+    else:
+        ends = [row[n.OFFSET] for row in idle]
+        last_read = (
+            log.filter(
+                F.col(n.PARTITION).isin([row[n.PARTITION] for row in idle])
+                & F.col(n.OFFSET).between(min(ends) - 1, max(ends) - 1)
+            )
+            .join(_places(log, idle, COMMITTED), n.PARTITION)
+            .filter(F.col(n.OFFSET) == F.col(COMMITTED) - 1)
+        )
+    there = {row[0] for row in last_read.select(n.PARTITION).distinct().collect()}
     return [row[n.PARTITION] for row in idle if row[n.PARTITION] not in there]
 
 
@@ -135,6 +176,7 @@ def plan_unread(log: DataFrame, known: list[Row], batch_size: int) -> list[Row]:
     """Like `plan_offsets`, but looks only at what lies past the committed offsets, and
     is fixed: it does not change when the log grows later. `known` are the rows of
     `committed_offsets` for the topic; partitions without anything new are left out.
+    The plan is the same for any number of partitions.
 
     A partition without anything new whose last read offset is gone is looked at as
     a whole, as its topic may have been created anew. A partition where the log
@@ -148,7 +190,7 @@ def plan_unread(log: DataFrame, known: list[Row], batch_size: int) -> list[Row]:
         rows = ending_offsets(starts, batch_size).collect()
         return [row for row in rows if row[START] < row[END]]
 
-    if not known or len(known) > MAX_LITERAL_RANGES:
+    if not known:
         return planned(log)
     plan = planned(_unread(log, known))
     found = {row[n.PARTITION] for row in plan}
@@ -179,14 +221,8 @@ def range_join(log: DataFrame, ranges: list[Row]) -> DataFrame:
 
     The plan, which has been collected already, is broadcast.
     """
-    limits = log.sparkSession.createDataFrame(
-        pa.table(
-            {
-                n.PARTITION: pa.array([r[n.PARTITION] for r in ranges], pa.int32()),
-                START: pa.array([r[START] for r in ranges], pa.int64()),
-                END: pa.array([r[END] for r in ranges], pa.int64()),
-            }
-        )
+    limits = _local(
+        log.sparkSession, ranges, {n.PARTITION: n.PARTITION, START: START, END: END}
     )
     low, high = min(r[START] for r in ranges), max(r[END] for r in ranges)
     return (
