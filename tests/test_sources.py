@@ -1,7 +1,7 @@
 import pytest
 
 from tidemark.plans.job import JobConfig
-from tidemark.scratch import ensure_checkpoint_dir, run_folder
+from tidemark.scratch import remove_folder, run_folder, write_once
 from tidemark.sources import broker, dictionary
 
 ENV = {
@@ -66,13 +66,37 @@ def test_config_from_environment():
         JobConfig.from_env({k: v for k, v in ENV.items() if k != "TOPIC_NAME"})
 
 
-def test_scratch_folders_follow_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
+class Elsewhere:
+    """A session on a cluster, as far as folders go."""
+
+    class sparkContext:
+        master = "yarn"
+
+    class conf:
+        named = None
+
+        @classmethod
+        def get(cls, key, default):
+            assert key == "spark.checkpoint.dir"
+            return cls.named
+
+
+def test_scratch_folders_follow_the_session(spark, monkeypatch):
     assert run_folder(spark, "x") != run_folder(spark, "x")
-    if before:
-        assert run_folder(spark, "x").startswith(before.rstrip("/") + "/")
-    ensure_checkpoint_dir(spark)
-    named = spark.sparkContext.getCheckpointDir()
-    assert named is not None
-    ensure_checkpoint_dir(spark)
-    assert spark.sparkContext.getCheckpointDir() == named
+    assert run_folder(Elsewhere, "x", "hdfs://n/stores/").startswith("hdfs://n/stores/tidemark-x-")
+    monkeypatch.setattr(Elsewhere.conf, "named", "hdfs://n/shared")
+    assert run_folder(Elsewhere, "x", "hdfs://n/stores").startswith("hdfs://n/shared/tidemark-x-")
+
+
+def test_no_temporary_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        run_folder(Elsewhere, "x")
+
+
+def test_scratch_tables_can_be_removed_and_nothing_else(spark, tmp_path):
+    folder = run_folder(spark, "x", str(tmp_path))
+    assert write_once(spark.range(5), f"{folder}/rows").count() == 5
+    remove_folder(spark, folder)
+    assert not list(tmp_path.rglob("*.parquet"))
+    with pytest.raises(ValueError, match="not a folder"):
+        remove_folder(spark, str(tmp_path))

@@ -30,6 +30,7 @@ COPIES = "copies"
 ROUTE = "route"
 
 POSITION = [PARTITION, OFFSET]
+PLACE = [TOPIC, *POSITION]
 STORE_PARTITIONS = [YEAR, WEEK_NUMBER]
 STORE_KEY = [ID, YEAR, WEEK_NUMBER]
 FLAT_COLUMNS = [ID, SHOP_ID, RECEIVE_TIME, ORDER_TIMESTAMP, YEAR, WEEK_NUMBER]
@@ -42,6 +43,8 @@ RESULT_DDL = (
     "receive_time TIMESTAMP, id LONG, order_timestamp TIMESTAMP, shop_name STRING, "
     "year INT, week_number INT"
 )
+# The failed store also says where each row came from, so that a replay can be told.
+FAILED_DDL = f"{RESULT_DDL}, topic STRING, partition INT, offset LONG"
 OFFSET_STATE_DDL = "topic STRING, partition INT, offset LONG, batch_id LONG"
 OFFSET_DOCUMENT_DDL = (
     "topic STRING, partitionDataList ARRAY<STRUCT<partitionIndex: STRING, offset: LONG>>"

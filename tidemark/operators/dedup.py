@@ -1,12 +1,14 @@
 """Duplicate removal inside a batch and against the stored history."""
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import names as n
+from tidemark.scratch import run_folder, write_once
 
 # Up to this many batch rows, the keys of a batch (16 bytes each) are broadcast.
 SMALL_BATCH_ROWS = 500_000
@@ -21,7 +23,7 @@ def dedup_in_batch(
     order: Sequence[str] = (n.RECEIVE_TIME, *n.POSITION),
     copies: str | None = None,
 ) -> DataFrame:
-    """One row per key: the first in `order`, ties decided by the other columns.
+    """One row per key: the first in `order`, nulls last, ties decided by the other columns.
 
     Null keys form one group. The minimum is taken in the map tasks first, so a
     key that holds a third of all rows still sends one row per task. `copies`
@@ -29,14 +31,18 @@ def dedup_in_batch(
     """
     first = [c for c in order if c in flat.columns]
     rest = [c for c in flat.columns if c not in first and c not in key]
-    survivor = F.min(F.struct(*first, *rest)).alias("__first")
+    nulls_last = [F.col(c).isNull().alias(f"__no_{c}") for c in first]
+    ordered = [c for pair in zip(nulls_last, first, strict=True) for c in pair]
+    survivor = F.min(F.struct(*ordered, *rest)).alias("__first")
     if copies is None:
         grouped = flat.groupBy(*key).agg(survivor)
         extra = []
     else:
         grouped = flat.groupBy(*key).agg(survivor, F.count(F.lit(1)).alias(copies))
         extra = [copies]
-    return grouped.select(*key, "__first.*", *extra).select(*flat.columns, *extra)
+    return grouped.select(
+        *[c if c in key else F.col(f"__first.{c}") for c in flat.columns], *extra
+    )
 
 
 def store_key(stored: DataFrame) -> DataFrame:
@@ -115,9 +121,61 @@ def anti_join_stored(
     return missing_from(batch, known, n.STORE_KEY, batch_rows)
 
 
+@dataclass(frozen=True)
+class Extent:
+    """What a batch spans: its weeks, its ids, and how many rows and copies it has."""
+
+    weeks: list[tuple[int | None, int | None]]
+    id_range: tuple[int, int] | None
+    kept: int
+    kept_valid: int
+    read: int
+    valid: int
+
+    @property
+    def untimed(self) -> bool:
+        """Some row has no arrival time."""
+        return any(None in pair for pair in self.weeks)
+
+
+def extent_of(survivors: DataFrame) -> Extent:
+    """One aggregation over the survivors, which know their copies; one row per week
+    is collected."""
+    copies = F.col(n.COPIES)
+    weeks = (
+        survivors.groupBy(n.YEAR, n.WEEK_NUMBER)
+        .agg(
+            F.count(F.lit(1)).alias("kept"),
+            F.count(n.ID).alias("kept_valid"),
+            F.sum(copies).alias("read"),
+            F.coalesce(F.sum(F.when(F.col(n.ID).isNotNull(), copies)), F.lit(0)).alias("valid"),
+            F.min(n.ID).alias("low"),
+            F.max(n.ID).alias("high"),
+        )
+        .collect()
+    )
+    with_ids = [w for w in weeks if w["low"] is not None]
+    return Extent(
+        [(w[n.YEAR], w[n.WEEK_NUMBER]) for w in weeks],
+        (min(w["low"] for w in with_ids), max(w["high"] for w in with_ids)) if with_ids else None,
+        *(sum(w[c] for w in weeks) for c in ("kept", "kept_valid", "read", "valid")),
+    )
+
+
+def fixed_survivors(flat: DataFrame, below: str | None = None) -> tuple[DataFrame, Extent]:
+    """Survivors of a batch, with their copies, as a written table, and their extent: the
+    messages are read and parsed for the table alone."""
+    spark = flat.sparkSession
+    path = run_folder(spark, "survivors", below)
+    survivors = write_once(dedup_in_batch(flat, copies=n.COPIES), path)
+    return survivors, extent_of(survivors)
+
+
 def dedup_incremental(flat: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Survivors of the batch that are not stored yet; with no store, all of them."""
-    survivors = dedup_in_batch(flat)
     if stored is None:
-        return survivors
-    return anti_join_stored(survivors, stored, weeks=weeks_of(flat))
+        return dedup_in_batch(flat)
+    survivors, extent = fixed_survivors(flat)
+    return anti_join_stored(
+        survivors, stored, extent.weeks, extent.id_range, extent.kept
+    ).drop(n.COPIES)

@@ -32,10 +32,12 @@ def enrich_with_dictionary(
     dictionary: DataFrame,
     keep: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    dictionary_size: int | None = None,
 ) -> DataFrame:
     """Every order with the name of its shop, null where the dictionary has none.
 
-    The dictionary is broadcast if it measures at most `broadcast_bytes`. Beyond
+    The dictionary is broadcast if it measures at most `broadcast_bytes`;
+    `dictionary_size` is its size where it was measured before. Beyond
     that both sides are shuffled by shop, and adaptive execution splits the tasks
     of a shop, or of the missing shop, that holds a large share of the orders.
     """
@@ -43,7 +45,9 @@ def enrich_with_dictionary(
         F.col(n.DICTIONARY_ID).cast("long").alias(_KEY),
         F.col(n.DICTIONARY_NAME).alias(n.SHOP_NAME),
     )
-    if dictionary_bytes(dictionary) <= broadcast_bytes:
+    if dictionary_size is None:
+        dictionary_size = dictionary_bytes(dictionary)
+    if dictionary_size <= broadcast_bytes:
         shops = F.broadcast(shops)
     else:
         shops = shops.hint("merge")

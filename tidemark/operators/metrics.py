@@ -10,39 +10,38 @@ from tidemark.operators.enrich import enrich_with_dictionary
 # Committed offsets of up to this many topic partitions are broadcast.
 MAX_BROADCAST_PARTITIONS = 500_000
 
-_SEEN = "__seen"
 
-
-def judged(survivors: DataFrame, stored: DataFrame, dictionary: DataFrame) -> DataFrame:
+def judged(
+    survivors: DataFrame, stored: DataFrame, dictionary: DataFrame, extent: dedup.Extent
+) -> DataFrame:
     """Survivors with their copies, whether they are stored, and their shop name."""
-    known = dedup.store_key(stored).distinct().withColumn(_SEEN, F.lit(True))
-    marked = survivors.join(known, n.STORE_KEY, "left")
-    return enrich_with_dictionary(marked, dictionary, keep=[n.COPIES, _SEEN])
+    fresh = dedup.anti_join_stored(
+        survivors, stored, extent.weeks, extent.id_range, extent.kept
+    )
+    named = enrich_with_dictionary(fresh, dictionary, keep=[n.COPIES])
+    return named.select(n.ID, n.COPIES, n.SHOP_NAME)
 
 
 def run_metrics(flat: DataFrame, stored: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One row: read, invalid, duplicates by kind, success and failed.
 
-    All counts come from one pass over the batch: each survivor knows how many
-    copies it stands for. Rows without an id are `invalid` and not duplicates,
-    although they collapse to one row that goes to a store.
+    The batch is read and parsed once: each survivor knows how many copies it stands
+    for. Rows without an id are `invalid` and not duplicates, although they collapse to
+    one row that goes to a store.
     """
-    survivors = dedup.dedup_in_batch(flat, copies=n.COPIES)
-    stored = dedup.only_weeks(stored, dedup.weeks_of(flat))
-    has_id = F.col(n.ID).isNotNull()
-    seen = F.coalesce(F.col(_SEEN), F.lit(False))
-    copies = F.col(n.COPIES)
-
-    def total(column):
-        return F.coalesce(F.sum(column), F.lit(0))
-
-    return judged(survivors, stored, dictionary).agg(
-        total(copies).alias("read"),
-        total(F.when(~has_id, copies)).alias("invalid"),
-        total(F.when(has_id, copies - 1)).alias("dup_in_batch"),
-        F.count_if(seen).alias("dup_stored"),
-        F.count_if(~seen & F.col(n.SHOP_NAME).isNotNull()).alias("success"),
-        F.count_if(~seen & F.col(n.SHOP_NAME).isNull()).alias("failed"),
+    survivors, extent = dedup.fixed_survivors(flat)
+
+    def known(count):
+        return F.lit(count).cast("long")
+
+    shop = F.col(n.SHOP_NAME)
+    return judged(survivors, stored, dictionary, extent).agg(
+        known(extent.read).alias("read"),
+        known(extent.read - extent.valid).alias("invalid"),
+        known(extent.valid - extent.kept_valid).alias("dup_in_batch"),
+        (known(extent.kept) - F.count(F.lit(1))).alias("dup_stored"),
+        F.count_if(shop.isNotNull()).alias("success"),
+        F.count_if(shop.isNull()).alias("failed"),
     )
 
 
@@ -60,8 +59,14 @@ def batch_counts(flat: DataFrame, stored: DataFrame, dictionary: DataFrame) -> D
 
 
 def partition_lag(log: DataFrame, committed: DataFrame) -> DataFrame:
-    """Offsets between the last commit, or the start of the log, and its end."""
-    starts = offsets.starting_offsets(offsets.log_bounds(log), committed)
+    """Offsets between the last commit, or the start of the log, and its end.
+
+    Only what lies past the commits is looked at, and, in partitions where nothing does,
+    the message read last. A partition whose log ends before that is looked at as a whole.
+    """
+    known = committed.collect()
+    bounds = offsets.bounds_past(log, known)
+    starts = offsets.starting_offsets(bounds, offsets.local_offsets(log.sparkSession, known))
     return starts.select(
         n.TOPIC,
         n.PARTITION,

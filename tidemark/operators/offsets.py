@@ -172,6 +172,37 @@ def _not_reaching(log: DataFrame, idle: list[Row]) -> list[int]:
     return [row[n.PARTITION] for row in idle if row[n.PARTITION] not in there]
 
 
+def bounds_past(log: DataFrame, known: list[Row]) -> DataFrame:
+    """Bounds that give each topic partition the start and lag that `log_bounds` gives it,
+    from the rows past the committed offsets.
+
+    Where the message read last is still there, the log reaches back to the commit, and
+    EARLIEST is told as the commit itself; other partitions are looked at as a whole.
+    """
+    log = log.select(n.TOPIC, n.PARTITION, n.OFFSET)
+    spark, topics = log.sparkSession, sorted({row[n.TOPIC] for row in known})
+    parts = [log_bounds(log.filter(~F.col(n.TOPIC).isin(topics)) if topics else log)]
+    for topic in topics:
+        own, rows = log.filter(F.col(n.TOPIC) == topic), [r for r in known if r[n.TOPIC] == topic]
+        lost = set(_not_reaching(own, rows))
+        reached = [row for row in rows if row[n.PARTITION] not in lost]
+        ends = _local(
+            spark,
+            reached,
+            {
+                n.TOPIC: n.TOPIC,
+                n.PARTITION: n.PARTITION,
+                EARLIEST: n.OFFSET,
+                LATEST: n.OFFSET,
+            },
+        )
+        past = log_bounds(_unread(own.filter(~F.col(n.PARTITION).isin(sorted(lost))), reached))
+        both = ends.unionByName(past).groupBy(n.TOPIC, n.PARTITION)
+        parts.append(both.agg(F.min(EARLIEST).alias(EARLIEST), F.max(LATEST).alias(LATEST)))
+        parts.append(log_bounds(own.filter(F.col(n.PARTITION).isin(sorted(lost)))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def plan_unread(log: DataFrame, known: list[Row], batch_size: int) -> list[Row]:
     """Like `plan_offsets`, but looks only at what lies past the committed offsets, and
     is fixed: it does not change when the log grows later. `known` are the rows of

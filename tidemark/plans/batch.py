@@ -5,7 +5,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.messages import flatten_messages, split_invalid
@@ -13,17 +12,24 @@ from tidemark.operators.dedup import (
     anti_join_stored,
     dedup_in_batch,
     dedup_incremental,
+    extent_of,
     only_weeks,
 )
 from tidemark.operators.enrich import enrich_with_dictionary, route
-from tidemark.scratch import ensure_checkpoint_dir
+from tidemark.scratch import remove_folder, run_folder, write_once
 from tidemark.sources.store import append_quarantine, read_store, write_routed
 
+# Folder below the stores for intermediate tables, where the session names none.
+SCRATCH = "_scratch"
+
 
 @dataclass(frozen=True)
 class BatchReport:
     """Counts of one batch. `read` = `invalid` + duplicates + `success` + `failed`,
-    except that the rows without an id, all `invalid`, still route as one row."""
+    except that the rows without an id, all `invalid`, still route as one row.
+
+    `success`, `failed` and, with quarantine, `invalid` are what was written; what a
+    safe replay finds written already counts as `dup_stored`."""
 
     read: int = 0
     invalid: int = 0
@@ -33,8 +39,8 @@ class BatchReport:
     failed: int = 0
 
 
-def _position(messages: DataFrame) -> list[str]:
-    return [c for c in n.POSITION if c in messages.columns]
+def _place(messages: DataFrame) -> list[str]:
+    return [c for c in n.PLACE if c in messages.columns]
 
 
 def process_batch(
@@ -44,7 +50,7 @@ def process_batch(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Messages to result rows with the route each one takes. Nothing is written."""
-    flat = flatten_messages(messages, keep=_position(messages))
+    flat = flatten_messages(messages, keep=_place(messages))
     fresh = dedup_incremental(flat, stored)
     return enrich_with_dictionary(fresh, dictionary, keep).withColumn(n.ROUTE, route())
 
@@ -56,77 +62,68 @@ def store_batch(
     replay_safe: bool = False,
     quarantine: bool = False,
     max_rows_per_file: int | None = None,
+    dictionary_size: int | None = None,
 ) -> BatchReport:
     """Process one bounded batch and append it to the stores below `root`.
 
-    Messages are read and parsed once, without `quarantine`; the survivors of the
-    batch are persisted and carry the counts. Their result is checkpointed before the first write, as
-    a write to a store makes Spark drop what it has cached over that store, and so
-    that a lost executor cannot set off a second look at a store already written.
+    Messages are read and parsed once, without `quarantine`. The survivors of the batch
+    and then its result are written tables in a folder that executors share
+    (`spark.checkpoint.dir`, or below `root`) and that is removed at the end: a store
+    that changes, or a lost executor, cannot set off a second look at what was there
+    before. The report counts what was written.
 
     `replay_safe` keeps a batch that is run again after a crash from adding its
     failed rows twice. `quarantine` sets invalid messages aside, whole, instead of
-    letting them collapse into one failed row.
+    letting them collapse into one failed row. Rows without an arrival time belong to no
+    week: they are set aside with `quarantine`, and raise an error without it, before
+    anything is written.
     """
     spark = messages.sparkSession
-    ensure_checkpoint_dir(spark)
-    set_aside = 0
+    set_aside = written_aside = 0
     if quarantine:
         messages, invalid = split_invalid(messages)
         invalid.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             set_aside = invalid.count()
             if set_aside:
-                append_quarantine(invalid, root, replay_safe, set_aside)
+                written_aside = append_quarantine(invalid, root, replay_safe, set_aside)
         finally:
             invalid.unpersist()
 
-    flat = flatten_messages(messages, keep=_position(messages))
-    survivors = dedup_in_batch(flat, copies=n.COPIES).persist(StorageLevel.MEMORY_AND_DISK)
+    flat = flatten_messages(messages, keep=_place(messages))
+    folder = run_folder(spark, "batch", f"{root.rstrip('/')}/{SCRATCH}")
     try:
-        # One row per week of the batch.
-        weeks = (
-            survivors.groupBy(n.YEAR, n.WEEK_NUMBER)
-            .agg(
-                F.count(F.lit(1)).alias("kept"),
-                F.count(n.ID).alias("kept_valid"),
-                F.sum(n.COPIES).alias("read"),
-                F.coalesce(F.sum(F.when(F.col(n.ID).isNotNull(), F.col(n.COPIES))), F.lit(0)).alias(
-                    "valid"
-                ),
-                F.min(n.ID).alias("low"),
-                F.max(n.ID).alias("high"),
+        survivors = write_once(dedup_in_batch(flat, copies=n.COPIES), f"{folder}/survivors")
+        extent = extent_of(survivors)
+        if not extent.kept:
+            return BatchReport(read=set_aside, invalid=written_aside, dup_stored=set_aside - written_aside)
+        if extent.untimed:
+            raise ValueError(
+                "messages without an arrival time belong to no week; quarantine sets them aside"
             )
-            .collect()
-        )
-        if not weeks:
-            return BatchReport(read=set_aside, invalid=set_aside)
-        pairs = [(w[n.YEAR], w[n.WEEK_NUMBER]) for w in weeks]
-        kept, kept_valid, read, valid = (
-            sum(w[c] for w in weeks) for c in ("kept", "kept_valid", "read", "valid")
-        )
-        with_ids = [w for w in weeks if w["low"] is not None]
-        id_range = (
-            (min(w["low"] for w in with_ids), max(w["high"] for w in with_ids))
-            if with_ids
-            else None
-        )
         fresh = anti_join_stored(
-            survivors, read_store(spark, root, n.SUCCESS, pairs), pairs, id_range, kept
+            survivors,
+            read_store(spark, root, n.SUCCESS, extent.weeks),
+            extent.weeks,
+            extent.id_range,
+            extent.kept,
+        )
+        result = enrich_with_dictionary(
+            fresh, dictionary, keep=_place(messages), dictionary_size=dictionary_size
         )
-        rows = enrich_with_dictionary(fresh, dictionary).checkpoint()
+        rows = write_once(result, f"{folder}/result")
+        failed_before = None
+        if replay_safe:
+            before = read_store(spark, root, n.FAILED, extent.weeks, n.FAILED_DDL)
+            failed_before = only_weeks(before, extent.weeks)
+        success, failed = write_routed(rows, root, failed_before, max_rows_per_file)
     finally:
-        survivors.unpersist()
-
-    failed_before = None
-    if replay_safe:
-        failed_before = only_weeks(read_store(spark, root, n.FAILED, pairs), pairs)
-    success, failed = write_routed(rows, root, failed_before, max_rows_per_file)
+        remove_folder(spark, folder)
     return BatchReport(
-        read=read + set_aside,
-        invalid=read - valid + set_aside,
-        dup_in_batch=valid - kept_valid,
-        dup_stored=kept - success - failed,
+        read=extent.read + set_aside,
+        invalid=extent.read - extent.valid + written_aside,
+        dup_in_batch=extent.valid - extent.kept_valid,
+        dup_stored=extent.kept - success - failed + set_aside - written_aside,
         success=success,
         failed=failed,
     )

@@ -1,15 +1,29 @@
 """The ingestion job over a message log table: bounded batches, offsets committed last."""
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import asdict, dataclass, field
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark import names as n
-from tidemark.operators.offsets import COMMITTED, START, log_range_scan, plan_unread
+from tidemark.functions.offset_text import offsets_to_json
+from tidemark.operators.enrich import dictionary_bytes
+from tidemark.operators.offsets import (
+    COMMITTED,
+    END,
+    START,
+    ending_offsets,
+    local_offsets,
+    log_bounds,
+    log_range_scan,
+    plan_unread,
+    starting_offsets,
+)
 from tidemark.plans.batch import BatchReport, store_batch
 from tidemark.sources import broker
+from tidemark.sources.broker import read_range
 from tidemark.sources.dictionary import jdbc_options, read_dictionary
 from tidemark.sources.offset_table import commit_offsets, find_offsets
 from tidemark.sources.store import store_path
@@ -55,20 +69,7 @@ class JobConfig:
         )
 
 
-def incremental_batch(
-    log: DataFrame, dictionary: DataFrame, config: JobConfig
-) -> tuple[int, BatchReport] | None:
-    """Read, store and commit what follows the last commit; None if nothing does.
-
-    A failure anywhere is raised and leaves the offsets as they were, so the next
-    run reads the same range again.
-    """
-    spark = log.sparkSession
-    log = log.filter(log[n.TOPIC] == config.topic)
-    known = find_offsets(spark, config.offsets_path, config.topic).collect()
-    plan = plan_unread(log, known, config.batch_size)
-    if not plan:
-        return None
+def _warn_of_moves(config: JobConfig, plan: list[Row]) -> None:
     for row in plan:
         if row["moved"]:
             logger.log(
@@ -79,19 +80,54 @@ def incremental_batch(
                 row[COMMITTED],
                 row[START],
             )
+
+
+def _store_and_commit(
+    messages: DataFrame,
+    dictionary: DataFrame,
+    config: JobConfig,
+    plan: list[Row],
+    known: list[Row],
+    dictionary_size: int | None = None,
+) -> tuple[int, BatchReport]:
+    """Stores first, offsets last: a crash between them reads the range again."""
     batch_id = max((row["batch_id"] for row in known), default=-1) + 1
     report = store_batch(
-        log_range_scan(log, plan),
+        messages,
         dictionary,
         config.write_to,
         replay_safe=config.replay_safe,
         quarantine=config.quarantine,
         max_rows_per_file=config.max_rows_per_file,
+        dictionary_size=dictionary_size,
     )
-    commit_offsets(spark, plan, config.offsets_path, batch_id)
+    commit_offsets(messages.sparkSession, plan, config.offsets_path, batch_id, known)
+    logger.info("%s, batch %s: %s", config.topic, batch_id, report)
     return batch_id, report
 
 
+def incremental_batch(
+    log: DataFrame,
+    dictionary: DataFrame,
+    config: JobConfig,
+    dictionary_size: int | None = None,
+) -> tuple[int, BatchReport] | None:
+    """Read, store and commit what follows the last commit; None if nothing does.
+
+    A failure anywhere is raised and leaves the offsets as they were, so the next
+    run reads the same range again.
+    """
+    spark = log.sparkSession
+    log = log.filter(log[n.TOPIC] == config.topic)
+    known = find_offsets(spark, config.offsets_path, config.topic).collect()
+    plan = plan_unread(log, known, config.batch_size)
+    if not plan:
+        return None
+    _warn_of_moves(config, plan)
+    messages = log_range_scan(log, plan)
+    return _store_and_commit(messages, dictionary, config, plan, known, dictionary_size)
+
+
 def load_dictionary(spark: SparkSession, config: JobConfig) -> DataFrame:
     return read_dictionary(
         spark, dict(config.dictionary), config.dictionary_source, *config.dictionary_columns
@@ -106,12 +142,54 @@ def ingest_job(
     return incremental_batch(log, dictionary, config)
 
 
+Reader = Callable[[dict[str, str]], DataFrame]
+
+
+def broker_batch(
+    spark: SparkSession,
+    config: JobConfig,
+    dictionary: DataFrame,
+    reader: Reader | None = None,
+    bounds: DataFrame | None = None,
+) -> tuple[int, BatchReport] | None:
+    """Plan a bounded range over the broker's topic, read exactly that, store and commit.
+
+    `reader` makes a frame of the connector's options (`sources.broker.read_range` by
+    default). `bounds` holds the first and next offset of each topic partition
+    (`operators.offsets.log_bounds`); where nobody else knows them they are read from the
+    topic, from the committed offsets to its end. Every partition is named in the
+    options, idle ones with an empty range.
+    """
+    read = reader or partial(read_range, spark)
+    servers, group = config.broker["kafka.bootstrap.servers"], config.broker.get("kafka.group.id")
+    known = find_offsets(spark, config.offsets_path, config.topic).collect()
+    committed = local_offsets(spark, known)
+    if bounds is None:
+        options = broker.range_options(servers, config.topic, "earliest", "latest", group)
+        bounds = log_bounds(read(options))
+    ends = ending_offsets(starting_offsets(bounds, committed), config.batch_size).collect()
+    plan = [row for row in ends if row[START] < row[END]]
+    if not plan:
+        return None
+    _warn_of_moves(config, plan)
+    planned = local_offsets(spark, ends, START).withColumnRenamed(n.OFFSET, START)
+    planned = planned.join(
+        local_offsets(spark, ends, END).withColumnRenamed(n.OFFSET, END), [n.TOPIC, n.PARTITION]
+    )
+    texts = offsets_to_json(planned, starting_offsets=START, ending_offsets=END).first()
+    options = broker.range_options(
+        servers, config.topic, texts["starting_offsets"], texts["ending_offsets"], group
+    )
+    return _store_and_commit(read(options), dictionary, config, plan, known)
+
+
 def backfill(
     log: DataFrame, dictionary: DataFrame, config: JobConfig
 ) -> list[tuple[int, BatchReport]]:
-    """Batches until the end of the log, for a historical load."""
-    done = []
-    while (batch := incremental_batch(log, dictionary, config)) is not None:
+    """Batches until the end of the log, for a historical load. The dictionary is
+    measured once."""
+    done, size = [], dictionary_bytes(dictionary)
+    while (batch := incremental_batch(log, dictionary, config, size)) is not None:
         done.append(batch)
     return done
 

@@ -3,21 +3,32 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def run_folder(spark: SparkSession, label: str) -> str:
-    """A new folder below the one the session names in `spark.checkpoint.dir`.
-
-    Only a session that names none, as in a local test, gets a temporary folder.
+def run_folder(spark: SparkSession, label: str, below: str | None = None) -> str:
+    """A new folder below the one the session names in `spark.checkpoint.dir`, else below
+    `below`. Only a local session that has neither gets a temporary folder: on a cluster
+    other executors could not read it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or below
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Leave the checkpoint folder the cluster names; name one only where there is none."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(run_folder(spark, "checkpoint"))
+def write_once(rows: DataFrame, path: str) -> DataFrame:
+    """The rows as a table at `path`, read back: nothing is computed again after this."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `run_folder` named and everything in it."""
+    if "/tidemark-" not in path:
+        raise ValueError(f"not a folder of this library: {path}")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,5 +1,7 @@
 """Committed offsets as an append-only table: one row per topic partition and commit."""
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +24,41 @@ def find_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return committed_offsets(read_state(spark, path), topic)
 
 
-def commit_offsets(spark: SparkSession, plan: list[Row], path: str, batch_id: int) -> None:
-    """End offsets of a plan as the latest commit; a repeated commit changes nothing."""
-    rows = local_offsets(spark, plan, END).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    rows = rows.coalesce(1)
+# Files of commits that are kept for each topic. Every commit holds the offsets of all
+# partitions, so the last one would do; the others are there to look back at.
+KEPT_COMMITS = 96
+
+
+def commit_offsets(
+    spark: SparkSession, plan: list[Row], path: str, batch_id: int, known: Sequence[Row] = ()
+) -> None:
+    """End offsets of a plan as the latest commit, with the `known` offsets of the
+    partitions it leaves alone; a repeated commit changes nothing.
+
+    With `known`, the last commits suffice, and older files are removed, so that reading
+    the offsets opens no more files after years of runs.
+    """
+    planned = {(row[n.TOPIC], row[n.PARTITION]) for row in plan}
+    rest = [row for row in known if (row[n.TOPIC], row[n.PARTITION]) not in planned]
+    rows = local_offsets(spark, plan, END).unionByName(local_offsets(spark, rest))
+    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long")).coalesce(1)
     rows.write.mode("append").partitionBy(n.TOPIC).parquet(path)
+    if known:
+        for topic in {row[n.TOPIC] for row in plan}:
+            _remove_old(spark, path, topic, batch_id)
+
+
+def _remove_old(spark: SparkSession, path: str, topic: str, batch_id: int) -> None:
+    """Remove files that hold only commits older than the `KEPT_COMMITS` last batches."""
+    state = read_state(spark, path).filter(F.col(n.TOPIC) == topic)
+    files = [file for file in state.inputFiles()]
+    if len(files) <= 2 * KEPT_COMMITS:
+        return
+    newest = state.groupBy(F.input_file_name().alias("file")).agg(F.max("batch_id").alias("batch"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for row in newest.filter(F.col("batch") <= batch_id - KEPT_COMMITS).collect():
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["file"]))
+        file.getFileSystem(conf).delete(file, False)
 
 
 def compact(spark: SparkSession, path: str, new_path: str) -> None:

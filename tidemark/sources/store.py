@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.operators.dedup import missing_from
+from tidemark.functions.messages import arrival_time, arrival_week, arrival_year
+from tidemark.operators.dedup import missing_from, only_weeks
 from tidemark.operators.enrich import matched, unmatched
 
 # Up to this many weeks are named one by one when a store is listed.
@@ -23,6 +24,7 @@ def read_store(
     root: str,
     store: str = n.SUCCESS,
     weeks: Sequence[tuple[int, int]] | None = None,
+    schema: str = n.RESULT_DDL,
 ) -> DataFrame:
     """Rows of a store. One that was never written has none; other errors are raised.
 
@@ -33,21 +35,21 @@ def read_store(
     if weeks is not None:
         known = sorted({pair for pair in weeks if None not in pair})
         if not known:
-            return _no_rows(spark)
+            return _no_rows(spark, schema)
         if len(known) <= MAX_LISTED_WEEKS:
             folders = (f"{n.YEAR}={year}/{n.WEEK_NUMBER}={week}" for year, week in known)
             path = f"{base}/{{{','.join(folders)}}}"
     try:
-        return spark.read.schema(n.RESULT_DDL).option("basePath", base).parquet(path)
+        return spark.read.schema(schema).option("basePath", base).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return _no_rows(spark)
+        return _no_rows(spark, schema)
 
 
-def _no_rows(spark: SparkSession) -> DataFrame:
+def _no_rows(spark: SparkSession, schema: str) -> DataFrame:
     # A limit of zero is planned as an empty relation, and joins with it away.
-    return spark.createDataFrame([], n.RESULT_DDL).limit(0)
+    return spark.createDataFrame([], schema).limit(0)
 
 
 def distribute_by_partition(rows: DataFrame) -> DataFrame:
@@ -68,9 +70,15 @@ def append_partitioned(rows: DataFrame, path: str, max_rows_per_file: int | None
 
 
 def not_yet_in(rows: DataFrame, stored: DataFrame, row_count: int | None = None) -> DataFrame:
-    """Rows a store does not hold; null ids compare as equal. Keeps a replay from
-    adding failed rows twice, while orders sent again still accumulate."""
-    key = [*n.STORE_PARTITIONS, n.RECEIVE_TIME, n.ID]
+    """Rows a store does not hold; nulls compare as equal. Keeps a replay from adding
+    failed rows twice, while orders sent again still accumulate.
+
+    A row is known by the message it came from: its place in the log and its arrival
+    time, as a topic created anew gives out its offsets again. Rows that do not know
+    their place are told by arrival time and id.
+    """
+    place = [c for c in n.PLACE if c in rows.columns and c in stored.columns]
+    key = [*n.STORE_PARTITIONS, n.RECEIVE_TIME, n.ID, *place]
     return missing_from(rows, stored, key, row_count, null_safe=True)
 
 
@@ -82,36 +90,55 @@ def write_routed(
 ) -> tuple[int, int]:
     """Matched rows to the success store, then the others to the failed store.
 
-    Returns how many went each way, from one count. `rows` is read three times and
-    should be persisted or checkpointed. Failed rows that `failed_before` holds are
-    counted but not written again.
+    Returns how many were written to each. `rows` is read three times and should be
+    persisted or a written table. Failed rows that `failed_before` holds are not written
+    again. Where rows know their place in the log, the failed store keeps it.
     """
     counts = rows.agg(
         F.count(n.SHOP_NAME).alias("matched"), F.count(F.lit(1)).alias("all")
     ).first()
     success, failed = counts["matched"], counts["all"] - counts["matched"]
+    place = [c for c in n.PLACE if c in rows.columns]
     if success:
-        append_partitioned(matched(rows), store_path(root, n.SUCCESS), max_rows_per_file)
+        append_partitioned(
+            matched(rows).drop(*place), store_path(root, n.SUCCESS), max_rows_per_file
+        )
     if failed:
         lost = unmatched(rows)
         if failed_before is not None:
             lost = not_yet_in(lost, failed_before, failed)
-        append_partitioned(lost, store_path(root, n.FAILED), max_rows_per_file)
+            failed = lost.count()
+        if failed:
+            append_partitioned(lost, store_path(root, n.FAILED), max_rows_per_file)
     return success, failed
 
 
 def append_quarantine(
     messages: DataFrame, root: str, replay_safe: bool = False, row_count: int | None = None
-) -> None:
-    """Invalid messages as they came. On a replay, those already there are left out;
-    a message is known by its place in the log."""
+) -> int:
+    """Invalid messages as they came, laid out by year and week of arrival; returns how
+    many were written. On a replay, those already there are left out: a message is known
+    by its place in the log and its arrival time. Only the weeks of these messages are
+    looked at, and those without an arrival time lie together."""
     path = store_path(root, n.QUARANTINE)
-    place = [c for c in (n.TOPIC, *n.POSITION) if c in messages.columns]
+    place = [c for c in n.PLACE if c in messages.columns]
+    when = arrival_time()
+    dated = messages.withColumns({n.YEAR: arrival_year(when), n.WEEK_NUMBER: arrival_week(when)})
     if replay_safe and n.OFFSET in place:
+        weeks = [tuple(r) for r in dated.select(*n.STORE_PARTITIONS).distinct().collect()]
         try:
-            before = messages.sparkSession.read.schema(messages.schema).parquet(path)
-            messages = missing_from(messages, before, place, row_count)
+            before = messages.sparkSession.read.schema(dated.schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    messages.write.mode("append").parquet(path)
+        else:
+            undated = before.filter(F.col(n.YEAR).isNull())
+            before = only_weeks(before, weeks)
+            if any(None in pair for pair in weeks):
+                before = before.unionByName(undated)
+            key = [*n.STORE_PARTITIONS, "timestamp", *place]
+            dated = missing_from(dated, before, key, row_count, null_safe=True)
+    written = dated.count()
+    if written:
+        append_partitioned(dated, path)
+    return written

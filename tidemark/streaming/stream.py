@@ -14,6 +14,7 @@ def ingest_stream(
     write_to: str,
     checkpoint: str,
     quarantine: bool = False,
+    max_rows_per_file: int | None = None,
     on_batch: Callable[[int, BatchReport], None] | None = None,
 ) -> StreamingQuery:
     """Read everything there is in bounded micro-batches, store each, and stop.
@@ -21,12 +22,17 @@ def ingest_stream(
     How much a micro-batch holds is the source's affair (`maxOffsetsPerTrigger`,
     `maxFilesPerTrigger`). The dictionary is read anew for each one. A micro-batch
     that runs again after a crash adds no row twice: its success rows are found
-    stored, and its failed rows are compared with those of the failed store.
+    stored, and its failed rows are told by the messages they came from.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         report = store_batch(
-            batch, dictionary(), write_to, replay_safe=True, quarantine=quarantine
+            batch,
+            dictionary(),
+            write_to,
+            replay_safe=True,
+            quarantine=quarantine,
+            max_rows_per_file=max_rows_per_file,
         )
         if on_batch is not None:
             on_batch(batch_id, report)
