@@ -29,13 +29,13 @@ from tidemark.llm.common import WORD, by_bytes, table, written
 
 SHINGLE = 5
 PERCENT = 80
-SAMPLES = 512
+SAMPLES = 1024
 BANDS, BAND_ROWS = 32, 4
-SKETCH_BITS = 2048
+SKETCH_BITS = 4096
 #: Standard deviations of the sketch's estimate by which a pair may miss the threshold.
 MARGIN = 5.0
 BATCH_BYTES = 4 << 20
-_BLOCK = 4096
+_BLOCK = 2048
 
 _WORD = re.compile(WORD)
 _rng = np.random.default_rng(20240229)
@@ -161,6 +161,16 @@ def _differing(left: str, right: str) -> Column:
     )
 
 
+def _first_common_band(left: str, right: str) -> Column:
+    """The first band in which two nodes meet: there they are compared, and nowhere else."""
+    return F.coalesce(
+        *[
+            F.when(F.get(F.col(left), F.lit(k)) == F.get(F.col(right), F.lit(k)), k)
+            for k in range(BANDS)
+        ]
+    )
+
+
 def _may_link(percent: int, margin: float) -> Column:
     sizes = 100 * F.least("a.n_shingles", "b.n_shingles") >= percent * F.greatest(
         "a.n_shingles", "b.n_shingles"
@@ -248,7 +258,7 @@ def near_duplicates(
         .select("node", "first.doc_id", "first.text_hash", "n_shingles", "keys", "sketch"),
         "nodes",
     )
-    placed = nodes.select("node", "doc_id", F.explode("keys").alias("key"))
+    placed = nodes.select("node", "doc_id", F.posexplode("keys").alias("band", "key"))
     groups = (
         placed.groupBy("key")
         .agg(
@@ -258,10 +268,9 @@ def near_duplicates(
         .filter("n > 1")
         .select("key", F.col("first.node").alias("center"))
     )
-    members = written(placed.join(groups, "key").select("key", "node", "center"), "band-members")
+    members = written(placed.join(groups, "key").select("band", "key", "node", "center"), "band-members")
     candidates = written(
-        nodes.join(members.select("node").distinct(), "node", "left_semi").drop("keys"),
-        "candidates",
+        nodes.join(members.select("node").distinct(), "node", "left_semi"), "candidates"
     )
     sketches = candidates.select("node", "n_shingles", "sketch")
     sets = written(_sets(docs, candidates, size).dropDuplicates(["node"]), "shingle-sets")
@@ -282,11 +291,12 @@ def near_duplicates(
     links = written(_linked(passing(star), sets, percent), "star-links")
     roots = components(links)
     rooted = members.join(roots, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root")
+        "band", "key", "node", F.coalesce("root", "node").alias("root")
     )
     mixed = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     across = written(
-        rooted.join(mixed.select("key"), "key").join(sketches, "node"), "mixed-members"
+        rooted.join(mixed.select("key"), "key").join(candidates.drop("doc_id", "text_hash"), "node"),
+        "mixed-members",
     )
     rest = (
         across.alias("a")
@@ -294,12 +304,12 @@ def near_duplicates(
             across.alias("b"),
             (F.col("a.key") == F.col("b.key"))
             & (F.col("a.root") < F.col("b.root"))
-            & _may_link(percent, margin),
+            & _may_link(percent, margin)
+            & (_first_common_band("a.keys", "b.keys") == F.col("a.band")),
         )
         .select(
             F.least("a.node", "b.node").alias("low"), F.greatest("a.node", "b.node").alias("high")
         )
-        .distinct()
         .join(star, ["low", "high"], "left_anti")
     )
     more = written(_linked(rest, sets, percent), "cross-links")
