@@ -18,14 +18,17 @@ def flat_row(id_, offset, shop=2, hours=0, week=1, partition=0):
     return (id_, shop, DAY + dt.timedelta(hours=hours), DAY, 2022, week, partition, offset)
 
 
-def test_anti_join_keeps_unknown_ids(spark):
-    ddl = "id long, shop_id long, receive_time string, year int, week_number int"
-    batch = spark.createDataFrame([(i, 2, "2022-01-01 20:54:01", 2022, 1) for i in (1, 2, 3)], ddl)
-    stored = spark.createDataFrame([(2, 2, "2022-01-01 20:54:01", 2022, 1)], ddl)
+def test_anti_join_looks_at_id_year_and_week_alone(spark):
+    """Stored rows with other shops and times still count; other weeks or years do not."""
+    batch = [flat_row(40, 0, shop=9, hours=5), flat_row(41, 1, week=3), flat_row(42, 2)]
+    last_year = list(flat_row(42, 0))
+    last_year[4] = 2021
+    stored = [flat_row(40, 7, shop=1), flat_row(41, 8, week=4), tuple(last_year)]
+    frame, known = spark.createDataFrame(batch, FLAT), spark.createDataFrame(stored, FLAT)
     for rows in (None, 3):
-        kept = dedup.anti_join_stored(batch, stored, batch_rows=rows)
-        assert sorted(r[n.ID] for r in kept.collect()) == [1, 3]
-        assert kept.columns == batch.columns
+        kept = dedup.anti_join_stored(frame, known, batch_rows=rows)
+        assert sorted(r[n.ID] for r in kept.collect()) == [41, 42]
+        assert kept.columns == frame.columns
 
 
 def test_same_id_in_another_week_and_null_id_are_kept(spark):
@@ -59,6 +62,32 @@ def test_first_arrival_survives_then_position(spark):
     }
 
 
+def test_a_dated_copy_beats_one_without_a_time(spark):
+    untimed = (1, 5, None, DAY, None, None, 0, 0)
+    rows = [untimed, flat_row(1, 9, shop=6, hours=8), (2, 7, None, DAY, None, None, 1, 3)]
+    kept = dedup.dedup_in_batch(spark.createDataFrame(rows, FLAT).repartition(3)).collect()
+    assert {(r[n.ID], r[n.SHOP_ID]) for r in kept} == {(1, 6), (2, 7)}
+
+
+def test_composed_dedup_reads_the_batch_once(spark):
+    """The messages are counted as they are read: once, however often the result is used."""
+    read = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [flat_row(i % 20, i) for i in range(50)]
+    flat = spark.createDataFrame(rows, FLAT)
+    counted = flat.mapInArrow(tell, flat.schema)
+    stored = spark.createDataFrame([flat_row(3, 0)], FLAT)
+    kept = dedup.dedup_incremental(counted, stored)
+    assert kept.columns == flat.columns
+    assert kept.count() == 19 and len(kept.collect()) == 19
+    assert read.value == 50
+
+
 ROW = st.tuples(
     st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 3), st.integers(0, 2), st.integers(1, 2)
 )

@@ -8,10 +8,12 @@ from tests.frames import local_frame
 from tidemark import names as n
 from tidemark.functions.messages import flatten_messages
 from tidemark.operators.dedup import dedup_in_batch
-from tidemark.operators.metrics import batch_counts, run_metrics
+from tidemark.operators.metrics import batch_counts, partition_lag, run_metrics
+from tidemark.operators.offsets import committed_offsets, log_bounds, starting_offsets
 from tidemark.plans import batch as batch_plans
 from tidemark.plans import job
 from tidemark.plans.batch import BatchReport, process_batch, store_batch
+from tidemark.sources import offset_table
 from tidemark.sources.offset_table import find_offsets
 from tidemark.sources.store import read_store
 
@@ -21,7 +23,7 @@ DAY = dt.datetime(2022, 1, 3)
 
 def message(offset, id_, shop=2, partition=0, hours=0, value=None):
     if value is None:
-        value = f'{{"id":{id_}, "timestamp":"2022-01-01 20:54:01", "shopId": {shop}}}"'
+        value = f'{{"shopId":{shop},"timestamp":"2021-12-24 18:00:00","note":"x","id":{id_}}}'
     return ("orders", partition, offset, value, DAY + dt.timedelta(hours=hours))
 
 
@@ -50,14 +52,29 @@ def stores(spark, path):
 THREE = [message(0, 1), message(1, 1, hours=1), message(2, 2, shop=10)]
 
 
-def test_end_to_end_with_an_empty_store_folder(spark, tmp_path):
-    (tmp_path / n.SUCCESS).mkdir()
-    batch_id, report = job.incremental_batch(log_of(spark, THREE), shops(spark), config(tmp_path))
-    assert stores(spark, tmp_path) == ([(1, "shop#2")], [(2, None)])
-    assert batch_id == 0
-    assert report == BatchReport(read=3, dup_in_batch=1, success=1, failed=1)
-    offsets = find_offsets(spark, str(tmp_path / "offsets"), "orders").first()
-    assert (offsets["partition"], offsets["offset"]) == (0, 3)
+def test_end_to_end_over_two_partitions_and_a_week_boundary(spark, tmp_path):
+    """One order sent again within its week and once more in the next, one of an unknown
+    shop, one unreadable; the store folders are there but empty."""
+    for kind in (n.SUCCESS, n.FAILED):
+        (tmp_path / kind).mkdir()
+    rows = [
+        message(10, 7, shop=3, partition=1),
+        message(4, 7, shop=1, hours=2),
+        message(5, 8, shop=44, hours=3),
+        message(11, None, partition=1, hours=4, value="{"),
+        message(6, 7, shop=1, hours=24 * 7),
+    ]
+    log, settings = log_of(spark, rows), config(tmp_path, batch_size=2)
+    first, second = job.backfill(log, shops(spark), settings)
+    assert first == (0, BatchReport(read=4, invalid=1, dup_in_batch=1, success=1, failed=2))
+    assert second == (1, BatchReport(read=1, success=1))
+    assert stores(spark, tmp_path) == (
+        [(7, "shop#1"), (7, "shop#3")],
+        [(8, None), (None, None)],
+    )
+    offsets = find_offsets(spark, str(tmp_path / "offsets"), "orders").collect()
+    assert {(r["partition"], r["offset"]) for r in offsets} == {(0, 7), (1, 12)}
+    assert not list(tmp_path.rglob("tidemark-*"))  # nothing is left of the intermediate tables
 
 
 def test_nothing_new_is_no_batch(spark, tmp_path):
@@ -94,6 +111,102 @@ def test_a_safe_replay_adds_nothing_at_all(spark, tmp_path):
     assert len(stores(spark, tmp_path)[1]) == 3
 
 
+def test_equal_ids_and_times_of_other_messages_are_no_replay(spark, tmp_path):
+    first = log_of(spark, [message(0, 7, shop=44), message(1, None, value="{")])
+    second = log_of(spark, [message(2, 7, shop=45), message(0, None, partition=1, value="[")])
+    for log in (first, second):
+        report = store_batch(log, shops(spark), str(tmp_path), replay_safe=True)
+        assert report == BatchReport(read=2, invalid=1, failed=2)
+    assert stores(spark, tmp_path)[1] == [(7, None), (7, None), (None, None), (None, None)]
+    again = store_batch(second, shops(spark), str(tmp_path), replay_safe=True)
+    assert (again.failed, again.dup_stored) == (0, 2)
+    assert len(stores(spark, tmp_path)[1]) == 4
+
+
+def test_a_message_at_the_place_of_another_is_set_aside_too(spark, tmp_path):
+    """A topic created anew gives out its offsets again."""
+    old = log_of(spark, [message(3, None, value="old")])
+    new = log_of(spark, [message(3, None, value="new", hours=30)])
+    for log, written in ((old, 1), (old, 0), (new, 1), (new, 0)):
+        report = store_batch(log, shops(spark), str(tmp_path), replay_safe=True, quarantine=True)
+        assert (report.read, report.invalid, report.dup_stored) == (1, written, 1 - written)
+    aside = spark.read.parquet(str(tmp_path / n.QUARANTINE))
+    assert sorted(r["value"] for r in aside.collect()) == ["new", "old"]
+    assert {p.name for p in (tmp_path / n.QUARANTINE).iterdir()} >= {"year=2022"}
+
+
+def test_rows_without_an_arrival_time(spark, tmp_path):
+    rows = [("orders", 0, o, f'{{"id":{i},"shopId":2}}', t) for o, (i, t) in enumerate(
+        [(1, None), (1, DAY), (2, None)]
+    )]
+    log = log_of(spark, rows)
+    with pytest.raises(ValueError, match="arrival time"):
+        store_batch(log, shops(spark), str(tmp_path))
+    assert stores(spark, tmp_path) == ([], [])
+    for _ in range(2):
+        store_batch(log, shops(spark), str(tmp_path), replay_safe=True, quarantine=True)
+        assert stores(spark, tmp_path) == ([(1, "shop#2")], [])
+        aside = spark.read.parquet(str(tmp_path / n.QUARANTINE))
+        assert sorted(r["offset"] for r in aside.collect()) == [0, 2]
+    # a copy with a time is enough where nothing is set aside
+    report = store_batch(log_of(spark, rows[:2]), shops(spark), str(tmp_path / "other"))
+    assert report == BatchReport(read=2, dup_in_batch=1, success=1)
+
+
+def table_reader(log, asked):
+    """A reader that honours the two offset options over a log table."""
+    import json
+
+    def read(options):
+        asked.append((options["startingOffsets"], options["endingOffsets"]))
+        rows = log.filter(F.col("topic") == options["subscribe"])
+        for text, bound in (
+            (options["startingOffsets"], lambda o: F.col("offset") >= o),
+            (options["endingOffsets"], lambda o: F.col("offset") < o),
+        ):
+            if text.startswith("{"):
+                limits = json.loads(text)[options["subscribe"]]
+                wanted = F.lit(False)
+                for partition, offset in limits.items():
+                    wanted |= (F.col("partition") == int(partition)) & bound(offset)
+                rows = rows.filter(wanted)
+        return rows
+
+    return read
+
+
+def test_the_broker_batch_reads_exactly_its_range(spark, tmp_path):
+    rows = [message(o, o, partition=p, hours=o) for p, size in ((0, 5), (1, 2)) for o in range(size)]
+    log, asked = log_of(spark, rows), []
+    settings = config(
+        tmp_path, batch_size=3, broker={"kafka.bootstrap.servers": "b:1", "kafka.group.id": "g"}
+    )
+    run = lambda: job.broker_batch(spark, settings, shops(spark), table_reader(log, asked))
+    batch_id, report = run()
+    assert (batch_id, report.read) == (0, 5)
+    assert asked[-1] == ('{"orders":{"0":0,"1":0}}', '{"orders":{"0":3,"1":2}}')
+    batch_id, report = run()
+    assert (batch_id, report.read) == (1, 2)
+    assert asked[-1] == ('{"orders":{"0":3,"1":2}}', '{"orders":{"0":5,"1":2}}')
+    before = len(asked)
+    assert run() is None
+    assert asked[before:] == [("earliest", "latest")]
+    bounds = log_bounds(log)
+    settings = config(tmp_path / "given", broker=settings.broker)
+    job.broker_batch(spark, settings, shops(spark), table_reader(log, asked), bounds)
+    assert asked[-2] == ("earliest", "latest") and asked[-1][1] == '{"orders":{"0":5,"1":2}}'
+
+
+def test_old_commits_are_removed_and_offsets_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(offset_table, "KEPT_COMMITS", 2)
+    rows = [message(o, o, hours=o) for o in range(7)] + [message(0, 99, partition=1)]
+    settings = config(tmp_path, batch_size=1)
+    assert len(job.backfill(log_of(spark, rows), shops(spark), settings)) == 7
+    offsets = find_offsets(spark, settings.offsets_path, "orders").collect()
+    assert {(r["partition"], r["offset"], r["batch_id"]) for r in offsets} == {(0, 7, 6), (1, 1, 6)}
+    assert len(list((tmp_path / "offsets").rglob("*.parquet"))) <= 5
+
+
 def test_a_failed_order_succeeds_once_its_shop_exists(spark, tmp_path):
     store_batch(log_of(spark, [message(0, 2, shop=10)]), shops(spark), str(tmp_path))
     known = shops(spark).union(spark.createDataFrame([(10, "shop#10")], "id int, name string"))
@@ -179,7 +292,7 @@ def reference_run(rows, slices):
         first = {}
         for row in sorted(part, key=lambda r: (r[4], r[1], r[2])):
             try:
-                payload = json.loads(row[3].removesuffix('"'))
+                payload = json.loads(row[3])
             except ValueError:
                 payload = {}
             first.setdefault(payload.get("id"), (payload.get("shopId"), row[4]))
@@ -295,3 +408,23 @@ def test_nothing_stays_persisted(spark, tmp_path):
     with pytest.raises(Exception, match="no_such_column"):
         store_batch(log, shops(spark).withColumnRenamed("id", "no_such_column"), str(tmp_path))
     assert persistent().size() == before
+
+
+def test_lag_from_the_tail_equals_lag_from_the_whole_log(spark):
+    rows = [message(o, o, partition=p) for p, found in ((0, (5, 6, 9)), (1, (2,)), (2, (7, 8)), (3, (0,))) for o in found]
+    log = log_of(spark, rows + [("other", 0, 4, "{}", DAY)])
+    commits = [("orders", 0, 7, 1), ("orders", 1, 3, 1), ("orders", 2, 3, 1), ("orders", 4, 3, 1)]
+    committed = committed_offsets(
+        local_frame(spark, commits, "topic string, partition int, offset long, batch_id long")
+    )
+    whole = starting_offsets(log_bounds(log), committed)
+    got = partition_lag(log, committed).select("topic", "partition", "latest_offset", "start_offset")
+    assert sorted(got.collect()) == sorted(whole.select(*got.columns).collect())
+
+
+def test_stream_settings_are_those_of_a_batch():
+    import inspect
+
+    from tidemark.streaming.stream import ingest_stream
+
+    assert {"quarantine", "max_rows_per_file"} <= set(inspect.signature(ingest_stream).parameters)

@@ -25,19 +25,31 @@ def files(path):
     return list(Path(path).rglob("*.parquet"))
 
 
-@pytest.mark.parametrize("name, kind", [("shop#1", n.SUCCESS), (None, n.FAILED)])
-def test_a_row_goes_to_its_store(spark, tmp_path, name, kind):
-    rows = spark.createDataFrame([("1970-01-01 20:54:01", name, 1970, 1)], PLAIN)
-    counts = store.write_routed(rows, str(tmp_path))
-    assert counts == ((1, 0) if name else (0, 1))
-    assert [p.name for p in tmp_path.iterdir()] == [kind]
-    assert (tmp_path / kind / "year=1970" / "week_number=1").is_dir()
-    assert spark.read.parquet(str(tmp_path / kind)).first()[n.SHOP_NAME] == name
-
-
-def test_store_path_has_one_slash():
-    for root in ("hdfs://localhost:9000/test/path", "hdfs://localhost:9000/test/path/"):
-        assert store.store_path(root, "success") == "hdfs://localhost:9000/test/path/success"
+def test_each_route_writes_its_own_store_and_no_other(spark, tmp_path):
+    ddl = f"{PLAIN}, topic string, partition int, offset long"
+    place = ("clicks", 3, 41)
+    known, unknown = ("2024-12-31 23:59:59", "north", 2024, 1), ("2025-01-02", None, 2025, 1)
+    for label, rows, counts in (
+        ("both", [known, unknown, unknown], (1, 2)),
+        ("known", [known], (1, 0)),
+        ("unknown", [unknown], (0, 1)),
+    ):
+        root = tmp_path / label
+        frame = spark.createDataFrame([(*row, *place) for row in rows], ddl)
+        assert store.write_routed(frame, str(root)) == counts
+        kinds = {kind for kind, count in zip((n.SUCCESS, n.FAILED), counts, strict=True) if count}
+        assert {p.name for p in root.iterdir()} == kinds
+    both = tmp_path / "both"
+    success = spark.read.parquet(str(both / n.SUCCESS))
+    assert success.columns == ["receive_time", n.SHOP_NAME, n.YEAR, n.WEEK_NUMBER]
+    assert (both / n.SUCCESS / "year=2024" / "week_number=1").is_dir()
+    failed = spark.read.parquet(str(both / n.FAILED)).first()
+    assert (failed["topic"], failed["partition"], failed["offset"]) == place
+
+
+@pytest.mark.parametrize("end", ["", "/", "//"])
+def test_a_store_lies_below_its_root(end):
+    assert store.store_path(f"s3a://bucket/a b{end}", "failed") == "s3a://bucket/a b/failed"
 
 
 def test_missing_and_empty_stores_have_no_rows(spark, tmp_path):
@@ -113,6 +125,19 @@ def test_replayed_rows_are_found_null_ids_too(spark):
     assert [tuple(r) for r in left.collect()] == [("b", 1, 2022, 1)]
 
 
+def test_rows_that_know_their_place_are_told_by_it(spark):
+    ddl = (
+        "receive_time string, id long, year int, week_number int, "
+        "topic string, partition int, offset long"
+    )
+    first = [("a", 1, 2022, 1, "t", 0, 5), ("a", None, 2022, 1, "t", 1, 5)]
+    others = [("a", 1, 2022, 1, "t", 0, 6), ("a", None, 2022, 1, "t", 0, 5), ("b", 1, 2022, 1, "t", 0, 5)]
+    stored = spark.createDataFrame(first, ddl)
+    for count in (None, 5):
+        left = store.not_yet_in(spark.createDataFrame(first + others, ddl), stored, count)
+        assert sorted(map(str, left.collect())) == sorted(map(str, spark.createDataFrame(others, ddl).collect()))
+
+
 def test_store_volume_and_bytes(spark, tmp_path):
     path = str(tmp_path / "s")
     store.append_partitioned(routed(spark, 90, weeks=2), path)
