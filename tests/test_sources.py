@@ -56,6 +56,14 @@ def test_dictionary_from_a_table(spark, tmp_path):
     assert tuple(shops.first()) == (1, "a")
 
 
+def test_the_environment_can_cut_the_dictionary():
+    env = ENV | {"JDBC_PARTITIONS": "8", "JDBC_LOWER_BOUND": "1", "JDBC_UPPER_BOUND": "900"}
+    config = JobConfig.from_env(env | {"QUARANTINE": "1", "MAX_ROWS_PER_FILE": "1000"})
+    assert config.dictionary["numPartitions"] == "8"
+    assert "numPartitions" not in JobConfig.from_env(ENV).dictionary
+    assert (config.quarantine, config.max_rows_per_file, config.replay_safe) == (True, 1000, True)
+
+
 def test_config_from_environment():
     config = JobConfig.from_env(ENV)
     assert (config.topic, config.write_to, config.batch_size) == ("orders", "hdfs://n/stores", 5000)

@@ -73,3 +73,34 @@ def test_the_submitted_program_runs_on_its_environment(spark, tmp_path, monkeypa
     program.main()
     assert stores(spark, tmp_path / "out") == ([(1, "shop#2")], [(2, None)])
     assert (asked["subscribe"], asked["cap"], asked["starting"]) == ("orders", 200, "earliest")
+
+
+def test_the_submitted_program_runs_one_bounded_batch(spark, tmp_path, monkeypatch):
+    import tidemark.__main__ as program
+    from tests.test_job import table_reader
+    from tests.test_sources import ENV
+    from tidemark.plans import job
+
+    asked = []
+    reader = table_reader(log_of(spark, FIRST), asked)
+    settings = {"WRITE_TO": str(tmp_path / "out"), "BATCH_SIZE": "2", "RUN": "batch"}
+    for name, value in {**ENV, **settings}.items():
+        monkeypatch.setenv(name, value)
+    monkeypatch.setattr(job, "read_range", lambda spark, options: reader(options))
+    monkeypatch.setattr(program, "load_dictionary", lambda spark, _: shops(spark))
+    for _ in range(3):
+        program.main()
+    assert stores(spark, tmp_path / "out") == ([(1, "shop#2")], [(2, None)])
+    ranges = [a for a in asked if a != ("earliest", "latest")]
+    assert ranges == [
+        ('{"orders":{"0":0}}', '{"orders":{"0":2}}'),
+        ('{"orders":{"0":2}}', '{"orders":{"0":3}}'),
+    ]
+
+
+def test_the_stream_must_know_its_partitions(monkeypatch):
+    import tidemark.__main__ as program
+
+    monkeypatch.delenv("TOPIC_PARTITIONS", raising=False)
+    with pytest.raises(KeyError):
+        program.run_stream(None, None)

@@ -1,11 +1,19 @@
-"""`spark-submit` entry: one caught-up run over the broker's topic, set by the environment."""
+"""`spark-submit` entry: one run over the broker's topic, set by the environment.
+
+`RUN=stream` (the default) catches up in micro-batches whose offsets a checkpoint keeps;
+`RUN=batch` plans, reads and commits one bounded batch, as a scheduled job does. Besides
+the variables of `JobConfig.from_env`: `TOPIC_PARTITIONS` (stream, required: the cap of
+`BATCH_SIZE` is per topic partition, the connector's is for all of them together),
+`STARTING_OFFSETS` (stream, first run only; `earliest` by default), `QUARANTINE=1` and
+`MAX_ROWS_PER_FILE`.
+"""
 
 import logging
 import os
 
 from pyspark.sql import SparkSession
 
-from tidemark.plans.job import JobConfig, load_dictionary
+from tidemark.plans.job import JobConfig, broker_batch, load_dictionary
 from tidemark.sources.broker import read_stream
 from tidemark.sources.store import store_path
 from tidemark.streaming.stream import ingest_stream
@@ -13,13 +21,8 @@ from tidemark.streaming.stream import ingest_stream
 log = logging.getLogger("tidemark")
 
 
-def main() -> None:
-    logging.basicConfig(level=logging.INFO)
-    config = JobConfig.from_env(os.environ)
-    spark = SparkSession.builder.appName("tidemark").getOrCreate()
-    # The connector caps a micro-batch as a whole; the setting is per topic partition.
-    partitions = int(os.environ.get("TOPIC_PARTITIONS", "1"))
-    log.info("start, topic %s", config.topic)
+def run_stream(spark: SparkSession, config: JobConfig) -> None:
+    partitions = int(os.environ["TOPIC_PARTITIONS"])
     query = ingest_stream(
         read_stream(
             spark,
@@ -30,9 +33,23 @@ def main() -> None:
         lambda: load_dictionary(spark, config),
         config.write_to,
         store_path(config.write_to, "checkpoint"),
+        quarantine=config.quarantine,
+        max_rows_per_file=config.max_rows_per_file,
         on_batch=lambda batch_id, report: log.info("batch %s: %s", batch_id, report),
     )
     query.awaitTermination()
+
+
+def main() -> None:
+    logging.basicConfig(level=logging.INFO)
+    config = JobConfig.from_env(os.environ)
+    spark = SparkSession.builder.appName("tidemark").getOrCreate()
+    log.info("start, topic %s", config.topic)
+    if os.environ.get("RUN", "stream") == "batch":
+        if broker_batch(spark, config, load_dictionary(spark, config)) is None:
+            log.info("nothing new")
+    else:
+        run_stream(spark, config)
     log.info("done")
 
 

@@ -55,14 +55,29 @@ class JobConfig:
 
     @classmethod
     def from_env(cls, env: Mapping[str, str]) -> "JobConfig":
-        """The names of the variables."""
+        """The names of the variables; see also `__main__`.
+
+        `JDBC_PARTITIONS` with `JDBC_LOWER_BOUND` and `JDBC_UPPER_BOUND` of the
+        dictionary's id cuts its read into as many tasks.
+        """
+        cuts = int(env.get("JDBC_PARTITIONS", "1"))
+        bounds = (int(env["JDBC_LOWER_BOUND"]), int(env["JDBC_UPPER_BOUND"])) if cuts > 1 else None
         return cls(
             topic=env["TOPIC_NAME"],
             write_to=env["WRITE_TO"],
             dictionary=jdbc_options(
-                env["JDBC_URL"], "shops", env["DB_USER"], env["DB_PASSWORD"], env["DB_DRIVER"]
+                env["JDBC_URL"],
+                "shops",
+                env["DB_USER"],
+                env["DB_PASSWORD"],
+                env["DB_DRIVER"],
+                bounds,
+                cuts,
             ),
             batch_size=int(env.get("BATCH_SIZE", DEFAULT_BATCH_SIZE)),
+            replay_safe=True,
+            quarantine=env.get("QUARANTINE", "") in ("1", "true"),
+            max_rows_per_file=int(env["MAX_ROWS_PER_FILE"]) if "MAX_ROWS_PER_FILE" in env else None,
             broker=broker.subscription(
                 env["BOOTSTRAP_SERVERS"], env["TOPIC_NAME"], env.get("GROUP_ID")
             ),

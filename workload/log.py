@@ -1,5 +1,8 @@
 """The test tables seen as a message log, a dictionary and a stored history."""
 
+import json
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +50,27 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def option_reader(log: DataFrame) -> Callable[[Mapping[str, str]], DataFrame]:
+    """Reads a log table as the connector reads a topic: by its two offset options."""
+
+    def read(options: Mapping[str, str]) -> DataFrame:
+        rows = log.filter(F.col(n.TOPIC) == options["subscribe"])
+        starting, ending = options["startingOffsets"], options["endingOffsets"]
+        if starting != "earliest":
+            rows = rows.filter(_limited(json.loads(starting), options, lambda o, b: o >= b))
+        if ending != "latest":
+            rows = rows.filter(_limited(json.loads(ending), options, lambda o, b: o < b))
+        return rows
+
+    def _limited(limits, options, compare):
+        wanted = F.lit(False)
+        for partition, bound in limits[options["subscribe"]].items():
+            wanted |= (F.col(n.PARTITION) == int(partition)) & compare(F.col(n.OFFSET), bound)
+        return wanted
+
+    return read
+
+
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias(n.DICTIONARY_ID), F.col("s_name").alias(n.DICTIONARY_NAME)

@@ -140,6 +140,10 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         # Scans, sources, sinks
         "kafka_range_source": f"""with {plan(QUARTER)}
+            select l.partition, l."offset", l.value, l."timestamp"
+            from log l join plan p on l.partition = p.partition
+            where l."offset" >= p.start_offset and l."offset" < p.end_offset""",
+        "kafka_range_options": f"""with {plan(QUARTER)}
             select topic as subscribe, {_offsets_text('start_offset')} as starting_offsets,
               {_offsets_text('end_offset')} as ending_offsets
             from plan group by topic""",
@@ -209,6 +213,15 @@ def oracle_sql() -> dict[str, str]:
         "anti_join_stored": f"with {FRESH} select * from fresh",
         # Distinct, counts
         "dedup_in_batch": f"with {DEDUP} select * from dedup",
+        "dedup_in_batch_untimed": f"""with {FLAT}, texts as (
+              select id, shop_id, order_timestamp, partition, "offset",
+                case when "offset" % 3 <> 0 then receive_time end as receive_time,
+                case when "offset" % 3 <> 0 then year end as year,
+                case when "offset" % 3 <> 0 then week_number end as week_number
+              from flat)
+            select * from texts
+            qualify row_number() over (
+              partition by id order by receive_time nulls last, partition, "offset") = 1""",
         "dedup_in_batch_lineitem": """select * from lineitem
             qualify row_number() over (partition by l_orderkey, l_linenumber
               order by l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice,
@@ -230,10 +243,10 @@ def oracle_sql() -> dict[str, str]:
             select {RESULT}, 'success' as route from stored
             union all
             select {RESULT}, 'failed' as route from refused""",
-        "stream_ingest": f"""with {DEDUP}
-            select receive_time, id, order_timestamp, s_name as shop_name, year, week_number,
-              {ROUTE.replace('shop_name', 's_name')}
-            from dedup left join supplier on shop_id = s_suppkey""",
+        "stream_ingest": f"""with recursive {SLICES}
+            select {RESULT}, 'success' as route from stored
+            union all
+            select {RESULT}, 'failed' as route from refused""",
         # Observability
         "run_metrics": f"""with {ENRICHED}
             select (select count(*) from flat) as read,

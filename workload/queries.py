@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -16,10 +16,19 @@ from tidemark.operators import dedup, enrich, metrics, offsets
 from tidemark.plans import job
 from tidemark.plans.batch import process_batch
 from tidemark.scratch import run_folder
-from tidemark.sources import offset_table, store
+from tidemark.sources import broker, offset_table, store
 from tidemark.sources.dictionary import read_dictionary
 from tidemark.streaming.stream import ingest_stream
-from workload.log import TOPIC, dictionary, message_log, stored_history, table
+from workload.log import (
+    TOPIC,
+    dictionary,
+    message_log,
+    option_reader,
+    stored_history,
+    table,
+)
+
+FILES_PER_SLICE = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,6 +118,16 @@ def job_config(spark: SparkSession, batch_size: int, sf_dir: str = "") -> job.Jo
 
 
 def kafka_range_source(spark, sf_dir):
+    """Messages that a reader of the connector's options gives for a planned range."""
+    texts = kafka_range_options(spark, sf_dir).first()
+    options = broker.range_options(
+        "broker:9092", texts["subscribe"], texts["starting_offsets"], texts["ending_offsets"]
+    )
+    rows = option_reader(message_log(spark, sf_dir))(options)
+    return rows.select(n.PARTITION, n.OFFSET, m.value_text().alias("value"), "timestamp")
+
+
+def kafka_range_options(spark, sf_dir):
     """The two offset options of a bounded read, as rendered for the connector."""
     texts = offsets_to_json(
         quarter_plan(message_log(spark, sf_dir)),
@@ -278,6 +297,20 @@ def enrich_with_dictionary(spark, sf_dir):
 # Distinct, counts
 
 
+def dedup_in_batch_untimed(spark, sf_dir):
+    """Texts of which every third holds no time: a copy that has one goes first."""
+    untimed = F.col(n.OFFSET) % 3 == 0
+    flat = flat_orders(spark, sf_dir)
+    return dedup.dedup_in_batch(
+        flat.withColumns(
+            {
+                c: F.when(~untimed, F.col(c))
+                for c in (n.RECEIVE_TIME, n.YEAR, n.WEEK_NUMBER)
+            }
+        )
+    )
+
+
 def dedup_in_batch_lineitem(spark, sf_dir):
     return dedup.dedup_in_batch(
         table(spark, sf_dir, "lineitem"),
@@ -335,9 +368,22 @@ def backfill(spark, sf_dir):
 
 
 def stream_ingest(spark, sf_dir):
+    """The log in three slices, as a backfill cuts it; each is one bounded micro-batch."""
     log_path, root, checkpoint = (run_folder(spark, x) for x in ("log", "stores", "stream"))
-    message_log(spark, sf_dir).write.parquet(log_path)
-    messages = spark.readStream.schema(n.LOG_DDL).parquet(log_path)
+    log = log_table(spark, sf_dir)
+    size, known = part_of_log(log, 3), {}
+    while plan := offsets.plan_unread(log, list(known.values()), size):
+        known |= {
+            r[n.PARTITION]: Row(topic=r[n.TOPIC], partition=r[n.PARTITION], offset=r[offsets.END])
+            for r in plan
+        }
+        rows = offsets.log_range_scan(log, plan).repartition(FILES_PER_SLICE)
+        rows.write.mode("append").parquet(log_path)
+    messages = (
+        spark.readStream.schema(n.LOG_DDL)
+        .option("maxFilesPerTrigger", str(FILES_PER_SLICE))
+        .parquet(log_path)
+    )
     shops = dictionary(spark, sf_dir)
     ingest_stream(messages, lambda: shops, root, checkpoint).awaitTermination()
     return both_stores(spark, root)
@@ -400,6 +446,7 @@ def ingest_job(spark, sf_dir):
 def queries() -> dict[str, Query]:
     return {
         "kafka_range_source": kafka_range_source,
+        "kafka_range_options": kafka_range_options,
         "log_range_scan": log_range_scan,
         "dictionary_source": dictionary_source,
         "store_scan": store_scan,
@@ -429,6 +476,7 @@ def queries() -> dict[str, Query]:
         "enrich_with_dictionary": enrich_with_dictionary,
         "anti_join_stored": fresh,
         "dedup_in_batch": deduped,
+        "dedup_in_batch_untimed": dedup_in_batch_untimed,
         "dedup_in_batch_lineitem": dedup_in_batch_lineitem,
         "dedup_incremental": dedup_incremental,
         "batch_counts": batch_counts,
