@@ -36,13 +36,13 @@ def test_pieces_give_the_ids_of_whole_texts(library):
 
 def test_the_memory_stays_bounded_and_right(library):
     use = tokens.Encoder(PATH)
-    use.memory.size = 50
+    use.first.size = use.later.size = 50
     for k in range(30):
         texts = [f"word{j} and word{j + k}, then" for j in range(40)]
         want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
         assert use.count(texts) == want
-    use.memory.trim()
-    assert len(use.memory) + len(use.memory.old) < 400
+    use.later.trim()
+    assert len(use.later) + len(use.later.old) < 400
 
 
 def test_other_tokenizers_encode_whole_texts():

@@ -13,9 +13,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,14 +26,62 @@ from tidemark.llm.common import by_bytes, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
-#: Bytes of text encoded at a time, and pieces remembered by a worker.
+#: Bytes of text encoded at a time; pieces that a worker remembers, none longer than that.
 BATCH_BYTES = 2 << 20
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
+LONG_PIECE = 40
 
-_SAFE = re.compile(r"(?<=\S)(?= \S)")
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
+_LINE = re.compile(r"(?<=\S)(\n)(?=\S)")
+#: White space other than the blank and the line feed; rare, and told by a quick look.
+_OTHER_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def pieces_of(text: str) -> list[str]:
+    """The text cut at its safe blanks, which are left out."""
+    if "\n " in text or " \n" in text or any(blank in text for blank in _OTHER_BLANKS):
+        return _SAFE.split(text)
+    pieces = text.split(" ")
+    return _SAFE.split(text) if "" in pieces else pieces
+
+
+class _Memory(dict):
+    """Ids of pieces, as bytes; the pieces used least recently go first, by halves.
+
+    An unknown piece is cut further where the pattern must cut: around a single line feed
+    between other characters, and before one mark of punctuation after a letter. `before`
+    is the blank in front of a piece; `plain` remembers pieces without one.
+    """
+
+    def __init__(self, tokenizer, size: int, before: str = "", plain: _Memory | None = None) -> None:
+        self.tokenizer, self.size, self.before, self.old = tokenizer, size, before, {}
+        self.plain = self if plain is None else plain
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            if "\n" in piece and len(parts := _LINE.split(piece)) > 1:
+                return self[parts[0]] + b"".join([self.plain[part] for part in parts[1:]])
+            if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
+                ids = self[piece[:-1]] + self.plain[piece[-1]]
+            else:
+                ids = _bytes(self.tokenizer, [self.before + piece])[0]
+        if len(piece) <= LONG_PIECE:
+            self[piece] = ids
+        return ids
+
+    def trim(self) -> None:
+        if len(self) > self.size // 2:
+            self.old = dict(self)
+            self.clear()
+
+
+def _bytes(tokenizer, texts: list[str]) -> list[bytes]:
+    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    return [struct.pack(f"<{len(e)}I", *e.ids) for e in found]
+
+
 class Encoder:
     """The tokenizers library with a memory: ids of a text as little-endian 32-bit integers."""
 
@@ -51,26 +99,23 @@ class Encoder:
             and not before.get("add_prefix_space", True)
             and not described.get("normalizer")
             and not any(
-                " " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"]
+                re.search(r"[\s.,;:!?]", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"]
                 for t in described["added_tokens"]
             )
         )
-        self.memory: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        self.first = _Memory(self.tokenizer, REMEMBERED // 4)
+        self.later = _Memory(self.tokenizer, REMEMBERED, " ", self.first)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
-            return self._encode(texts)
-        pieces = [_SAFE.split(text) for text in texts]
-        if len(self.memory) > REMEMBERED:
-            self.memory.clear()
-        memory = self.memory
-        new = list({piece for text in pieces for piece in text if piece not in memory})
-        memory.update(zip(new, self._encode(new), strict=True))
-        return [b"".join(map(memory.__getitem__, text)) for text in pieces]
+            return _bytes(self.tokenizer, texts)
+        self.first.trim()
+        self.later.trim()
+        look, found = self.later.__getitem__, []
+        for text in texts:
+            first, *later = pieces_of(text)
+            found.append(self.first[first] + b"".join(map(look, later)))
+        return found
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(ids) // 4 for ids in self.encode(texts)]
