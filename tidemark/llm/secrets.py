@@ -11,12 +11,12 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_bytes, shared_folder, table
@@ -69,14 +69,20 @@ SPAN = "struct<start:bigint,kind_no:int,end:bigint,rule:string>"
 LEDGER = f"blob string, rules array<string>, findings array<{SPAN}>"
 
 
-def scan(text: str, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, int, str]]:
-    """start, number of the kind, end and rule version of each finding, in code points."""
+def scan(
+    text: str, rules: tuple[Rule, ...] = RULES, versions: Collection[str] | None = None
+) -> list[tuple[int, int, int, str]]:
+    """start, number of the kind, end and rule version of each finding, in code points.
+
+    With `versions`, only rules of these versions are tried.
+    """
     found = []
     for number, rule in enumerate(rules):
-        flags = re.ASCII if rule.flags is None else rule.flags
+        if versions is not None and rule.version not in versions:
+            continue
         if rule.hint and not re.search(rule.hint, text, re.ASCII):
             continue
-        for match in re.finditer(rule.pattern, text, flags):
+        for match in re.finditer(rule.pattern, text, rule.flags):
             if match.end(rule.group) - match.start(rule.group) >= rule.least:
                 found.append((match.start(), number, match.end(), rule.version))
     return sorted(found)
@@ -120,32 +126,16 @@ def scan_versions(
             .filter(F.size("todo") > 0)
         )
 
+    fields = ("start", "kind_no", "end", "rule")
+    kind = pa.list_(pa.struct(list(zip(fields, (pa.int64(), pa.int32(), pa.int64(), pa.string()), strict=True))))
+    all_versions = {rule.version for rule in rules}
+
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text", BATCH_BYTES):
-            asked = batch.column("todo").to_pylist()
-            findings = [
-                [
-                    dict(zip(("start", "kind_no", "end", "rule"), span, strict=True))
-                    for span in scan(text, rules)
-                    if span[3] in todo
-                ]
-                if len(todo) < len(rules)
-                else [
-                    dict(zip(("start", "kind_no", "end", "rule"), span, strict=True))
-                    for span in scan(text, rules)
-                ]
-                for text, todo in zip(batch.column("text").to_pylist(), asked, strict=True)
-            ]
-            kind = pa.list_(
-                pa.struct(
-                    [
-                        ("start", pa.int64()),
-                        ("kind_no", pa.int32()),
-                        ("end", pa.int64()),
-                        ("rule", pa.string()),
-                    ]
-                )
-            )
+            findings = []
+            for text, asked in zip(*(batch.column(c).to_pylist() for c in ("text", "todo")), strict=True):
+                spans = scan(text, rules, None if len(asked) == len(all_versions) else asked)
+                findings.append([dict(zip(fields, span, strict=True)) for span in spans])
             yield pa.record_batch(
                 [batch.column("blob"), batch.column("todo"), pa.array(findings, kind)],
                 ["blob", "rules", "findings"],
@@ -178,13 +168,13 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kinds = F.array(*[F.lit(rule.kind) for rule in RULES])
 
-    def told(spans):
+    def told(spans: Column | str) -> Column:
         texts = F.transform(
             spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind_no"]), s["start"], s["end"])
         )
         return F.array_join(texts, ",")
 
-    def count(kind):
+    def count(kind: str) -> Column:
         number = [rule.kind for rule in RULES].index(kind)
         return F.size(F.filter("findings", lambda s: s["kind_no"] == number)).cast("long")
 
