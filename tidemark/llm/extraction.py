@@ -80,14 +80,9 @@ def fit(rows: np.ndarray, content: np.ndarray, rounds: int = 12, ridge: float =
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> np.ndarray:
     """Weights from at most `sample` pages, the same ones on every run."""
-    chosen = (
-        pages.select("html")
-        .filter("html IS NOT NULL")
-        .select("html", F.xxhash64("html").alias("h"))
-        .orderBy("h")
-        .limit(sample)
-        .select("html")
-    )
+    hashed = pages.filter("html IS NOT NULL").select("html", F.xxhash64("html").alias("h"))
+    least = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = hashed.filter(F.col("h") <= F.lit(least)).dropDuplicates(["h"]).select("html")
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "html", BATCH_BYTES):
