@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import gc
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -67,10 +69,19 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = shared_folder(spark, label)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps now: its cleaner waits for
+    the driver's garbage to be collected, Python's and then the JVM's."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z as a-z, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

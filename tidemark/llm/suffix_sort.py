@@ -22,70 +22,82 @@ def suffix_array(symbols: list[int]) -> list[int]:
     n = len(symbols) + 1  # the last suffix is empty and lowest
     if n == 1:
         return []
-    text = np.array(symbols, dtype=np.int64) + 1
+    text = np.array(symbols, dtype=np.int64)
     order = np.argsort(text, kind="stable")
-    values, starts = np.unique(text[order], return_index=True)
-    # Groups, lowest first: the empty suffix, then one for each symbol.
-    members: list[list[int]] = [[n - 1]]
-    members += [part.tolist() for part in np.split(order, starts[1:])]
-    group = np.append(np.searchsorted(values, text) + 1, 0).tolist()
+    steps = np.diff(text[order], prepend=-1) != 0
+    starts = np.flatnonzero(steps).tolist()
+    group = np.zeros(n, np.int64)
+    group[order] = np.cumsum(steps)
+    group = group.tolist()
+    listed = order.tolist()
+    # Groups, lowest first: the empty suffix, then one for each symbol. A suffix that moves
+    # up stays listed where it was; `size` counts those that are still there.
+    members = [[n - 1]]
+    members += [listed[a:b] for a, b in zip(starts, [*starts[1:], n - 1], strict=True)]
+    size = [len(own) for own in members]
     count = len(members)
-    above = list(range(1, count)) + [-1]
+    above = [*range(1, count), -1]
     below = list(range(-1, count - 1))
     visited = [False] * count
     pointer = [-1] * n
 
+    def raised(p: int, old: int) -> int:
+        """A new group right behind `old`, with p in it."""
+        new = len(members)
+        members.append([p])
+        size.append(1)
+        size[old] -= 1
+        visited.append(False)
+        upper = above[old]
+        above.append(upper)
+        below.append(old)
+        above[old] = new
+        if upper >= 0:
+            below[upper] = new
+        group[p] = new
+        return new
+
     current = count - 1
     while current > 0:
         visited[current] = True
-        own = [i for i in members[current] if group[i] == current]
-        members[current] = own
+        own = members[current]
+        if size[current] != len(own):
+            own = members[current] = [i for i in own if group[i] == current]
         # Pointers rise along the members, so those who point at one suffix are neighbours.
-        pointed: list[int] = []
-        times: list[int] = []
+        times: dict[int, int] = {}
         for i in own:
             p = i - 1
             while p >= 0 and visited[group[p]]:
                 p = pointer[p]
             pointer[i] = p
             if p >= 0:
-                if pointed and pointed[-1] == p:
-                    times[-1] += 1
-                else:
-                    pointed.append(p)
-                    times.append(1)
-        if pointed:
-            if max(times) == 1:
-                levels = [pointed]
-            else:
-                by_times: dict[int, list[int]] = {}
-                for p, k in zip(pointed, times, strict=True):
-                    by_times.setdefault(k, []).append(p)
-                levels = [by_times[k] for k in sorted(by_times, reverse=True)]
-            for level in levels:
+                times[p] = times.get(p, 0) + 1
+        if len(times) == 1:
+            (p,) = times
+            if size[group[p]] > 1:  # alone in its group, it can stay there
+                raised(p, group[p])
+        elif times:
+            for level in sorted(set(times.values()), reverse=True):
                 moved: dict[int, int] = {}
-                for p in level:
+                for p, k in times.items():
+                    if k != level:
+                        continue
                     old = group[p]
                     new = moved.get(old)
                     if new is None:
-                        new = moved[old] = len(members)
-                        members.append([])
-                        visited.append(False)
-                        upper = above[old]
-                        above.append(upper)
-                        below.append(old)
-                        above[old] = new
-                        if upper >= 0:
-                            below[upper] = new
-                    group[p] = new
-                    members[new].append(p)
+                        moved[old] = raised(p, old)
+                    else:
+                        group[p] = new
+                        members[new].append(p)
+                        size[new] += 1
+                        size[old] -= 1
         current = below[current]
 
     free = [0] * len(members)
     at, current = 0, 0
     while current >= 0:
         free[current] = at
-        at += sum(1 for i in members[current] if group[i] == current)
+        at += size[current]
         current = above[current]
     result = [-1] * n
     placed = [False] * n
