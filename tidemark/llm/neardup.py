@@ -34,8 +34,8 @@ BANDS, BAND_ROWS = 32, 4
 SKETCH_BITS = 4096
 #: Standard deviations of the sketch's estimate by which a pair may miss the threshold.
 MARGIN = 5.0
-BATCH_BYTES = 4 << 20
-_BLOCK = 2048
+BATCH_BYTES = 2 << 20
+_BLOCK = 128
 
 _WORD = re.compile(WORD)
 _rng = np.random.default_rng(20240229)
@@ -79,8 +79,12 @@ def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and odd sketch (64-bit words) of a set that is not empty."""
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
+    room = np.empty((_BLOCK, SAMPLES), np.uint32)
     for at in range(0, len(short), _BLOCK):
-        values = short[at : at + _BLOCK, None] * _FACTORS + _SHIFTS
+        part = short[at : at + _BLOCK, None]
+        values = room[: len(part)]
+        np.multiply(part, _FACTORS, out=values)
+        np.add(values, _SHIFTS, out=values)
         np.minimum(least, values.min(axis=0), out=least)
     number = np.arange(SAMPLES, dtype=np.uint64)
     tagged = _mixed(least.astype(np.uint64) | (number << np.uint64(32)))
