@@ -24,7 +24,7 @@ from tidemark.llm.common import by_bytes, table, written
 WINDOW = 10
 #: Bytes of text in a shard, and words of benchmark items in a block.
 SHARD_BYTES = 8 << 20
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 
 _WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, table, written
 
-#: Leading hexadecimal digits of the key that make a range: 4,096 ranges in each source.
-RANGE_DIGITS = 3
+#: Leading hexadecimal digits of the key that make a range: 65,536 ranges in each source.
+RANGE_DIGITS = 4
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_EPOCHS = 2

@@ -24,7 +24,8 @@ import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_bytes, shared_folder, table, written
@@ -33,6 +34,8 @@ from tidemark.llm.tokens import BATCH_BYTES, VOCABULARY, encoder
 END_ID = 0
 #: Bytes of text in a shard and of unpacked ids in a frame, at about; the level of packing.
 SHARD_BYTES = 32 << 20
+#: Shards are made larger rather than more than these.
+MOST_SHARDS = 20_000
 FRAME_BYTES = 256 << 10
 LEVEL = 1
 
@@ -147,24 +150,6 @@ def open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(folder)
 
 
-def _shard_of(docs: DataFrame, shards: int) -> Column:
-    """The shard of a row: ascending in `doc_key`; an id that fills several is spread by hash."""
-    if shards == 1:
-        return F.lit(0)
-    cuts = [F.lit(k / shards) for k in range(1, shards)]
-    bounds = docs.agg(
-        F.percentile_approx("doc_key", F.array(*cuts), F.lit(100 * shards)).alias("b")
-    ).first()["b"]
-    if not bounds:
-        return F.lit(0)
-    at = F.array(*[F.lit(b) for b in bounds])
-    first = F.size(F.filter(at, lambda b: b < F.col("doc_key")))
-    last = F.size(F.filter(at, lambda b: b <= F.col("doc_key")))
-    # the hash as a fraction rises with the hash, so that rows of one id stay in its order
-    spread = (F.col("doc_hash") / F.lit(2.0**64) + 0.5) * (last - first + 1)
-    return F.least(first + F.floor(spread).cast("int"), last)
-
-
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -176,8 +161,9 @@ def write_token_files(
 
     Rows are in ascending order of doc_id, null first; rows of one id in the order of their
     text's hash, and equal rows next to each other. Null texts count as empty. Manifest:
-    shard, file, n_docs, n_ids, n_frames. Shards are cut by quantiles of the ids, computed
-    from that column alone; each text is shuffled once and encoded where it is written.
+    shard, file, n_docs, n_ids, n_frames. Shards are ranges of id and hash, so that an id
+    with very many rows fills several; each text is shuffled once and encoded where it is
+    written, frame by frame.
 
     A shard is written under a temporary name and then renamed, so that a task tried again,
     or twice at once, leaves one whole file. The folder must be reachable by pyarrow from
@@ -188,49 +174,42 @@ def write_token_files(
         F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("doc_key", F.coalesce("doc_id", F.lit(_NULL_KEY)))
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = int(size // shard_bytes) + 1
-    hashed = keyed.withColumn("doc_hash", F.xxhash64("text"))
+    shards = min(int(size // shard_bytes) + 1, MOST_SHARDS)
     ordered = (
-        hashed.withColumn("shard", _shard_of(keyed, shards))
-        .repartitionById(shards, F.col("shard"))
-        .sortWithinPartitions("shard", "doc_key", "doc_hash")
-        .select("shard", "doc_id", "text")
+        keyed.withColumn("doc_hash", F.xxhash64("text"))
+        .repartitionByRange(shards, "doc_key", "doc_hash")
+        .sortWithinPartitions("doc_key", "doc_hash")
+        .select("doc_id", "text")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, (system, root) = encoder(path), open_folder(folder)
         end = np.array([end_id], "<u4").tobytes()
         system.create_dir(root, recursive=True)
-        shard, writer, stream, temporary = None, None, None, ""
-
-        def finish() -> pa.RecordBatch:
-            n_docs, n_ids, n_frames = writer.close()
-            stream.close()
-            name = f"shard-{shard:08d}.ids.zst"
-            system.move(temporary, f"{root}/{name}")
-            return pa.RecordBatch.from_pydict(
-                {
-                    "shard": pa.array([shard], pa.int32()),
-                    "file": [f"{folder}/{name}"],
-                    "n_docs": [n_docs],
-                    "n_ids": [n_ids],
-                    "n_frames": [n_frames],
-                }
-            )
-
+        shard = TaskContext.get().partitionId()
+        writer, temporary = None, f"{root}/.{uuid.uuid4().hex}.part"
         for batch in by_bytes(batches, "text", BATCH_BYTES):
+            if writer is None:
+                stream = system.open_output_stream(temporary)
+                writer = ShardWriter(stream)
             found = use.encode(batch.column("text").to_pylist())
-            rows = zip(batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist(), found, strict=True)
-            for at, doc_id, ids in rows:
-                if at != shard:
-                    if writer:
-                        yield finish()
-                    shard, temporary = at, f"{root}/.{uuid.uuid4().hex}.part"
-                    stream = system.open_output_stream(temporary)
-                    writer = ShardWriter(stream)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 writer.add(doc_id, ids + end)
-        if writer:
-            yield finish()
+        if writer is None:
+            return
+        n_docs, n_ids, n_frames = writer.close()
+        stream.close()
+        name = f"shard-{shard:08d}.ids.zst"
+        system.move(temporary, f"{root}/{name}")
+        yield pa.RecordBatch.from_pydict(
+            {
+                "shard": pa.array([shard], pa.int32()),
+                "file": [f"{folder}/{name}"],
+                "n_docs": [n_docs],
+                "n_ids": [n_ids],
+                "n_frames": [n_frames],
+            }
+        )
 
     manifest = "shard int, file string, n_docs long, n_ids long, n_frames long"
     return written(ordered.mapInArrow(write, manifest), "token-manifest")

@@ -28,7 +28,7 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 #: Bytes of text encoded at a time; pieces that a worker remembers, none longer than that.
 BATCH_BYTES = 2 << 20
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 LONG_PIECE = 40
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
