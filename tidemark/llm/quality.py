@@ -82,14 +82,18 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 
 def text_counts(text: Column) -> Column:
-    """A struct of `COUNTS` for each text."""
+    """A struct of `COUNTS` for each text, measured once however often it is used.
+
+    The optimizer would otherwise move filters before the function, each with a call of
+    its own; told that it is not deterministic, it leaves it where it is.
+    """
 
     @F.arrow_udf(", ".join(f"{c} long" for c in COUNTS))
     def counted(texts: pa.Array) -> pa.Array:
         columns = zip(*map(measure, texts.to_pylist()), strict=True)
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], COUNTS)
 
-    return counted(text)
+    return counted.asNondeterministic()(text)
 
 
 def base_failed(counts: str) -> Column:
