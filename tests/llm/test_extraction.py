@@ -111,3 +111,28 @@ def test_held_out_pages_equal_their_markup(spark):
         article = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1].replace("<br>", " ")
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in block.split(article)]
         assert texts[r["page_id"]] == "\n\n".join(x for x in parts if x)
+
+
+ARTICLE = """<nav><a href=x>Home</a></nav><div class="{1}"><article class="{2}"><h1>Title</h1>
+<p>A first sentence of the article.</p><p>A second sentence of it.</p></article></div>
+<div class="sidebar"><p>Read also this.</p></div><footer>All that is left.</footer>"""
+
+
+@pytest.mark.parametrize("body", ["", "single has-sidebar", "no-sidebar", "no-banner", "sidebar", "modal-open"])
+@pytest.mark.parametrize("box", ["", "content-with-sidebar", "sidebar", "related"])
+@pytest.mark.parametrize("article", ["", "post has-comments", "post comments", "notice"])
+def test_names_around_an_article_do_not_lose_it(body, box, article):
+    page = f'<html class="{body}"><body class="{body}">{ARTICLE.format("", box, article)}</body></html>'
+    want = "Title\n\nA first sentence of the article.\n\nA second sentence of it."
+    assert extraction.main_text(page, NONE) == want
+
+
+@pytest.mark.parametrize("name", ["discussion", "related-work", "notice", "legal"])
+def test_the_classifier_outweighs_a_name(name):
+    text = "A long and proper sentence of an article, as others are."
+    page = f'<article><p>{text}</p><section id="{name}"><h2>Yes</h2><p>{text}</p><p>{text}</p></section></article>'
+    weights = NONE.copy()
+    weights[0], weights[2] = -8.0, 6.0  # long texts look like content, short ones do not
+    found = extraction.main_text(page, weights).split("\n\n")
+    assert found.count(text) == 3
+    assert extraction.main_text(page, NONE) == text  # without evidence the name decides

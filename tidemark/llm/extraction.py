@@ -8,7 +8,9 @@ maximum flow, are the main text.
 
 The classifier is a logistic regression on what a block's text looks like. It is fitted on
 pages whose markup says what is what (article and main against nav, footer and the like);
-that markup then counts as a cost of its own, on the pages that have it.
+that markup then counts as a cost of its own, on the pages that have it. Names of elements
+(class, id, role) are weaker evidence: they cost less than the classifier can make up for, and
+weaken the smoothness edges across their bounds.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ BATCH_BYTES = 4 << 20
 #: cutting between neighbours in page order and between blocks of one parent.
 MAIN_COST = 6.0
 OTHER_COST = 14.0
+#: Of a name that tells of something else: half of `CLIP`, so that what the text looks like can outweigh it.
+NAME_COST = 1.5
+#: What is left of a smoothness edge between a block under such a name and one that is not.
+NAME_EDGE = 0.25
 NEXT_COST = 1.0
 PARENT_COST = 1.5
 CLIP = 3.0
@@ -90,7 +96,9 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> np.ndarray:
             for html in batch.column("html").to_pylist():
                 blocks = page_blocks(html)
                 for row, block in zip(page_features(blocks), blocks, strict=False):
-                    if block.in_main or block.in_other:
+                    if block.in_named and block.in_main and not block.in_other:
+                        continue  # may be either
+                    if block.in_main or block.in_other or block.in_named:
                         rows.append(row.tolist())
                         labels.append(block.in_main and not block.in_other)
             yield pa.record_batch(
@@ -194,19 +202,26 @@ def label(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     for k, block in enumerate(blocks):
         if block.in_other:
             odds[k] -= OTHER_COST
+        elif block.in_named:
+            odds[k] -= NAME_COST if block.in_main or not some_main else NAME_COST + MAIN_COST
         elif some_main:
             odds[k] += MAIN_COST if block.in_main else -MAIN_COST
     source = [max(0, round(SCALE * x)) for x in odds.tolist()]
     sink = [max(0, round(-SCALE * x)) for x in odds.tolist()]
     edges = []
+
+    def join(a: int, b: int, cost: float) -> None:
+        across = blocks[a].in_named != blocks[b].in_named
+        edges.append((a, b, round(SCALE * cost * (NAME_EDGE if across else 1.0))))
+
     of_parent: dict[tuple[int, ...], int] = {}
     for k, block in enumerate(blocks):
         if k:
             steps = tree_distance(blocks[k - 1].path, block.path)
-            edges.append((k - 1, k, round(SCALE * NEXT_COST * 2.0 ** (1 - max(1, steps / 2)))))
+            join(k - 1, k, NEXT_COST * 2.0 ** (1 - max(1, steps / 2)))
         parent = block.path[:-1]
         if parent in of_parent:
-            edges.append((of_parent[parent], k, round(SCALE * PARENT_COST)))
+            join(of_parent[parent], k, PARENT_COST)
         of_parent[parent] = k
     return maximum_flow(source, sink, edges)
 

@@ -31,7 +31,7 @@ CLOSES = {
 }
 MAIN = frozenset({"article", "main"})
 ASIDE = frozenset({"nav", "aside", "footer", "header", "menu", "dialog", "address"})
-#: Parts of class, id and role values that name what does not belong to an article.
+#: Parts of a class, id or role that often name what does not belong to an article.
 OTHER_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar|"
     r"side-?bar|widget|footer|comments?|comment-?list|respon[ds]e?s?|replies|discussion|"
@@ -40,6 +40,14 @@ OTHER_NAME = re.compile(
     r"copyright|legal|disclaimer|complementary|navigation|contentinfo|dialog|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Parts that turn a name into one of the layout around, such as has-sidebar or no-banner.
+LAYOUT_NAME = re.compile(
+    r"(?:^|[_-])(?:has|have|no|not|non|with|without|is|hide|show|enabled?|disabled?|open|closed|"
+    r"layout|wrap|wrapper|container|page|site)(?:$|[_-])",
+    re.IGNORECASE,
+)
+#: Elements whose own names say nothing about the text in them: they hold the whole page or article.
+WHOLE = frozenset({"html", "body", "main", "article"})
 #: Names that do so outside of an article only, whose own head they are inside it.
 HEAD_NAME = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.IGNORECASE)
 MAIN_NAME = re.compile(
@@ -49,28 +57,49 @@ MAIN_NAME = re.compile(
 
 @dataclass
 class Node:
-    """An open element: its tag, its place in the tree and what its name says."""
+    """An open element: its tag, its place in the tree and what its markup says.
+
+    `naming` is the nearest element, itself or above, whose name tells of something else than
+    an article; `holds_main` is set once a main or an article opens below the element.
+    """
 
     tag: str
     path: tuple[int, ...]
     other: bool
     main: bool
     children: int = 0
+    naming: Node | None = None
+    holds_main: bool = False
 
 
 @dataclass
 class Block:
-    """Text between two block boundaries; `path` numbers the elements around it."""
+    """Text between two block boundaries; `path` numbers the elements around it.
+
+    `in_other` is what elements say that never hold an article's text (nav, footer, hidden
+    ones); `in_named` what a class, id or role suggests, which may be wrong.
+    """
 
     path: tuple[int, ...]
     tag: str
     in_main: bool
     in_other: bool
+    naming: Node | None = None
+    in_named: bool = False
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
+def named_other(names: list[str], in_main: bool) -> bool:
+    """Whether one of the names, each taken whole, tells of something else than an article."""
+    return any(
+        (OTHER_NAME.search(name) or (not in_main and HEAD_NAME.search(name)))
+        and not LAYOUT_NAME.search(name)
+        for name in names
+    )
+
+
 class BlockParser(HTMLParser):
     """Collects blocks in page order. Ill-formed markup is read as leniently as it can be."""
 
@@ -96,13 +125,18 @@ class BlockParser(HTMLParser):
         hidden = any(key in ("hidden", "aria-hidden") and value != "false" for key, value in attrs)
         article = above.main and tag == "header"  # the head of an article belongs to it
         opens_main = tag in MAIN or bool(names and MAIN_NAME.search(names))
-        named = bool(names) and bool(
-            OTHER_NAME.search(names) or (not above.main and HEAD_NAME.search(names))
-        )
-        other = hidden or named or (tag in ASIDE and not article)
-        self.stack.append(
-            Node(tag, (*above.path, above.children), above.other or other, above.main or opens_main)
+        other = hidden or (tag in ASIDE and not article)
+        node = Node(
+            tag, (*above.path, above.children), above.other or other, above.main or opens_main
         )
+        named = tag not in WHOLE and bool(names) and named_other(names.split(), above.main)
+        node.naming = node if named else above.naming
+        if tag in MAIN:
+            for outer in reversed(self.stack):
+                if outer.holds_main:
+                    break  # as do all around it
+                outer.holds_main = True
+        self.stack.append(node)
         above.children += 1
         self.silent += tag in SILENT
         self.links += tag == "a"
@@ -128,7 +162,7 @@ class BlockParser(HTMLParser):
                 return
             top = self.stack[-1]
             box = next((n for n in reversed(self.stack) if n.tag in BLOCK), self.stack[0])
-            self.block = Block(box.path, box.tag, top.main, top.other)
+            self.block = Block(box.path, box.tag, top.main, top.other, top.naming)
             self.blocks.append(self.block)
         self.block.pieces.append(data)
         if self.links:
@@ -164,4 +198,7 @@ def page_blocks(html: str | None) -> list[Block]:
     for block in parser.blocks:
         block.text = " ".join("".join(block.pieces).split())
         block.pieces = []
+        # What is around an element that holds an article holds it too.
+        block.in_named = block.naming is not None and not block.naming.holds_main
+        block.naming = None
     return [block for block in parser.blocks if block.text]
