@@ -1,10 +1,11 @@
 import random
+import textwrap
 
 import pytest
 
 from tests.llm.frames import empty, messy, prose, vocabulary
 from tidemark.llm import licenses
-from tidemark.llm.license_templates import MIT, TEMPLATES
+from tidemark.llm.license_templates import BSD_THIRD, BSD_TWO, BSD_WARRANTY, MIT, TEMPLATES
 
 
 def brute(text, templates, threshold):
@@ -84,3 +85,45 @@ def test_messy_and_empty_tables(spark):
     assert licenses.license_scan(empty(spark)).collect() == []
     notice = docs.selectExpr("doc_id", "'a\n\nReleased under the MIT License.\nb' AS text")
     assert {(r["licenses"], r["best_dice"], r["matches"][0]["first_line"]) for r in licenses.license_scan(notice).collect()} == {("MIT", 1.0, 2)}
+
+
+def names(text):
+    return [m.license for m in licenses.scan(text, licenses.Templates())]
+
+
+@pytest.mark.parametrize("name, wording", TEMPLATES)
+def test_notices_are_found_in_the_midst_of_a_line(name, wording):
+    rng, known = random.Random(7), vocabulary()
+    flat = " ".join(wording.split())
+    prosaic = f"{prose(rng, 30, known)}. {flat} {prose(rng, 30, known)}."
+    assert names(prosaic) == [name]
+    assert names(f"{prose(rng, 30, known)} {flat}\n{prose(rng, 5, known)}") == [name]
+    assert names("Copyright (c) 2019 Some Body. " + flat) == ([] if name == "All rights reserved" else [name])
+
+
+@pytest.mark.parametrize("width", [30, 50, 72, 78])
+@pytest.mark.parametrize("name, wording", [t for t in TEMPLATES if len(t[1]) > 120])
+def test_notices_are_found_in_usual_line_breaks(name, wording, width):
+    text = "\n".join(f" * {line}" for line in textwrap.wrap(wording, width, break_long_words=False))
+    (match,) = licenses.scan(text, licenses.Templates())
+    assert match.license == name and match.dice > 0.99
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("This file is licensed under the MIT License.", ["MIT"]),
+        ("Licensed under the MIT License. See LICENSE for details.", ["MIT"]),
+        ("First Released under the MIT License. Then all of it Licensed under CC BY 4.0.", ["MIT", "CC-BY-4.0"]),
+        ("Yes. This work is licensed under the GNU Lesser General Public License, version 2.1.", ["LGPL-2.1"]),
+        ("Ours is licensed under CC BY 4.0.1 or so", []),
+        ("It says: This work is licensed under the GNU General Public License, version 9.", []),
+    ],
+)
+def test_notices_inside_sentences(text, want):
+    assert names(text) == want
+
+
+def test_the_longer_licence_wins_over_the_one_inside_it():
+    text = "\n".join([BSD_TWO, BSD_THIRD.replace("the copyright holder", "Some Body"), BSD_WARRANTY])
+    assert names(text) == ["BSD-3-Clause"]

@@ -1,10 +1,11 @@
 """License scans: parts of a text against templates by Dice coefficient over word bigrams.
 
 Texts and templates are normalised alike: lower case, words of letters and digits only,
-copyright lines dropped. The parts of a text are all runs of consecutive lines. A run can
-only reach the threshold for templates whose number of bigrams lies between two bounds, so
-each run meets few templates; and runs need only begin and end at lines with a bigram of
-some template, since other ends lower the coefficient.
+copyright statements dropped. The parts of a text begin and end where a line or a sentence
+does, wherever in a line that is; and a part may also begin with the first bigram of a template
+and end with the last one of a template, in the midst of a sentence. Other ends inside a
+sentence are no parts, as leaving out what contradicts a template (another version, say) would
+make a match of it. Only templates of whose bigrams the text has enough are looked for.
 """
 
 from __future__ import annotations
@@ -23,7 +24,15 @@ THRESHOLD = 0.92
 BATCH_BYTES = 8 << 20
 
 _WORD = re.compile(r"[^\W_]+")
-_COPYRIGHT = re.compile(r"\s*(?:copyright\b|©|\(c\)\s)", re.IGNORECASE)
+#: The start of a copyright statement, not of a wrapped sentence on copyright holders and the like.
+_COPYRIGHT = re.compile(
+    r"\s*(?:copyright\b(?!\s+(?:notices?|holders?|owners?|licen[sc]es?|laws?|statements?|on|or|and)\b)"
+    r"|©|\(c\)\s)",
+    re.IGNORECASE,
+)
+#: Between two words: the end of a sentence, and what joins them to one (2.1, BY-SA).
+_SENTENCE = re.compile(r"[^\w\s]*[.!?;:][^\w\s]*\s")
+_JOINT = re.compile(r"[._'’-]")
 
 Bigram = tuple[str, str]
 
@@ -47,72 +56,175 @@ def bigrams(words: list[str]) -> set[Bigram]:
 
 
 class Templates:
-    """Templates by size, with the sizes of texts that can reach the threshold."""
+    """Templates by size, then name, and what is known of their bigrams."""
 
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> None:
         self.threshold = threshold
-        sets = [
-            (name, bigrams([word for line in normal_lines(text) for word in line]))
-            for name, text in templates
+        parts = [
+            (name, [word for line in normal_lines(text) for word in line]) for name, text in templates
         ]
-        self.sets = sorted(((len(s), name, s) for name, s in sets if s), key=lambda t: t[:2])
-        self.known = set().union(*(s for _, _, s in self.sets))
-        most = max((size for size, _, _ in self.sets), default=0)
-        #: Dice is at most 2 * smaller / (smaller + larger).
-        self.largest = int(most * (2 - threshold) / threshold)
-
-    def best(self, part: set[Bigram]) -> tuple[float, str] | None:
-        """The template with the highest coefficient, if that reaches the threshold."""
-        found = None
-        size, t = len(part), self.threshold
-        for other, name, template in self.sets:
-            if other * (2 - t) < t * size:
-                continue
-            if t * other > size * (2 - t):
-                break
-            dice = 2 * len(part & template) / (size + other)
-            if dice >= t and (found is None or dice > found[0]):
-                found = (dice, name)
-        return found
+        sized = sorted(
+            ((len(bigrams(words)), name, words) for name, words in parts if len(words) > 1),
+            key=lambda t: t[:2],
+        )
+        self.sizes = [size for size, _, _ in sized]
+        self.names = [name for _, name, _ in sized]
+        self.firsts = [tuple(words[:2]) for _, _, words in sized]
+        self.lasts = [tuple(words[-2:]) for _, _, words in sized]
+        sets = [bigrams(words) for _, _, words in sized]
+        #: Templates that have each bigram.
+        self.owners: dict[Bigram, list[int]] = {}
+        for number, bigrams_of_one in enumerate(sets):
+            for pair in bigrams_of_one:
+                self.owners.setdefault(pair, []).append(number)
+        self.known = set(self.owners)
+        #: Starts that end a copyright statement on the same line.
+        self.opening = {pair for pair in self.firsts if pair != ("all", "rights")}
+        #: Templates of another licence that hold all of a template and more, as BSD's third clause.
+        self.around = [
+            [k for k, big in enumerate(sets) if one < big and self.names[k] != name]
+            for one, name in zip(sets, self.names, strict=True)
+        ]
+
+    def candidates(self, present: set[Bigram]) -> list[int]:
+        """Templates that a part of a text with these known bigrams can reach.
+
+        With n bigrams in the template, m in the part and c in both, m is at least c, so that
+        2 c / (n + m) reaches the threshold t only if c is at least n t / (2 - t).
+        """
+        counts: dict[int, int] = {}
+        for pair in present:
+            for number in self.owners[pair]:
+                counts[number] = counts.get(number, 0) + 1
+        t = self.threshold
+        return sorted(
+            number for number, count in counts.items() if count * (2 - t) >= t * self.sizes[number] - 1e-9
+        )
+
+
+def _stated(words: list[str], templates: Templates) -> int:
+    """How many words of a copyright line belong to its statement: those before a template."""
+    starts = (k for k, pair in enumerate(zip(words, words[1:], strict=False)) if pair in templates.opening)
+    return next(starts, len(words))
+
+
+class _Part(NamedTuple):
+    dice: float
+    template: int
+    start: int
+    end: int
+    first: int
+    last: int
+
+
+def _parts(lines: list[str], templates: Templates, candidates: list[int]) -> list[_Part]:
+    """All parts that reach the threshold for a candidate, each with its best one."""
+    words: list[str] = []
+    at_line: list[int] = []
+    breaks, joined = {0}, set()  # words that begin a sentence or line, or belong to the one before
+    for number, line in enumerate(lines):
+        spans = [(m.start(), m.end()) for m in _WORD.finditer(line)]
+        own = [line[a:b] for a, b in spans]
+        skip = _stated(own, templates) if _COPYRIGHT.match(line) else 0
+        breaks.add(len(words))
+        for k in range(skip, len(own)):
+            if k > skip:
+                between = line[spans[k - 1][1] : spans[k][0]]
+                if _SENTENCE.match(between):
+                    breaks.add(len(words))
+                elif _JOINT.fullmatch(between):
+                    joined.add(len(words))
+            words.append(own[k])
+            at_line.append(number)
+    pairs = list(zip(words, words[1:], strict=False))
+    wanted = set(candidates)
+    places = {number: k for k, number in enumerate(candidates)}
+    owners = {
+        pair: [places[number] for number in templates.owners[pair] if number in wanted]
+        for pair in templates.known.intersection(pairs)
+    }
+    firsts = {templates.firsts[number] for number in candidates}
+    lasts = {templates.lasts[number] for number in candidates}
+    # The next bigram that a candidate has and the next break, from each word on.
+    starts = []
+    next_known = next_break = len(words)
+    for k in range(len(pairs) - 1, -1, -1):
+        if k + 1 in breaks:
+            next_break = k + 1
+        if owners.get(pairs[k]):
+            next_known = k
+        if (k in breaks and next_known < next_break) or (pairs[k] in firsts and k not in joined):
+            starts.append(k)
+    sizes = [templates.sizes[number] for number in candidates]
+    t = templates.threshold
+    largest = int(max(sizes) * (2 - t) / t + 1e-9)  # Dice is at most 2 * smaller / (smaller + larger)
+    found = []
+    for start in reversed(starts):
+        part: set[Bigram] = set()
+        counts = [0] * len(sizes)
+        best: tuple[float, int] | None = None
+        stale = True
+        for k in range(start, len(pairs)):
+            pair = pairs[k]
+            if pair not in part:
+                part.add(pair)
+                if len(part) > largest:
+                    break
+                stale = True
+                for place in owners.get(pair, ()):
+                    counts[place] += 1
+            end = k + 1
+            if end + 1 in breaks or end + 1 == len(words) or (pair in lasts and end + 1 not in joined):
+                if stale:
+                    best, stale = None, False
+                    for place, count in enumerate(counts):
+                        dice = 2 * count / (len(part) + sizes[place])
+                        if dice >= t and (best is None or dice > best[0]):
+                            best = (dice, candidates[place])
+                if best:
+                    found.append(_Part(*best, start, end, at_line[start], at_line[end]))
+    return found
 
 
 def scan(text: str | None, templates: Templates) -> list[Match]:
-    """Matches that share no line, the best first chosen, in order of lines (from 0).
+    """Matches that share no word, the best first chosen, in order; lines count from 0.
 
-    Of equally good runs the one with more lines wins, then the earlier.
+    A match gives way to one around it of another licence whose template holds its own and more. Of
+    equally good parts the one with more lines wins, then the earlier line, then more words.
     """
-    lines = normal_lines(text) if text else []
-    filled = [(number, words) for number, words in enumerate(lines) if words]
-    starts, open_ends = set(), set()
-    for at, (_, words) in enumerate(filled):
-        after = filled[at + 1][1][:1] if at + 1 < len(filled) else []
-        inside = not templates.known.isdisjoint(zip(words, words[1:], strict=False))
-        over = bool(after) and (words[-1], after[0]) in templates.known
-        if inside or over:
-            starts.add(at)
-        if inside:
-            open_ends.add(at)
-        if over:
-            open_ends.add(at + 1)
-    found = []
-    for at in sorted(starts):
-        part, last = set(), None
-        for end in range(at, len(filled)):
-            words = filled[end][1]
-            if last is not None:
-                part.add((last, words[0]))
-            part.update(zip(words, words[1:], strict=False))
-            last = words[-1]
-            if len(part) > templates.largest:
-                break
-            if end in open_ends and (best := templates.best(part)):
-                found.append(Match(*best, filled[at][0], filled[end][0]))
-    found.sort(key=lambda m: (-m.dice, m.first - m.last, m.first))
-    chosen: list[Match] = []
-    for match in found:
-        if all(match.last < other.first or match.first > other.last for other in chosen):
-            chosen.append(match)
-    return sorted(chosen, key=lambda m: m.first)
+    if not text:
+        return []
+    lines = text.lower().split("\n")
+    words: list[str] = []
+    for line in lines:
+        own = _WORD.findall(line)
+        words += own[_stated(own, templates) :] if _COPYRIGHT.match(line) else own
+    present = templates.known.intersection(zip(words, words[1:], strict=False))
+    candidates = templates.candidates(present)
+    if not candidates:
+        return []
+    found = _parts(lines, templates, candidates)
+    of_template: dict[int, list[_Part]] = {}
+    for part in found:
+        of_template.setdefault(part.template, []).append(part)
+    found = [
+        part
+        for part in found
+        if not any(
+            other.start <= part.start and part.end <= other.end
+            for number in templates.around[part.template]
+            for other in of_template.get(number, ())
+        )
+    ]
+    found.sort(key=lambda m: (-m.dice, m.first - m.last, m.first, m.start - m.end, m.start))
+    chosen: list[_Part] = []
+    for part in found:
+        if all(part.end < other.start or part.start > other.end for other in chosen):
+            chosen.append(part)
+    return [
+        Match(part.dice, templates.names[part.template], part.first, part.last)
+        for part in sorted(chosen, key=lambda m: m.start)
+    ]
 
 
 def license_scan(
