@@ -118,3 +118,32 @@ def test_messy_and_empty_tables(spark):
     assert quality.keep_good(docs, none).count() == sum(r["kept"] for r in rows)
     assert quality.quality_verdicts(empty(spark), none).collect() == []
     assert quality.keep_good(empty(spark), none).filter(F.lit(True)).collect() == []
+
+
+def test_no_language_lends_its_cutoffs_to_another(spark):
+    """Languages with few labels, none, or no name at all, whose clean words are long."""
+    rows, labels = junk_and_prose(2000)
+    rows = [(k, text, "en", "s") for k, text, *_ in rows]
+    rng, known = random.Random(9), vocabulary()
+    long_words = [w * 6 for w in known]
+    clean = [(10_000 + k, prose(rng, 80, long_words), ["fi", "hu", None][k % 3], "s") for k in range(300)]
+    wordy = [(30_000 + k, prose(rng, 80, long_words), "en", "s") for k in range(300)]
+    # English rejects long words; other small languages have labels of their own, good and bad.
+    marked = labels + [(k, 0, 0) for k, *_ in wordy]
+    other = [(40_000 + k, prose(rng, 80, known), "da", "s") for k in range(390)]
+    marked += [(k, 1, 0) for k, *_ in other] + [(k, 1, 0) for k, _, lang, _ in clean if lang == "fi"][:5]
+    unproven = [(50_000 + k, prose(rng, 80, long_words), "no", "s") for k in range(100)]
+    marked += [(k, 0, 0) for k, *_ in unproven]
+    docs = documents(spark, rows + clean + wordy + other + unproven)
+    kept = {r["doc_id"] for r in quality.keep_good(docs, spark.createDataFrame(marked, LABELS)).collect()}
+    assert {k for k, *_ in clean} <= kept  # few labels, none, and no language
+    assert {k for k, *_ in unproven} <= kept  # no good label: nothing was tested
+    assert not {k for k, *_ in wordy} & kept  # enough labels
+
+
+def test_documents_without_a_language_are_a_stratum(spark):
+    rows, labels = junk_and_prose(3000)
+    docs = documents(spark, [(k, text, None if k % 2 else "en", "s") for k, text, *_ in rows])
+    nameless = spark.createDataFrame([label for label in labels if label[0] % 2], LABELS)
+    kept = {r["doc_id"] for r in quality.keep_good(docs, nameless).collect()}
+    assert kept == {k for k, good, _ in labels if good or k % 2 == 0}

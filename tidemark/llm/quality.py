@@ -8,8 +8,9 @@ the most lenient on until one fails (a fixed sequence, which needs no correction
 rule) and the level is divided by the number of rules times strata, so that with probability
 1 - `LEVEL` no rule exceeds its risk in any stratum. Of the cutoffs that passed, the one that
 catches most bad documents for the good ones it costs is taken; if none passed, the rule
-rejects nothing there. Languages with too few good labels are calibrated as one stratum,
-which also serves documents whose language is null or was never seen.
+rejects nothing there. No stratum lends its cutoffs to another: a language with few labels or
+none keeps all that pass the base rules, and documents without a language are a stratum of
+their own.
 """
 
 from __future__ import annotations
@@ -27,13 +28,10 @@ from tidemark.llm.common import WORD, small, table, written
 #: Most good documents that a rule may reject in a stratum, and the chance that one exceeds it.
 RISK = 0.02
 LEVEL = 0.05
-#: Good labels that a language needs for a stratum of its own.
-STRATUM_LABELS = 400
 #: A cutoff's gain: share of bad documents caught less this times the share of good ones hit.
 GOOD_COST = 10.0
 TOP_SCORE = 1000
 MIN_WORDS = 50
-POOLED = "(all other languages)"
 
 SYMBOLS = "#*$%&|<>"
 _WORD = re.compile(WORD)
@@ -142,10 +140,11 @@ def calibrate(
     labels: DataFrame,
     risk: float = RISK,
     level: float = LEVEL,
-    stratum_labels: int = STRATUM_LABELS,
 ) -> DataFrame:
     """stratum, one cutoff per rule (null: never), from measured (doc_id, lang, counts).
 
+    The null stratum is that of the labelled documents whose language is null.
+
     A document labelled twice counts as good only if every label says so; labels without
     quality or without a document, and documents without an id, take no part. Scores are
     counted in Spark; one stratum's counts (rules times scores) go to one task.
@@ -175,20 +174,17 @@ def calibrate(
         ),
         "quality-scores",
     )
-    own = (
+    strata = counted.withColumnRenamed("lang", "stratum")
+    # The level is divided among the strata that have labels enough to pass at all; whether
+    # they have does not depend on the scores. In the others no cutoff can pass.
+    testable = (
         counted.filter(F.col("rule") == next(iter(RULES)))
         .groupBy("lang")
         .agg(F.sum("good").alias("n_good"))
-        .filter((F.col("n_good") >= stratum_labels) & F.col("lang").isNotNull())
-        .select("lang", F.col("lang").alias("stratum"))
-    )
-    strata = (
-        counted.join(small(own), "lang", "left")
-        .withColumn("stratum", F.coalesce("stratum", F.lit(POOLED)))
-        .groupBy("stratum", "rule", "score")
-        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        .filter(F.pow(F.lit(1 - risk), F.col("n_good")) <= level / len(RULES))
+        .count()
     )
-    tests = len(RULES) * max(1, strata.select("stratum").distinct().count())
+    tests = len(RULES) * max(1, testable)
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         found = {"stratum": rows["stratum"].iloc[0]}
@@ -208,16 +204,8 @@ def calibrate(
 
 def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """The measured rows with base_failed and kept. A null score or cutoff rejects nothing."""
-    pooled = cutoffs.filter(F.col("stratum") == POOLED).first()
-    own = cutoffs.filter(F.col("stratum") != POOLED).select(
-        F.col("stratum").alias("cutoff_lang"), F.struct(*RULES).alias("cutoffs")
-    )
-    rest = F.struct(
-        *[F.lit(pooled[rule] if pooled else None).cast("long").alias(rule) for rule in RULES]
-    )
-    joined = measured.join(small(own), F.col("lang") == F.col("cutoff_lang"), "left").withColumn(
-        "cutoffs", F.when(F.col("cutoff_lang").isNull(), rest).otherwise(F.col("cutoffs"))
-    )
+    own = cutoffs.select(F.col("stratum").alias("cutoff_lang"), F.struct(*RULES).alias("cutoffs"))
+    joined = measured.join(small(own), F.col("lang").eqNullSafe(F.col("cutoff_lang")), "left")
     failed = base_failed("counts")
     rejected = F.lit(False)
     for rule, score in RULES.items():
