@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -104,3 +105,44 @@ def test_query_equals_the_plain_patterns(spark, sf):
         assert r["base_sha256"] == hashlib.sha256(told.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[1] == k for s in spans) for k in range(3)]
         assert set(told.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def found(kind, text):
+    return [text[s[0] : s[2]] for s in secrets.scan(text) if secrets.RULES[s[1]].kind == kind]
+
+
+@pytest.mark.parametrize(
+    "url",
+    [
+        "https://me:" + "p" * 66 + "@",
+        "https://" + "m" * 90 + ":hidden@",
+        "redis://:s3cretpw99@",
+        "postgres://me:a/b@c:d@",
+        "a-scheme+of.more-than-twenty-letters://me:hidden@",
+        "https://me@example.org:hidden@",
+        "HTTPS://me:hidden@",
+    ],
+)
+def test_url_passwords_are_whole(url):
+    assert found("url_password", f"see {url}cache:6379/0 and https://example.org:80/x") == [url]
+    assert found("url_password", f"x={url}h") == [url]
+
+
+def test_urls_without_a_password_have_none():
+    for text in ("https://example.org/a:b@c", "http://host:8080/x y@z", "http://u:@host", "://", "a://b"):
+        assert found("url_password", text) == []
+
+
+@pytest.mark.parametrize("name", ["PRIVATE KEY", "RSA PRIVATE KEY", "PGP PRIVATE KEY BLOCK", "OPENSSH PRIVATE KEY"])
+def test_private_keys_are_whole(name):
+    key = f"-----BEGIN {name}-----\nMIIabc+/=\n\nxyz==\n-----END {name}-----"
+    assert found("private_key", f"a\n{key}\nb {key} c") == [key, key]
+    cut = key[: key.index("-----END")]
+    assert found("private_key", f"a\n{cut}") == [cut]
+
+
+def test_long_runs_take_no_quadratic_time():
+    begin = time.monotonic()
+    for text in ("http://localhost:3000/x," * 40_000, "a.b-c+" * 200_000, "-----BEGIN " * 100_000, "a://" * 200_000):
+        assert found("url_password", text) == found("private_key", text) == []
+    assert time.monotonic() - begin < 20

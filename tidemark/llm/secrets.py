@@ -55,13 +55,26 @@ RULES = (
     ),
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]{24,}", least=24),  # a run of these letters, whole, like [0-9a-f]+
-    Rule("private_key", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    # To its END line, or to the end of the text if the key is cut off.
+    Rule(
+        "private_key",
+        r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"
+        r"(?s:.*?)(?:-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----|\Z)",
+        hint="-----BEGIN ",
+    ),
     Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"\bAIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"\b[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_password", r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@", hint="://"),
+    # The password ends at the last @ before white space. Where there is none the rest of the run
+    # is taken without the group, as no later URL of it can have one either.
+    Rule(
+        "url_password",
+        r"(?<![A-Za-z0-9+.-])[A-Za-z0-9+.-]++://[^\s/:]*+:(?:(\S+@)|\S++)",
+        group=1,
+        hint="://",
+    ),
 )
 BASE = ("assign", "access", "hex")
 
