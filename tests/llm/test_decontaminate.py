@@ -101,3 +101,26 @@ def test_messy_and_empty_tables(spark):
     assert [(r["doc_id"], r["n_hit"], r["n_items"]) for r in rows if r["contaminated"]] == [(4, 1, 2)]
     assert dc.contamination(empty(spark), bench).collect() == []
     assert dc.decontaminate(empty(spark), bench).collect() == []
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_bytes": 1}, {"shard_bytes": 1500}, {"block_words": 120}])
+def test_longest_matches_equal_brute_force_for_every_holder(spark, options):
+    rows, items = fixture(7)
+    rng, known = random.Random(8), vocabulary(60)
+    long = prose(rng, 100, known)
+    items += [(200, long), (201, " ".join(long.split()[40:70]))]
+    parts = [long, long, " ".join(long.split()[:10]), " ".join(long.split()[5:60]), long + " " + long]
+    rows += [(500 + k, f"{prose(rng, 3, known)} {part} {prose(rng, 3, known)}", "en", "s") for k, part in enumerate(parts)]
+    rows += [(600, "q", "en", "s"), (601, items[0][1].split()[0] + " q", "en", "s"), (602, None, "en", "s")]
+    docs, bench = documents(spark, rows), spark.createDataFrame(items, ITEM)
+    want = {k: brute(text, items) for k, text, *_ in rows}
+    for r in dc.find_matches(docs, bench, **options).collect():
+        _, occurs, longest = want[r["row"]["doc_id"]]
+        own, texts = words(r["row"]["text"]), {str(k): words(t) for k, t in items}
+        assert {m["item_id"]: m["longest"] for m in r["matches"] if m["occurs"]} == {i: longest[i] for i in occurs}
+        for m in r["matches"]:
+            part = own[m["at"] : m["at"] + m["longest"]]
+            assert len(part) == m["longest"]
+            assert part in [texts[m["item_id"]][k : k + len(part)] for k in range(len(texts[m["item_id"]]))]
+    for r in dc.contamination(docs, bench, **options).collect():
+        assert r["longest"] == max(want[r["doc_id"]][2].values())

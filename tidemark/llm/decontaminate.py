@@ -3,9 +3,11 @@
 Documents are cut into shards that fit a task. In each shard the word suffixes that could
 start a match (their first words follow each other in some benchmark item) are sorted; every
 suffix of every benchmark item is then searched in the sorted order, all at once. The range
-that starts with the suffix's first `window` words gives all verbatim occurrences, and the
-neighbours of its place in the order give its longest match. Benchmarks are searched in
-blocks of bounded size, each against all shards.
+that starts with the suffix's first `window` words gives all verbatim occurrences; each is
+extended word by word, which gives the longest match of every text and item that share a window.
+Shorter matches have neighbours in the order: those of each benchmark suffix among the texts',
+and of each text's suffixes among the benchmark's. Benchmarks are searched in blocks of bounded
+size, each against all shards.
 """
 
 from __future__ import annotations
@@ -40,6 +42,19 @@ def _keys(numbers: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(columns).view(f"S{4 * width}").ravel()
 
 
+def _shared(
+    numbers: np.ndarray, places: np.ndarray, others: np.ndarray, suffixes: np.ndarray
+) -> np.ndarray:
+    """How many words follow alike from each place of `numbers` and suffix of `others` on."""
+    length, alive = np.zeros(len(places), np.int64), np.arange(len(places))
+    while len(alive):
+        one = numbers[np.minimum(places[alive] + length[alive], len(numbers) - 1)]
+        other = others[np.minimum(suffixes[alive] + length[alive], len(others) - 1)]
+        alive = alive[(one == other) & (other > 0)]
+        length[alive] += 1
+    return length
+
+
 class Benchmark:
     """The items of a block as one row of word numbers, 0 after each, and its suffixes.
 
@@ -72,6 +87,7 @@ class Benchmark:
             np.where((self.left == sizes[self.owner]) if len(lists) else False, self.left, 0),
         )
         self.keys = _keys(self.numbers, self.suffixes, window)
+        self.order = np.argsort(self.keys, kind="stable")
         # Starts of matches: pairs of words that follow each other in an item, and items of
         # one word.
         first, second = self.numbers[self.suffixes], self.numbers[self.suffixes + 1]
@@ -86,9 +102,11 @@ def search_shard(texts: list[list[str]], bench: Benchmark) -> tuple[np.ndarray,
     """What a shard holds of the benchmark.
 
     Returns for each text whether its words are hit (one flat array and the texts' ends) and
-    a frame of text, item, longest (words of the longest verbatim match of any suffix of the
-    item in that text's neighbourhood of the sorted order), at (first word of it), occurs
-    (a window of the item occurs in the text).
+    a frame of text, item, longest (words of a verbatim match of the two), at (first word of it),
+    occurs (a window of the item occurs in the text). Where one occurs, `longest` is that of the
+    longest match of the text and the item. Of the others the frame has at least the longest
+    match of each text with any item, and of each item with any text of the shard unless that
+    is a single word.
     """
     look = bench.vocabulary.get
     sizes = np.array([len(words) for words in texts], np.int64)
@@ -97,7 +115,6 @@ def search_shard(texts: list[list[str]], bench: Benchmark) -> tuple[np.ndarray,
     for end, words in zip(ends.tolist(), texts, strict=True):
         numbers[end - 1 - len(words) : end - 1] = [look(word, 0) for word in words]
     hit = np.zeros(len(numbers), bool)
-    empty = pd.DataFrame({"text": [], "item": [], "longest": [], "at": [], "occurs": []})
     # The suffixes to sort.
     first, second = numbers[:-1], numbers[1:]
     known = np.flatnonzero(first)
@@ -107,8 +124,8 @@ def search_shard(texts: list[list[str]], bench: Benchmark) -> tuple[np.ndarray,
     starts = known[
         (bench.pairs[place] == paired if len(bench.pairs) else False) | bench.single[first[known]]
     ]
-    if not len(starts) or not len(bench.suffixes):
-        return hit, ends, empty
+    if not len(known):
+        return hit, ends, pd.DataFrame({"text": [], "item": [], "longest": [], "at": [], "occurs": []})
     keys = _keys(numbers, starts, bench.window)
     order = np.argsort(keys, kind="stable")
     suffixes, keys = starts[order], keys[order]
@@ -131,28 +148,28 @@ def search_shard(texts: list[list[str]], bench: Benchmark) -> tuple[np.ndarray,
     np.add.at(edges, places, 1)
     np.add.at(edges, places + bench.need[asked][run], -1)
     hit = np.cumsum(edges[:-1]) > 0
+    # Longest matches of a window or more: occurrences that go on to the left lie inside others.
+    mine = bench.suffixes[asked][run]
+    before = numbers[places - 1]  # the last number is a 0, as that before each item
+    first_of = (before == 0) | (before != bench.numbers[mine - 1])
+    places, mine, run = places[first_of], mine[first_of], run[first_of]
     found = pd.DataFrame(
         {
             "text": np.searchsorted(ends, places, "right"),
             "item": bench.owner[asked][run],
-            "longest": bench.need[asked][run],
+            "longest": _shared(numbers, places, bench.numbers, mine),
             "at": places,
             "occurs": True,
         }
     )
-    # Longest matches: the neighbours of each suffix's place share most with it.
+    # Shorter ones of an item: the neighbours of each suffix's place share most with it.
     at = np.searchsorted(keys, bench.keys, "left")
     best_length = np.zeros(len(bench.suffixes), np.int64)
     best_place = np.zeros(len(bench.suffixes), np.int64)
     for side in (at - 1, at):
         valid = np.flatnonzero((side >= 0) & (side < len(keys)))
-        place, mine = suffixes[side[valid]], bench.suffixes[valid]
-        length, alive = np.zeros(len(valid), np.int64), np.arange(len(valid))
-        while len(alive):
-            theirs = numbers[np.minimum(place[alive] + length[alive], len(numbers) - 1)]
-            ours = bench.numbers[np.minimum(mine[alive] + length[alive], len(bench.numbers) - 1)]
-            alive = alive[(theirs == ours) & (ours > 0)]
-            length[alive] += 1
+        place = suffixes[side[valid]]
+        length = _shared(numbers, place, bench.numbers, bench.suffixes[valid])
         better = length > best_length[valid]
         best_length[valid[better]], best_place[valid[better]] = length[better], place[better]
     matched = np.flatnonzero(best_length)
@@ -165,13 +182,52 @@ def search_shard(texts: list[list[str]], bench: Benchmark) -> tuple[np.ndarray,
             "occurs": False,
         }
     )
-    both = pd.concat([found, nearest], ignore_index=True)
+    both = pd.concat([found, nearest, _longest_of_texts(numbers, ends, known, starts, found, bench)])
     both = both.sort_values(["text", "item", "longest", "at"], ascending=[True, True, False, True])
     return hit, ends, both.groupby(["text", "item"], as_index=False).agg(
         longest=("longest", "first"), at=("at", "first"), occurs=("occurs", "max")
     )
 
 
+def _longest_of_texts(
+    numbers: np.ndarray,
+    ends: np.ndarray,
+    known: np.ndarray,
+    starts: np.ndarray,
+    found: pd.DataFrame,
+    bench: Benchmark,
+) -> pd.DataFrame:
+    """The longest match of each text with any item, for texts in which no whole window occurs."""
+    settled = np.zeros(len(ends), bool)
+    settled[found.loc[found["longest"] >= bench.window, "text"].to_numpy(np.int64)] = True
+    # A known word by itself, then what follows alike from the suffixes that start with two.
+    text = np.searchsorted(ends, known, "right")
+    firsts = np.flatnonzero(np.diff(text, prepend=-1))
+    places = np.concatenate([known[firsts], starts])
+    text = np.searchsorted(ends, places, "right")
+    places, text = places[~settled[text]], text[~settled[text]]
+    at = np.searchsorted(bench.keys[bench.order], _keys(numbers, places, bench.window), "left")
+    longest, suffix = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+    for side in (at - 1, at):
+        valid = np.flatnonzero((side >= 0) & (side < len(bench.order)))
+        theirs = bench.suffixes[bench.order[side[valid]]]
+        length = _shared(numbers, places[valid], bench.numbers, theirs)
+        better = length > longest[valid]
+        longest[valid[better]] = length[better]
+        suffix[valid[better]] = bench.order[side[valid[better]]]
+    best = np.lexsort((places, -longest, text))
+    best = best[np.flatnonzero(np.diff(text[best], prepend=-1))]
+    return pd.DataFrame(
+        {
+            "text": text[best],
+            "item": bench.owner[suffix[best]],
+            "longest": longest[best],
+            "at": places[best],
+            "occurs": False,
+        }
+    )
+
+
 def _blocks(benchmark: DataFrame, most_words: int) -> Iterator[list[tuple[str, list[str]]]]:
     """The items in blocks of bounded size; the driver holds one block at a time."""
     block, size = [], 0
@@ -197,8 +253,10 @@ def find_matches(
     """Each row of docs as `row`, with n_words, hits and matches.
 
     hits: numbers of the words inside any occurrence of an item's window, ascending.
-    matches: per item, the longest verbatim match found from here, the word it starts at,
-    and whether one of its windows occurs in the document. Null texts and texts without
+    matches: item, longest (words of a verbatim match), the word it starts at, and whether one of
+    the item's windows occurs in the document. For an item that occurs it is the longest match
+    of the two, and the longest of all is that of the document with any item, however documents
+    are batched; which shorter ones are told beside them is not fixed. Null texts and texts without
     words have no hits; items without words have no windows; repeated items and repeated
     documents each count by themselves, and item ids are compared as strings. The columns
     of docs, or those of `carry`, ride along in `row`, whatever their names.
