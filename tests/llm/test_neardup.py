@@ -130,3 +130,20 @@ def test_components_of_long_chains_and_stars(spark):
     roots = {r["node"]: r["root"] for r in neardup.components(links).collect()}
     assert set(roots.values()) == {"c000", "a0"}
     assert len(roots) == 121 + 51
+
+
+def test_one_id_or_none_for_different_texts_leaves_one_row(spark):
+    rng, known = random.Random(12), vocabulary()
+    base, other = (prose(rng, 100, known) for _ in range(2))
+    rows = [
+        (1, f"{base} a"), (1, f"{base} b"), (1, f"{base} b"), (None, f"{base} c"),  # one component
+        (None, f"{other} a"), (None, f"{other} b"), (None, f"{other} c"),  # one without an id
+        (1, prose(rng, 100, known)), (None, prose(rng, 100, known)),  # alone
+        (None, ""), (5, None), (5, " "),  # without words
+    ]
+    kept = neardup.drop_near_duplicates(documents(spark, [(*row, "en", "s") for row in rows])).collect()
+    told = [(r["doc_id"], r["text"]) for r in kept]
+    assert len(told) == len(set(told)) == 7
+    assert sum(t in rows[:3] for t in told) == 1 and rows[3] not in told
+    assert sum(t in rows[4:7] for t in told) == 1
+    assert set(rows[7:]) <= set(told)

@@ -237,18 +237,10 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
+def _grouped(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, margin: float = MARGIN
-) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept for every row of docs.
-
-    Two documents are linked if `100 * |common shingles| >= percent * |all shingles|`;
-    component_id is the smallest doc_id reachable over links. Documents without words are
-    linked with nothing. Null ids join a component but do not name it, unless it has no
-    other; rows of one id and text are one document, told apart only by their caller.
-    Shingles are compared by 64-bit hashes. A linked pair is missed with a chance below
-    one in a million (no band in common, or sketches beyond the margin).
-    """
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signed rows of docs, the nodes with their first document, and node, root of the linked."""
     signed = written(_signatures(docs, size), "signatures")
     nodes = written(
         signed.filter("n_shingles > 0")
@@ -319,6 +311,20 @@ def near_duplicates(
     more = written(_linked(rest, sets, percent), "cross-links")
     if more.take(1):
         roots = components(links.union(more))
+    return signed, nodes, roots
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept for every row of docs.
+
+    Two documents are linked if `100 * |common shingles| >= percent * |all shingles|`;
+    component_id is the smallest doc_id reachable over links. Documents without words are
+    linked with nothing. Null ids join a component but do not name it, unless it has no
+    other; rows of one id and text are one document, told apart only by their caller.
+    Shingles are compared by 64-bit hashes. A linked pair is missed with a chance below
+    one in a million (no band in common, or sketches beyond the margin).
+    """
+    signed, nodes, roots = _grouped(docs, **options)
     named = roots.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(
         F.min("doc_id").alias("component_id")
     )
@@ -340,11 +346,20 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row of each component, and every document without words, with all its columns.
 
-    Rows of one id and text count as repeated and leave one.
+    Rows of one id and text count as repeated and leave one. Of the others in a component the
+    one with the least id stays, of one id the one with the least hash of its text, and one
+    without an id only where none has one.
     """
-    kept = near_duplicates(docs, **options).filter("kept").select(
-        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")
-    ).distinct()
+    signed, nodes, roots = _grouped(docs, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    of_component = (
+        nodes.join(roots, "node", "left")
+        .groupBy(F.coalesce("root", "node"))
+        .agg(first)
+        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    )
+    wordless = signed.filter("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    kept = of_component.union(wordless)
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
     found = rows.join(
         kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi"
