@@ -30,19 +30,44 @@ def test_pieces_give_the_ids_of_whole_texts(library):
     rng = random.Random(11)
     texts = ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 25))) for _ in range(20_000)]
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(ids, "<u4").tolist() for ids in tokens.Encoder(PATH).encode(texts)]
+    use = tokens.Encoder(PATH)
+    got = [
+        np.frombuffer(ids, "<u4").tolist()
+        for start in range(0, len(texts), 3_000)
+        for ids in use.encode(pa.array(texts[start : start + 3_000]))
+    ]
     assert got == want
 
 
 def test_the_memory_stays_bounded_and_right(library):
-    use = tokens.Encoder(PATH)
-    use.first.size = use.later.size = 50
+    use = tokens.Encoder(PATH, remembered_bytes=20_000)
     for k in range(30):
-        texts = [f"word{j} and word{j + k}, then" for j in range(40)]
+        texts = [f"word{j} and word{j + k}, then word." for j in range(40)]
         want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
-        assert use.count(texts) == want
-    use.later.trim()
-    assert len(use.later) + len(use.later.old) < 400
+        assert use.count(pa.array(texts)).tolist() == want
+        assert use.memory.bytes < 40_000
+
+
+def test_unknown_pieces_are_encoded_in_few_calls(library):
+    use, calls = tokens.Encoder(PATH), []
+    encode = use._encode
+    use._encode = lambda texts: calls.append(len(texts)) or encode(texts)
+    texts = [f"start{j} word{j} and{j % 7} more, of it" for j in range(5_000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in use.encode(pa.array(texts))] == want
+    assert len(calls) <= 4
+
+
+def test_texts_beyond_a_batch_are_cut_at_safe_blanks(library, monkeypatch):
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 40)
+    rng = random.Random(4)
+    for _ in range(200):
+        text = "".join(rng.choice([*ODD, "word", " and", ", so", " "]) for _ in range(120))
+        use = tokens.Encoder(PATH)
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(use.encode(pa.array([text]))[0], "<u4").tolist() == want
+    assert tokens.Encoder(PATH).encode(pa.array([], pa.string())) == []
+    assert tokens.Encoder(PATH).encode(pa.array([None, ""], pa.string())) == [b"", b""]
 
 
 def test_other_tokenizers_encode_whole_texts():
@@ -51,7 +76,7 @@ def test_other_tokenizers_encode_whole_texts():
     assert not use.cuts
     text = "Some  text,\nwith  blanks"
     want = Tokenizer.from_file(path).encode(text, add_special_tokens=False)
-    assert use.count([text]) == [len(want.ids)]
+    assert use.count(pa.array([text])).tolist() == [len(want.ids)]
 
 
 def test_counts_of_a_messy_table(spark, library):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_bytes, shared_folder, table, written
-from tidemark.llm.tokens import BATCH_BYTES, VOCABULARY, encoder
+from tidemark.llm.tokens import BATCH_BYTES, VOCABULARY, Encoder
 
 END_ID = 0
 #: Bytes of text in a shard and of unpacked ids in a frame, at about; the level of packing.
@@ -183,7 +183,7 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, (system, root) = encoder(path), open_folder(folder)
+        use, (system, root) = Encoder(path), open_folder(folder)
         end = np.array([end_id], "<u4").tobytes()
         system.create_dir(root, recursive=True)
         shard = TaskContext.get().partitionId()
@@ -192,7 +192,7 @@ def write_token_files(
             if writer is None:
                 stream = system.open_output_stream(temporary)
                 writer = ShardWriter(stream)
-            found = use.encode(batch.column("text").to_pylist())
+            found = use.encode(batch.column("text"))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 writer.add(doc_id, ids + end)
         if writer is None:

@@ -3,9 +3,11 @@
 A text is cut into pieces at places where the tokenizer's own pattern must cut: before a
 single blank that has something other than white space on both sides. No token crosses
 such a place, so the ids of a text are the ids of its pieces one after the other, however
-long the text is. Pieces recur, so a bounded memory of them spares most of the encoding.
-Only byte-level BPE with the usual pattern, no normalizer and no prefix blank is cut like
-this; texts for any other tokenizer are encoded whole.
+long the text is; texts beyond a batch are cut there, too. The different pieces of a batch
+that a task does not know yet are joined by blanks again and encoded by one call; a piece
+starts where a token starts with a blank. What is known is bounded in bytes and ends with
+the task. Only byte-level BPE with the usual pattern, no normalizer and no prefix blank is
+cut like this; texts for any other tokenizer are encoded whole, a batch in a call.
 """
 
 from __future__ import annotations
@@ -13,9 +15,10 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 from collections.abc import Iterator
+from itertools import chain, pairwise, repeat
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,74 +29,194 @@ from tidemark.llm.common import by_bytes, table
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
-#: Bytes of text encoded at a time; pieces that a worker remembers, none longer than that.
-BATCH_BYTES = 2 << 20
-REMEMBERED = 1_000_000
-LONG_PIECE = 40
+#: Bytes of text encoded at a time; bytes of pieces and their ids that a task remembers;
+#: characters in each text of a call to the library.
+BATCH_BYTES = 4 << 20
+REMEMBERED_BYTES = 48 << 20
+CALL_BYTES = 64 << 10
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
-_LINE = re.compile(r"(?<=\S)(\n)(?=\S)")
-#: White space other than the blank and the line feed; rare, and told by a quick look.
-_OTHER_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def pieces_of(text: str) -> list[str]:
-    """The text cut at its safe blanks, which are left out."""
-    if "\n " in text or " \n" in text or any(blank in text for blank in _OTHER_BLANKS):
-        return _SAFE.split(text)
-    pieces = text.split(" ")
-    return _SAFE.split(text) if "" in pieces else pieces
-
-
-class _Memory(dict):
-    """Ids of pieces, as bytes; the pieces used least recently go first, by halves.
-
-    An unknown piece is cut further where the pattern must cut: around a single line feed
-    between other characters, and before one mark of punctuation after a letter. `before`
-    is the blank in front of a piece; `plain` remembers pieces without one.
-    """
-
-    def __init__(self, tokenizer, size: int, before: str = "", plain: _Memory | None = None) -> None:
-        self.tokenizer, self.size, self.before, self.old = tokenizer, size, before, {}
-        self.plain = self if plain is None else plain
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            if "\n" in piece and len(parts := _LINE.split(piece)) > 1:
-                return self[parts[0]] + b"".join([self.plain[part] for part in parts[1:]])
-            if len(piece) > 1 and piece[-1] in ".,;:!?" and piece[-2].isalpha():
-                ids = self[piece[:-1]] + self.plain[piece[-1]]
-            else:
-                ids = _bytes(self.tokenizer, [self.before + piece])[0]
-        if len(piece) <= LONG_PIECE:
-            self[piece] = ids
-        return ids
-
-    def trim(self) -> None:
-        if len(self) > self.size // 2:
-            self.old = dict(self)
-            self.clear()
-
-
-def _bytes(tokenizer, texts: list[str]) -> list[bytes]:
-    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-    return [struct.pack(f"<{len(e)}I", *e.ids) for e in found]
+#: Texts that are not cut at all their blanks: white space of another kind, blanks at an end,
+#: next to one another or to a line feed.
+_ODD = (
+    r"^ | $|  |\n | \n|[\t\r\x0b\x0c\x1c-\x1f]|"
+    r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+_MARKS = ".,;:!?"
+_MARKED = r"\pL[.,;:!?]$"
+_BLANK = "Ġ"  # how byte-level vocabularies write the blank
+_TOKENIZERS: dict[str, object] = {}
+
+
+def pieces_of(texts: pa.Array) -> pa.Array:
+    """The texts as lists of pieces, cut at their safe blanks, which are left out."""
+    odd = pc.match_substring_regex(texts, _ODD)
+    if not pc.any(odd).as_py():
+        return pc.split_pattern(texts, " ")
+    plain = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+    cut = pa.array([_SAFE.split(text) for text in texts.filter(odd).to_pylist()], plain.type)
+    is_odd = odd.to_numpy(zero_copy_only=False)
+    place = np.where(is_odd, len(plain) + np.cumsum(is_odd) - 1, np.cumsum(~is_odd) - 1)
+    return pa.concat_arrays([plain, cut]).take(pa.array(place))
+
+
+def _parts(text: str, most: int) -> Iterator[str]:
+    """The text in parts of about `most` characters; each but the first follows a safe blank."""
+    start = 0
+    while (cut := _SAFE.search(text, start + most)) is not None:
+        yield text[start : cut.start()]
+        start = cut.end()
+    yield text[start:]
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the runs that begin at `starts`, run after run."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    places = np.repeat((starts - (ends - sizes)).astype(np.int64), sizes)
+    places += np.arange(len(places))
+    return places
+
+
+class _Memory:
+    """Pieces, each with its ids in one array; given up as a whole when it is full."""
+
+    def __init__(self, most_bytes: int) -> None:
+        self.most_bytes = most_bytes
+        self.clear()
+
+    def clear(self) -> None:
+        self.pieces = pa.array([], pa.string())
+        self.ids, self.starts, self.sizes = (np.zeros(0, kind) for kind in (np.uint32, np.int64, np.int32))
+
+    @property
+    def bytes(self) -> int:
+        return self.pieces.nbytes + self.ids.nbytes + self.starts.nbytes + self.sizes.nbytes
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each piece, or -1."""
+        return pc.fill_null(pc.index_in(pieces, value_set=self.pieces), -1).to_numpy()
+
+    def add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.ids = np.concatenate([self.ids, ids])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
 
 
 class Encoder:
-    """The tokenizers library with a memory: ids of a text as little-endian 32-bit integers."""
-
-    def __init__(self, path: str) -> None:
+    """The tokenizers library with a memory of pieces: ids as little-endian 32-bit integers."""
+
+    def __init__(self, path: str, remembered_bytes: int = REMEMBERED_BYTES) -> None:
+        self.tokenizer, self.cuts, self.blank_starts = _tokenizer(path)
+        self.memory = _Memory(remembered_bytes)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many each text has, from one call to the library."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        return ids, np.fromiter(map(len, found), np.int64, len(found))
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Encodes pieces that follow a blank, all of them unknown; returns their numbers.
+
+        The pattern must cut before a mark of punctuation that ends a piece and follows a
+        letter, so what is before the mark is encoded once for all marks."""
+        memory, before = self.memory, len(self.memory.pieces)
+        odd = pc.or_(pc.match_substring(pieces, " "), pc.equal(pieces, ""))
+        ends_in_mark = pc.match_substring_regex(pieces, _MARKED)
+        blank, marked = pieces.filter(odd), pieces.filter(pc.and_(ends_in_mark, pc.invert(odd)))
+        plain = pieces.filter(pc.invert(pc.or_(odd, ends_in_mark)))
+        stems = pc.utf8_slice_codeunits(marked, 0, -1).dictionary_encode()
+        stem = memory.find(stems.dictionary).copy()
+        missing = np.flatnonzero(stem < 0)
+        more = stems.dictionary.take(pa.array(missing))
+        plain = pc.unique(pa.concat_arrays([plain, more]))
+        if len(blank):
+            memory.add(blank, *self._encode([f" {piece}" for piece in blank.to_pylist()]))
+        if len(plain):
+            stem[missing] = len(memory.pieces) + pc.index_in(more, value_set=plain).to_numpy()
+            texts = plain.to_pylist()
+            ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) // CALL_BYTES
+            edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+            ids, _ = self._encode([" " + " ".join(texts[a:b]) for a, b in pairwise(edges)])
+            memory.add(plain, ids, np.diff(np.flatnonzero(self.blank_starts[ids]), append=len(ids)))
+        if len(marked):
+            marks, sizes = self._encode(list(_MARKS))
+            stem = stem[stems.indices.to_numpy()]
+            mark = pc.index_in(pc.utf8_slice_codeunits(marked, -1), value_set=pa.array(list(_MARKS))).to_numpy()
+            starts = np.stack([memory.starts[stem], len(memory.ids) + (np.cumsum(sizes) - sizes)[mark]], 1)
+            sizes = np.stack([memory.sizes[stem], sizes[mark]], 1)
+            ids = np.concatenate([memory.ids, marks])[_runs(starts.ravel(), sizes.ravel())]
+            memory.add(marked, ids, sizes.sum(1))
+        return before + pc.index_in(pieces, value_set=memory.pieces.slice(before)).to_numpy()
+
+    def _part(self, texts: pa.Array, heads: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and how many each text has; without `heads`, each text follows a blank."""
+        memory = self.memory
+        if memory.bytes > memory.most_bytes:
+            memory.clear()
+        lists = pieces_of(texts)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        pieces = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        offsets -= offsets[0]
+        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        later = np.ones(len(pieces), bool)
+        head_ids = np.zeros(0, np.uint32)
+        if heads:
+            later[offsets[:-1]] = False
+            head_ids, sizes[~later] = self._encode(pieces.take(pa.array(offsets[:-1])).to_pylist())
+            pieces = pieces.filter(pa.array(later))
+        known = pieces.dictionary_encode()
+        number = memory.find(known.dictionary).copy()
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._learn(known.dictionary.take(pa.array(new)))
+        piece = number[known.indices.to_numpy()]
+        starts[later], sizes[later] = memory.starts[piece], memory.sizes[piece]
+        starts[~later] = len(memory.ids) + np.cumsum(sizes[~later]) - sizes[~later]
+        ids = np.concatenate([memory.ids, head_ids])[_runs(starts, sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        return ids, np.diff(ends)
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a batch of texts, null as empty, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if not self.cuts:
+            return self._encode(texts.to_pylist())
+        if len(texts) > 1 or pc.binary_length(texts[0]).as_py() <= 2 * BATCH_BYTES:
+            return self._part(texts, heads=True)
+        found = [
+            self._part(pa.array([part], texts.type), heads=not number)[0]
+            for number, part in enumerate(_parts(texts[0].as_py(), BATCH_BYTES))
+        ]
+        ids = np.concatenate(found)
+        return ids, np.array([len(ids)])
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        ids, sizes = self.ids_of(texts)
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        return [data[start:end] for start, end in zip([0, *ends], ends)]
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        return self.ids_of(texts)[1]
+
+
+def _tokenizer(path: str) -> tuple[object, bool, np.ndarray]:
+    """The worker's tokenizer of that vocabulary, loaded once; whether texts may be cut at safe
+    blanks for it; and which of its ids start with a blank."""
+    if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         before = described.get("pre_tokenizer") or {}
-        self.cuts = (
+        cuts = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space", True)
@@ -103,29 +226,11 @@ class Encoder:
                 for t in described["added_tokens"]
             )
         )
-        self.first = _Memory(self.tokenizer, REMEMBERED // 4)
-        self.later = _Memory(self.tokenizer, REMEMBERED, " ", self.first)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.cuts:
-            return _bytes(self.tokenizer, texts)
-        self.first.trim()
-        self.later.trim()
-        look, found = self.later.__getitem__, []
-        for text in texts:
-            first, *later = pieces_of(text)
-            found.append(self.first[first] + b"".join(map(look, later)))
-        return found
-
-    def count(self, texts: list[str]) -> list[int]:
-        return [len(ids) // 4 for ids in self.encode(texts)]
-
-
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of that vocabulary, loaded once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        vocabulary = tokenizer.get_vocab()
+        starts = np.zeros(max(vocabulary.values()) + 1, bool)
+        starts[[number for token, number in vocabulary.items() if token.startswith(_BLANK)]] = True
+        _TOKENIZERS[path] = tokenizer, cuts, starts
+    return _TOKENIZERS[path]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
@@ -137,14 +242,14 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = encoder(path)
+        use = Encoder(path)
         for batch in by_bytes(batches, "text", BATCH_BYTES):
             texts = pc.fill_null(batch.column("text"), "")
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
                     pc.cast(pc.binary_length(texts), pa.int64()),
-                    pa.array(use.count(texts.to_pylist()), pa.int64()),
+                    pa.array(use.count(texts), pa.int64()),
                 ],
                 ["doc_id", "n_bytes", "n_tokens"],
             )
