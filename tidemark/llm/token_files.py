@@ -33,7 +33,7 @@ from tidemark.llm.tokens import BATCH_BYTES, VOCABULARY, Encoder
 
 END_ID = 0
 #: Bytes of text in a shard and of unpacked ids in a frame, at about; the level of packing.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 64 << 20
 #: Shards are made larger rather than more than these.
 MOST_SHARDS = 20_000
 FRAME_BYTES = 256 << 10
@@ -242,7 +242,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                             ["doc_id", "start", "n_tokens", "ids_crc32"],
                         )
 
-    spread = based.repartition(max(1, manifest.count()), "shard")
+    spread = based.repartitionByRange(max(1, manifest.count()), "shard")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

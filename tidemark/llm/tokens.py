@@ -31,7 +31,7 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
 #: Bytes of text encoded at a time; bytes of pieces and their ids that a task remembers;
 #: characters in each text of a call to the library.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 REMEMBERED_BYTES = 48 << 20
 CALL_BYTES = 64 << 10
 
@@ -72,8 +72,8 @@ def _parts(text: str, most: int) -> Iterator[str]:
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of the runs that begin at `starts`, run after run."""
     ends = np.cumsum(sizes, dtype=np.int64)
-    places = np.repeat((starts - (ends - sizes)).astype(np.int64), sizes)
-    places += np.arange(len(places))
+    places = np.repeat((starts - (ends - sizes)).astype(np.int32), sizes)
+    places += np.arange(len(places), dtype=np.int32)
     return places
 
 
@@ -86,7 +86,7 @@ class _Memory:
 
     def clear(self) -> None:
         self.pieces = pa.array([], pa.string())
-        self.ids, self.starts, self.sizes = (np.zeros(0, kind) for kind in (np.uint32, np.int64, np.int32))
+        self.ids, self.starts, self.sizes = (np.zeros(0, kind) for kind in (np.uint32, np.int32, np.int32))
 
     @property
     def bytes(self) -> int:
@@ -98,7 +98,8 @@ class _Memory:
 
     def add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.pieces = pa.concat_arrays([self.pieces, pieces])
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        self.starts = np.concatenate([self.starts, starts.astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids])
         self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
 
@@ -118,39 +119,55 @@ class Encoder:
         ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
         return ids, np.fromiter(map(len, found), np.int64, len(found))
 
-    def _learn(self, pieces: pa.Array) -> np.ndarray:
-        """Encodes pieces that follow a blank, all of them unknown; returns their numbers.
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of different pieces that follow a blank; unknown ones are encoded.
 
         The pattern must cut before a mark of punctuation that ends a piece and follows a
         letter, so what is before the mark is encoded once for all marks."""
-        memory, before = self.memory, len(self.memory.pieces)
-        odd = pc.or_(pc.match_substring(pieces, " "), pc.equal(pieces, ""))
-        ends_in_mark = pc.match_substring_regex(pieces, _MARKED)
-        blank, marked = pieces.filter(odd), pieces.filter(pc.and_(ends_in_mark, pc.invert(odd)))
-        plain = pieces.filter(pc.invert(pc.or_(odd, ends_in_mark)))
-        stems = pc.utf8_slice_codeunits(marked, 0, -1).dictionary_encode()
-        stem = memory.find(stems.dictionary).copy()
-        missing = np.flatnonzero(stem < 0)
-        more = stems.dictionary.take(pa.array(missing))
-        plain = pc.unique(pa.concat_arrays([plain, more]))
+        memory = self.memory
+        odd = pc.or_(pc.match_substring(pieces, " "), pc.equal(pieces, "")).to_numpy(zero_copy_only=False)
+        marked = pc.match_substring_regex(pieces, _MARKED).to_numpy(zero_copy_only=False) & ~odd
+        stems = pc.utf8_slice_codeunits(pieces.filter(pa.array(marked)), 0, -1)
+        number = memory.find(pa.concat_arrays([pieces, stems])).copy()
+        number, stem_number = number[: len(pieces)], number[len(pieces) :]
+        new = number < 0
+        if not new.any():
+            return number
+        new_marked = new[marked]
+        stems, stem_number = stems.filter(pa.array(new_marked)), stem_number[new_marked]
+        marked, blank, plain = (np.flatnonzero(new & kind) for kind in (marked, odd, ~marked & ~odd))
+
         if len(blank):
-            memory.add(blank, *self._encode([f" {piece}" for piece in blank.to_pylist()]))
-        if len(plain):
-            stem[missing] = len(memory.pieces) + pc.index_in(more, value_set=plain).to_numpy()
-            texts = plain.to_pylist()
+            number[blank] = len(memory.pieces) + np.arange(len(blank))
+            there = pieces.take(pa.array(blank))
+            memory.add(there, *self._encode([f" {piece}" for piece in there.to_pylist()]))
+        # Pieces without a mark, and what is before the mark of others where nobody knows it.
+        there = pieces.take(pa.array(plain))
+        unknown = np.flatnonzero(stem_number < 0)
+        missing = stems.take(pa.array(unknown)).dictionary_encode()
+        same = pc.fill_null(pc.index_in(missing.dictionary, value_set=there), -1).to_numpy().copy()
+        more = np.flatnonzero(same < 0)
+        same[more] = len(there) + np.arange(len(more))
+        number[plain] = len(memory.pieces) + np.arange(len(plain))
+        stem_number[unknown] = len(memory.pieces) + same[missing.indices.to_numpy()]
+        there = pa.concat_arrays([there, missing.dictionary.take(pa.array(more))])
+        if len(there):
+            texts = there.to_pylist()
             ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) // CALL_BYTES
             edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
             ids, _ = self._encode([" " + " ".join(texts[a:b]) for a, b in pairwise(edges)])
-            memory.add(plain, ids, np.diff(np.flatnonzero(self.blank_starts[ids]), append=len(ids)))
+            memory.add(there, ids, np.diff(np.flatnonzero(self.blank_starts[ids]), append=len(ids)))
         if len(marked):
-            marks, sizes = self._encode(list(_MARKS))
-            stem = stem[stems.indices.to_numpy()]
-            mark = pc.index_in(pc.utf8_slice_codeunits(marked, -1), value_set=pa.array(list(_MARKS))).to_numpy()
-            starts = np.stack([memory.starts[stem], len(memory.ids) + (np.cumsum(sizes) - sizes)[mark]], 1)
-            sizes = np.stack([memory.sizes[stem], sizes[mark]], 1)
-            ids = np.concatenate([memory.ids, marks])[_runs(starts.ravel(), sizes.ravel())]
-            memory.add(marked, ids, sizes.sum(1))
-        return before + pc.index_in(pieces, value_set=memory.pieces.slice(before)).to_numpy()
+            number[marked] = len(memory.pieces) + np.arange(len(marked))
+            there = pieces.take(pa.array(marked))
+            ids, sizes = self._encode(list(_MARKS))
+            mark = pc.index_in(pc.utf8_slice_codeunits(there, -1), value_set=pa.array(list(_MARKS))).to_numpy()
+            starts = len(memory.ids) + np.cumsum(sizes) - sizes
+            starts = np.stack([memory.starts[stem_number], starts[mark]], 1)
+            sizes = np.stack([memory.sizes[stem_number], sizes[mark]], 1)
+            ids = np.concatenate([memory.ids, ids])[_runs(starts.ravel(), sizes.ravel())]
+            memory.add(there, ids, sizes.sum(1))
+        return number
 
     def _part(self, texts: pa.Array, heads: bool) -> tuple[np.ndarray, np.ndarray]:
         """All ids and how many each text has; without `heads`, each text follows a blank."""
@@ -161,7 +178,7 @@ class Encoder:
         offsets = lists.offsets.to_numpy().astype(np.int64)
         pieces = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets -= offsets[0]
-        starts, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        starts, sizes = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
         later = np.ones(len(pieces), bool)
         head_ids = np.zeros(0, np.uint32)
         if heads:
@@ -169,15 +186,11 @@ class Encoder:
             head_ids, sizes[~later] = self._encode(pieces.take(pa.array(offsets[:-1])).to_pylist())
             pieces = pieces.filter(pa.array(later))
         known = pieces.dictionary_encode()
-        number = memory.find(known.dictionary).copy()
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            number[new] = self._learn(known.dictionary.take(pa.array(new)))
-        piece = number[known.indices.to_numpy()]
+        piece = self._numbers(known.dictionary)[known.indices.to_numpy()]
         starts[later], sizes[later] = memory.starts[piece], memory.sizes[piece]
         starts[~later] = len(memory.ids) + np.cumsum(sizes[~later]) - sizes[~later]
         ids = np.concatenate([memory.ids, head_ids])[_runs(starts, sizes)]
-        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[offsets]
         return ids, np.diff(ends)
 
     def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
