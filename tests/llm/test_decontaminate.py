@@ -1,6 +1,8 @@
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.frames import documents, empty, messy, prose, vocabulary
@@ -124,3 +126,60 @@ def test_longest_matches_equal_brute_force_for_every_holder(spark, options):
             assert part in [texts[m["item_id"]][k : k + len(part)] for k in range(len(texts[m["item_id"]]))]
     for r in dc.contamination(docs, bench, **options).collect():
         assert r["longest"] == max(want[r["doc_id"]][2].values())
+
+
+def peak_of(work):
+    tracemalloc.start()
+    try:
+        found = work()
+        return found, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_prompt_that_many_items_share_takes_bounded_memory():
+    rng, known = random.Random(9), vocabulary(300)
+    prompt = [rng.choice(known) for _ in range(30)]
+    items = [(str(k), [*prompt, f"q{k}", *(rng.choice(known) for _ in range(15))]) for k in range(2_000)]
+    texts = [["so", *prompt, f"q{k}", "end"] for k in range(300)]
+    bench = dc.Benchmark(items)
+    (shard, hit, found), peak = peak_of(lambda: dc.search_shard(texts, bench))
+    assert peak < 400 << 20
+    assert len(hit) == sum(31 if k < 2_000 else 30 for k in range(300))
+    occurs = found[found["occurs"]]
+    assert len(occurs) == 300 * 2_000
+    own = occurs["item"] == occurs["text"]
+    assert occurs[~own]["longest"].eq(30).all()
+    assert occurs[own]["longest"].eq(31).all()
+    clean = dc.Shard([["so", *prompt[:9], "end"]], bench)
+    assert not len(clean.hit())
+
+
+def test_a_text_of_one_word_takes_bounded_memory():
+    bench = dc.Benchmark([("a", ["same"] * 100), ("b", ["same"] * 12 + ["other"])])
+    texts = [["same"] * 40_000, ["x", *["same"] * 11, "other"]]
+    (shard, hit, found), peak = peak_of(lambda: dc.search_shard(texts, bench))
+    assert peak < 300 << 20
+    assert len(hit) == 40_000 + 12
+    told = {(r.text, r.item): r.longest for r in found[found["occurs"]].itertuples()}
+    assert told == {(0, 0): 100, (0, 1): 12, (1, 0): 11, (1, 1): 12}
+
+
+def test_rows_leave_in_batches_of_bounded_matches(monkeypatch):
+    rng, known = random.Random(10), vocabulary(60)
+    part = [rng.choice(known) for _ in range(12)]
+    bench = dc.Benchmark([(str(k), [*part, str(k)]) for k in range(40)])
+    texts = [[*part, str(k)] for k in range(30)] + [["nothing"], []]
+    monkeypatch.setattr(dc, "BATCH_MATCHES", 50)
+    shard, hit, found = dc.search_shard(texts, bench)
+    names = pa.array(bench.item_ids).take(pa.array(found["item"].to_numpy()))
+    told = list(dc._told(pa.array(range(32)), texts, shard.starts, hit, [(found, names)]))
+    assert len(told) >= 15
+    rows = [row for batch in told for row in batch.to_pylist()]
+    assert [r["row"] for r in rows] == list(range(32))
+    for k, r in enumerate(rows[:30]):
+        assert r["hits"] == list(range(13))
+        longest = {m["item_id"]: m["longest"] for m in r["matches"] if m["occurs"]}
+        assert longest == {str(j): 13 if j == k else 12 for j in range(40)}
+        assert {m["at"] for m in r["matches"]} == {0}
+    assert rows[30]["hits"] == rows[31]["hits"] == rows[30]["matches"] == rows[31]["matches"] == []

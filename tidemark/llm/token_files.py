@@ -21,14 +21,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_bytes, shared_folder, table, written
+from tidemark.llm.common import by_bytes, open_folder, shared_folder, table, written
 from tidemark.llm.tokens import BATCH_BYTES, VOCABULARY, Encoder
 
 END_ID = 0
@@ -143,13 +142,6 @@ class ShardReader:
         ]
 
 
-def open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a folder given as a path or URI, and the path in it."""
-    if "://" not in folder and not folder.startswith("file:"):
-        return pyarrow.fs.LocalFileSystem(), folder
-    return pyarrow.fs.FileSystem.from_uri(folder)
-
-
 def write_token_files(
     docs: DataFrame,
     path: str,
