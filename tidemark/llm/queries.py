@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     decontaminate,
     extraction,
+    fingerprints,
     licenses,
     mixing,
     neardup,
     quality,
+    resampling,
     secrets,
     suffix_dedup,
     token_files,
@@ -35,6 +37,8 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": neardup.op8_near_duplicates,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_secret_scan": secrets.op10_secret_scan,
+        "op11_resampling": resampling.op11_resampling,
+        "op13_fingerprints": fingerprints.op13_fingerprints,
     }
     return {name: ships_package(query) for name, query in found.items()}
 
@@ -44,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_mix_sources": mixing.OP4_SQL,
         "op6_decontamination": decontaminate.OP6_SQL,
         "op8_near_duplicates": neardup.OP8_SQL,
+        "op11_resampling": resampling.OP11_SQL,
     }
