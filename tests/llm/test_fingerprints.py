@@ -1,0 +1,109 @@
+import hashlib
+import random
+import re
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.frames import documents, empty, messy, prose, vocabulary
+from tidemark.llm import fingerprints as fp
+
+
+def shingles(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    n = min(5, len(words))
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if words else set()
+
+
+def jaccard(one, other):
+    a, b = shingles(one), shingles(other)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited(text, following):
+    n = len(text) // 4
+    return text[: len(text) - n] + following[:n]
+
+
+def fixture(seed):
+    rng, known = random.Random(seed), vocabulary(300)
+    sizes = [1, 2, 5, 8, 20, 60, 150, 400, 900]
+    rows = [(k * 7 + 3, prose(rng, rng.choice(sizes), known)) for k in range(150)]
+    return [(2**62, rows[0][1]), (-(2**62), rows[1][1] + " ß😀"), *rows]
+
+
+@pytest.fixture(scope="module")
+def compared(spark):
+    rows = fixture(1)
+    frame = documents(spark, [(*row, "en", "s") for row in rows])
+    return sorted(rows), {r["doc_id"]: r for r in fp.compare_edited(frame).collect()}
+
+
+def test_edited_texts_take_the_next_documents_start(compared):
+    rows, found = compared
+    for k, (doc_id, text) in enumerate(rows):
+        want = edited(text, rows[(k + 1) % len(rows)][1])
+        assert found[doc_id]["n_chars"] == len(text)
+        assert found[doc_id]["edited_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_likeness_estimates_the_similarity_without_bias(compared):
+    rows, found = compared
+    errors, nexts = [], []
+    for k, (doc_id, text) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
+        errors.append(found[doc_id]["near_edited"] - jaccard(text, edited(text, following)))
+        nexts.append(found[doc_id]["near_next"] - jaccard(text, following))
+    deviation = (1 / (1 - 1 / 16)) * (0.25 / fp.BINS) ** 0.5  # of the estimate, at most about
+    assert abs(statistics.mean(errors)) < 5 * deviation / len(errors) ** 0.5
+    assert statistics.pstdev(errors) < 1.5 * deviation
+    assert max(map(abs, errors + nexts)) < 6 * deviation
+
+
+def test_equal_texts_have_equal_fingerprints_and_similar_ones_near_ones(spark):
+    rng, known = random.Random(4), vocabulary(300)
+    text = prose(rng, 500, known).split()
+    near = [w if k % 100 else "changed" for k, w in enumerate(text)]
+    rows = [(1, " ".join(text)), (2, "  " + "\n".join(text).upper()), (3, " ".join(near))]
+    frame = documents(spark, [(*row, "en", "s") for row in rows])
+    by_id = {r["doc_id"]: r for r in fp.fingerprints(frame).collect()}
+    if " ".join(text).isascii():
+        assert by_id[1]["fingerprint"] == by_id[2]["fingerprint"]
+    assert len(by_id[1]["fingerprint"]) == fp.BINS
+    pairs = fp.with_fingerprint(frame, "text", "longs").select("doc_id", "longs")
+    both = pairs.alias("a").join(pairs.alias("b"), F.col("a.doc_id") < F.col("b.doc_id"))
+    told = {
+        tuple(r)[:2]: r[2]
+        for r in both.select("a.doc_id", "b.doc_id", fp.likeness("a.longs", "b.longs")).collect()
+    }
+    assert told[1, 3] == pytest.approx(jaccard(rows[0][1], rows[2][1]), abs=0.12)
+
+
+def test_messy_and_empty_tables(spark):
+    docs = messy(spark)
+    rows = fp.compare_edited(docs).collect()
+    assert len(rows) == docs.count()
+    texts = {(r["doc_id"], len(r["text"] or "")) for r in docs.collect()}
+    assert {(r["doc_id"], r["n_chars"]) for r in rows} == texts
+    for r in rows:
+        assert len(r["fingerprint"]) in (0, fp.BINS) and 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    none = [r for r in rows if r["doc_id"] in (1, 2, 3)]
+    assert [r["fingerprint"] for r in none] == ["", "", ""]
+    copies = {r["fingerprint"] for r in rows if r["doc_id"] in (10, 11)}
+    assert len(copies) == 1
+    kept = fp.fingerprints(docs)
+    assert kept.columns == [*docs.columns, "fingerprint"]
+    assert fp.compare_edited(empty(spark)).collect() == []
+
+
+def test_one_document_follows_itself(spark):
+    (row,) = fp.compare_edited(documents(spark, [(5, "abcdefgh", "en", "s")])).collect()
+    assert row["edited_sha256"] == hashlib.sha256(b"abcdefab").hexdigest()
+    assert row["near_next"] == 1.0
+
+
+def test_no_python_worker_is_needed(spark, plan_of):
+    plan = plan_of(fp.compare_edited(messy(spark)))
+    assert "Python" not in plan and "MapInArrow" not in plan and "MapInPandas" not in plan

@@ -1,0 +1,94 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.frames import documents, empty, messy, prose, vocabulary
+from tidemark.llm import resampling as rs
+
+ITEM = "item_id long, text string"
+
+
+def words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def buckets_of(text, most, buckets):
+    own = words(text)
+    runs = [" ".join(own[k : k + n]) for n in range(1, most + 1) for k in range(len(own) - n + 1)]
+    return [zlib.crc32(run.encode()) % buckets for run in runs]
+
+
+def brute(docs, target, most=1, buckets=10_000, percent=10, least=20, seed="2024"):
+    """(doc_id, n_features, weight, score, rank) of each document, features of whole texts."""
+    own = [buckets_of(text, most, buckets) for _, text in docs]
+    s = Counter(b for row in own for b in row)
+    t = Counter(b for text in target for b in buckets_of(text, most, buckets))
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log(((t[b] + 1) * (big_s + buckets)) / ((s[b] + 1) * (big_t + buckets))))
+    rows = []
+    for (doc_id, text), features in zip(docs, own):
+        weight = sum(map(gain, features)) // len(features) if features else 0
+        name = f"{seed}:{'null' if doc_id is None else doc_id}"
+        h = int(hashlib.sha256(name.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([doc_id, len(features), weight, score, None, len(words(text)) >= least])
+    able = sorted((r for r in rows if r[5]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    for k, row in enumerate(able[: percent * len(able) // 100]):
+        row[4] = k + 1
+    return sorted(map(str, (tuple(r[:5]) for r in rows)))
+
+
+def told(frame):
+    return sorted(str((r["doc_id"], r["n_features"], r["weight"], r["score"], r["rank"])) for r in frame.collect())
+
+
+def fixture(seed):
+    rng, known = random.Random(seed), vocabulary(150)
+    lines = [prose(rng, rng.randint(0, 9), known) for _ in range(40)]
+    docs = [(k, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 15)))) for k in range(120)]
+    docs += [(k + 500, prose(rng, 40, known)) for k in range(30)] + [(900, "\n\n \n"), (901, "a\n\nb\nc \r\n d")]
+    return docs, [prose(rng, 30, known[:60]) for _ in range(12)] + [None, ""]
+
+
+@pytest.mark.parametrize("options", [{}, {"most_words": 2, "buckets": 500}, {"most_words": 4, "percent": 35}, {"least_words": 0, "seed": "x"}])
+def test_weights_scores_and_ranks_equal_brute_force(spark, options):
+    docs, target = fixture(1)
+    bench = spark.createDataFrame(list(enumerate(target)), ITEM)
+    frame = documents(spark, [(*row, "en", "s") for row in docs])
+    names = {"most_words": "most", "least_words": "least"}
+    want = brute(docs, target, **{names.get(k, k): v for k, v in options.items()})
+    assert told(rs.resample(frame, bench, **options)) == want
+
+
+def test_messy_and_empty_tables(spark):
+    docs = messy(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    bench = spark.createDataFrame([(1, "same line again"), (None, None), (1, "same line again")], ITEM)
+    assert told(rs.resample(docs, bench)) == brute(rows, ["same line again", None, "same line again"])
+    none = spark.createDataFrame([], ITEM)
+    assert told(rs.resample(docs, none)) == brute(rows, [])
+    assert rs.resample(empty(spark), bench).collect() == []
+
+
+def test_a_hot_line_is_hashed_once(spark):
+    rows = [(k, f"the same header line\nown line {k}\nthe same header line") for k in range(600)]
+    frame = documents(spark, [(*row, "en", "s") for row in rows])
+    lines = rs.distinct_lines(frame.select("text"), 1, 100).cache()
+    assert lines.count() == 601
+    assert lines.agg(F.max("occurrences")).first()[0] == 1200
+    bench = spark.createDataFrame([(1, "own header")], ITEM)
+    assert told(rs.resample(frame, bench)) == brute(rows, ["own header"])
+
+
+def test_no_python_worker_is_needed(spark, plan_of):
+    docs, target = fixture(2)
+    frame = documents(spark, [(*row, "en", "s") for row in docs])
+    plan = plan_of(rs.resample(frame, spark.createDataFrame(list(enumerate(target)), ITEM)))
+    assert "Python" not in plan and "MapInArrow" not in plan

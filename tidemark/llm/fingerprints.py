@@ -31,7 +31,7 @@ _PER_LONG = 64 // BITS
 _ONES = 0x1111111111111111
 #: Ranges of ids into which documents are cut to find the next one; bytes of text in a group.
 CELLS = 65_536
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 1 << 20
 
 
 def _bin_of(value: Column) -> Column:
@@ -150,8 +150,9 @@ def _cell(doc_id: Column, low: int, high: int) -> Column:
     """The range of an id: equal widths between the least and the highest id, in order. Rows
     without an id come last, by hash."""
     # In decimals: the difference of two longs may not be one.
-    wide = (doc_id.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) * F.lit(CELLS)
-    cell = F.floor(wide / F.lit(high - low + 1).cast("decimal(20,0)")).cast("long")
+    least, width = (F.lit(str(x)).cast("decimal(20,0)") for x in (low, high - low + 1))
+    cell = F.floor((doc_id.cast("decimal(20,0)") - least) * F.lit(CELLS) / width).cast("long")
+    cell = F.when(doc_id.isNotNull(), F.least(cell, F.lit(CELLS - 1)))
     return F.coalesce(cell, F.lit(CELLS) + F.shiftrightunsigned(F.col("text_hash"), 56))
 
 

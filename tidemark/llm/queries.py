@@ -15,6 +15,7 @@ from tidemark.llm import (
     neardup,
     quality,
     resampling,
+    search,
     secrets,
     suffix_dedup,
     token_files,
@@ -38,6 +39,7 @@ def queries() -> dict[str, Query]:
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_secret_scan": secrets.op10_secret_scan,
         "op11_resampling": resampling.op11_resampling,
+        "op12_search": search.op12_search,
         "op13_fingerprints": fingerprints.op13_fingerprints,
     }
     return {name: ships_package(query) for name, query in found.items()}
@@ -49,4 +51,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": decontaminate.OP6_SQL,
         "op8_near_duplicates": neardup.OP8_SQL,
         "op11_resampling": resampling.OP11_SQL,
+        "op12_search": search.OP12_SQL,
     }

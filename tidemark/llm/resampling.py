@@ -36,16 +36,16 @@ def _bucket(feature: Column, buckets: int) -> Column:
 
 def line_buckets(words: str, most_words: int, buckets: int) -> Column:
     """The bucket of every run of 1 to `most_words` words in an array column."""
-    runs = [F.transform(words, lambda w: _bucket(w, buckets))]
-    for size in range(2, most_words + 1):
+
+    def runs(size: int) -> Column:
         starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - (size - 1)))
-        runs.append(
-            F.transform(
-                F.coalesce(starts, F.array().cast("array<int>")),
-                lambda i, size=size: _bucket(F.array_join(F.slice(words, i, size), " "), buckets),
-            )
+        return F.transform(
+            F.coalesce(starts, F.array().cast("array<int>")),
+            lambda i: _bucket(F.array_join(F.slice(words, i, size), " "), buckets),
         )
-    return F.concat(*runs)
+
+    single = F.transform(words, lambda word: _bucket(word, buckets))
+    return F.concat(single, *[runs(size) for size in range(2, most_words + 1)])
 
 
 def crossing_buckets(lines: str, most_words: int, buckets: int) -> Column:
