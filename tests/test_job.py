@@ -1,7 +1,9 @@
 import datetime as dt
+import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.frames import local_frame
@@ -16,6 +18,7 @@ from tidemark.plans.batch import BatchReport, process_batch, store_batch
 from tidemark.sources import offset_table
 from tidemark.sources.offset_table import find_offsets
 from tidemark.sources.store import read_store
+from workload.log import option_reader
 
 LOG = "topic string, partition int, offset long, value string, timestamp timestamp"
 DAY = dt.datetime(2022, 1, 3)
@@ -153,48 +156,74 @@ def test_rows_without_an_arrival_time(spark, tmp_path):
     assert report == BatchReport(read=2, dup_in_batch=1, success=1)
 
 
-def table_reader(log, asked):
-    """A reader that honours the two offset options over a log table."""
-    import json
+def table_reader(log, asked, partitions):
+    """A reader that honours the options over a log table, and like the connector refuses
+    offset texts that do not name exactly the partitions it reads."""
 
     def read(options):
         asked.append((options["startingOffsets"], options["endingOffsets"]))
-        rows = log.filter(F.col("topic") == options["subscribe"])
-        for text, bound in (
-            (options["startingOffsets"], lambda o: F.col("offset") >= o),
-            (options["endingOffsets"], lambda o: F.col("offset") < o),
-        ):
-            if text.startswith("{"):
-                limits = json.loads(text)[options["subscribe"]]
-                wanted = F.lit(False)
-                for partition, offset in limits.items():
-                    wanted |= (F.col("partition") == int(partition)) & bound(offset)
-                rows = rows.filter(wanted)
-        return rows
+        assigned = json.loads(options.get("assign", "{}")).get("orders", range(partitions))
+        for text in asked[-1]:
+            assert not text.startswith("{") or {*map(int, json.loads(text)["orders"])} == {*assigned}
+        return option_reader(log)(options)
 
     return read
 
 
-def test_the_broker_batch_reads_exactly_its_range(spark, tmp_path):
+def test_the_broker_batch_reads_its_tail_and_its_range(spark, tmp_path):
     rows = [message(o, o, partition=p, hours=o) for p, size in ((0, 5), (1, 2)) for o in range(size)]
     log, asked = log_of(spark, rows), []
     settings = config(
         tmp_path, batch_size=3, broker={"kafka.bootstrap.servers": "b:1", "kafka.group.id": "g"}
     )
-    run = lambda: job.broker_batch(spark, settings, shops(spark), table_reader(log, asked))
+
+    def run(**other):
+        asked.clear()
+        return job.broker_batch(spark, settings, shops(spark), table_reader(log, asked, 2), **other)
+
     batch_id, report = run()
     assert (batch_id, report.read) == (0, 5)
-    assert asked[-1] == ('{"orders":{"0":0,"1":0}}', '{"orders":{"0":3,"1":2}}')
+    assert asked == [
+        ("earliest", "latest"),
+        ('{"orders":{"0":0,"1":0}}', '{"orders":{"0":3,"1":2}}'),
+    ]
     batch_id, report = run()
     assert (batch_id, report.read) == (1, 2)
-    assert asked[-1] == ('{"orders":{"0":3,"1":2}}', '{"orders":{"0":5,"1":2}}')
-    before = len(asked)
+    assert asked == [
+        ('{"orders":{"0":3,"1":2}}', "latest"),
+        ('{"orders":{"0":3}}', '{"orders":{"0":5}}'),
+    ]
     assert run() is None
-    assert asked[before:] == [("earliest", "latest")]
-    bounds = log_bounds(log)
+    assert asked == [('{"orders":{"0":5,"1":2}}', "latest")]
     settings = config(tmp_path / "given", broker=settings.broker)
-    job.broker_batch(spark, settings, shops(spark), table_reader(log, asked), bounds)
-    assert asked[-2] == ("earliest", "latest") and asked[-1][1] == '{"orders":{"0":5,"1":2}}'
+    run(bounds=log_bounds(log).collect())
+    assert asked == [('{"orders":{"0":0,"1":0}}', '{"orders":{"0":5,"1":2}}')]
+
+
+def test_the_broker_batch_stands_partitions_without_a_message(spark, tmp_path):
+    rows = [message(o, o, partition=p, hours=o) for p, first in ((0, 2), (2, 0)) for o in range(first, 4)]
+    settings = config(tmp_path, batch_size=2, topic_partitions=4, broker={"kafka.bootstrap.servers": "b:1"})
+    asked, read = [], 0
+    while batch := job.broker_batch(
+        spark, settings, shops(spark), table_reader(log_of(spark, rows), asked, 4)
+    ):
+        read += batch[1].read
+    assert read == 6
+    assert asked[0] == ('{"orders":{"0":-2,"1":-2,"2":-2,"3":-2}}', "latest")
+    assert asked[2][0] == '{"orders":{"0":4,"1":-2,"2":2,"3":-2}}'
+    assert asked[-1][0] == '{"orders":{"0":4,"1":-2,"2":4,"3":-2}}'
+    # a message in one of them is found, and only there is anything read from its start
+    rows.append(message(9, 50, partition=3))
+    _, report = job.broker_batch(
+        spark, settings, shops(spark), table_reader(log_of(spark, rows), asked, 4)
+    )
+    assert report.read == 1 and asked[-1] == ('{"orders":{"3":9}}', '{"orders":{"3":10}}')
+    # bounds of the broker name empty partitions, too
+    Bounds = lambda p, a, b: Row(topic="orders", partition=p, earliest_offset=a, latest_offset=b)
+    given = [Bounds(0, 2, 4), Bounds(1, 7, 7), Bounds(2, 0, 4), Bounds(3, 9, 10)]
+    assert job.broker_batch(spark, settings, shops(spark), table_reader(log_of(spark, rows), asked, 4), given) is None
+    offsets = find_offsets(spark, settings.offsets_path, "orders").collect()
+    assert {(r["partition"], r["offset"]) for r in offsets} == {(0, 4), (2, 4), (3, 10)}
 
 
 def test_old_commits_are_removed_and_offsets_stay(spark, tmp_path, monkeypatch):

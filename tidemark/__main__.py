@@ -3,7 +3,9 @@
 `RUN=stream` (the default) catches up in micro-batches whose offsets a checkpoint keeps;
 `RUN=batch` plans, reads and commits one bounded batch, as a scheduled job does. Besides
 the variables of `JobConfig.from_env`: `TOPIC_PARTITIONS` (stream, required: the cap of
-`BATCH_SIZE` is per topic partition, the connector's is for all of them together),
+`BATCH_SIZE` is per topic partition, the connector's is for all of them together; batch:
+partitions beyond those with a commit are looked at from their start), `BOUNDS=broker` (batch:
+first and next offsets are asked of the broker instead of read from the topic's tail),
 `STARTING_OFFSETS` (stream, first run only; `earliest` by default), `QUARANTINE=1` and
 `MAX_ROWS_PER_FILE`.
 """
@@ -14,7 +16,7 @@ import os
 from pyspark.sql import SparkSession
 
 from tidemark.plans.job import JobConfig, broker_batch, load_dictionary
-from tidemark.sources.broker import read_stream
+from tidemark.sources.broker import read_stream, topic_bounds
 from tidemark.sources.store import store_path
 from tidemark.streaming.stream import ingest_stream
 
@@ -22,12 +24,13 @@ log = logging.getLogger("tidemark")
 
 
 def run_stream(spark: SparkSession, config: JobConfig) -> None:
-    partitions = int(os.environ["TOPIC_PARTITIONS"])
+    if config.topic_partitions is None:
+        raise KeyError("TOPIC_PARTITIONS")
     query = ingest_stream(
         read_stream(
             spark,
             dict(config.broker),
-            config.batch_size * partitions,
+            config.batch_size * config.topic_partitions,
             os.environ.get("STARTING_OFFSETS", "earliest"),
         ),
         lambda: load_dictionary(spark, config),
@@ -46,7 +49,10 @@ def main() -> None:
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
     log.info("start, topic %s", config.topic)
     if os.environ.get("RUN", "stream") == "batch":
-        if broker_batch(spark, config, load_dictionary(spark, config)) is None:
+        bounds = None
+        if os.environ.get("BOUNDS") == "broker":
+            bounds = topic_bounds(spark, config.broker["kafka.bootstrap.servers"], config.topic)
+        if broker_batch(spark, config, load_dictionary(spark, config), bounds=bounds) is None:
             log.info("nothing new")
     else:
         run_stream(spark, config)

@@ -42,6 +42,11 @@ def local_offsets(spark: SparkSession, rows: list[Row], offset: str = n.OFFSET)
     return _local(spark, rows, {n.TOPIC: n.TOPIC, n.PARTITION: n.PARTITION, n.OFFSET: offset})
 
 
+def local_bounds(spark: SparkSession, rows: list[Row]) -> DataFrame:
+    """Collected bounds as a frame again, without a job."""
+    return _local(spark, rows, {c: c for c in (n.TOPIC, n.PARTITION, EARLIEST, LATEST)})
+
+
 def log_bounds(log: DataFrame) -> DataFrame:
     """First offset and one past the last offset of each topic partition."""
     return log.groupBy(n.TOPIC, n.PARTITION).agg(

@@ -15,8 +15,8 @@ from tidemark.operators.offsets import (
     END,
     START,
     ending_offsets,
+    local_bounds,
     local_offsets,
-    log_bounds,
     log_range_scan,
     plan_unread,
     starting_offsets,
@@ -47,6 +47,7 @@ class JobConfig:
     quarantine: bool = False
     max_rows_per_file: int | None = None
     broker: Mapping[str, str] = field(default_factory=dict)
+    topic_partitions: int | None = None
     offsets: str | None = None
 
     @property
@@ -81,6 +82,7 @@ class JobConfig:
             broker=broker.subscription(
                 env["BOOTSTRAP_SERVERS"], env["TOPIC_NAME"], env.get("GROUP_ID")
             ),
+            topic_partitions=int(env["TOPIC_PARTITIONS"]) if "TOPIC_PARTITIONS" in env else None,
         )
 
 
@@ -165,35 +167,43 @@ def broker_batch(
     config: JobConfig,
     dictionary: DataFrame,
     reader: Reader | None = None,
-    bounds: DataFrame | None = None,
+    bounds: list[Row] | None = None,
 ) -> tuple[int, BatchReport] | None:
     """Plan a bounded range over the broker's topic, read exactly that, store and commit.
 
     `reader` makes a frame of the connector's options (`sources.broker.read_range` by
-    default). `bounds` holds the first and next offset of each topic partition
-    (`operators.offsets.log_bounds`); where nobody else knows them they are read from the
-    topic, from the committed offsets to its end. Every partition is named in the
-    options, idle ones with an empty range.
+    default). `bounds` holds the first and next offset of each partition, where the broker
+    was asked for them (`sources.broker.topic_bounds`). Without them what lies past the
+    commits is read once to learn its extent, and nothing before that; the topic as a whole
+    only as long as nothing is known of it. Only partitions with something new are read then,
+    so that one without a message needs no offsets.
     """
     read = reader or partial(read_range, spark)
     servers, group = config.broker["kafka.bootstrap.servers"], config.broker.get("kafka.group.id")
     known = find_offsets(spark, config.offsets_path, config.topic).collect()
-    committed = local_offsets(spark, known)
     if bounds is None:
-        options = broker.range_options(servers, config.topic, "earliest", "latest", group)
-        bounds = log_bounds(read(options))
-    ends = ending_offsets(starting_offsets(bounds, committed), config.batch_size).collect()
-    plan = [row for row in ends if row[START] < row[END]]
+        committed = {row[n.PARTITION]: row[n.OFFSET] for row in known}
+        options = broker.tail_options(
+            servers, config.topic, committed, range(config.topic_partitions or 0), group
+        )
+        bounds = broker.tail_bounds(read(options), config.topic, committed)
+    starts = starting_offsets(local_bounds(spark, bounds), local_offsets(spark, known))
+    plan = [r for r in ending_offsets(starts, config.batch_size).collect() if r[START] < r[END]]
     if not plan:
         return None
     _warn_of_moves(config, plan)
-    planned = local_offsets(spark, ends, START).withColumnRenamed(n.OFFSET, START)
+    planned = local_offsets(spark, plan, START).withColumnRenamed(n.OFFSET, START)
     planned = planned.join(
-        local_offsets(spark, ends, END).withColumnRenamed(n.OFFSET, END), [n.TOPIC, n.PARTITION]
+        local_offsets(spark, plan, END).withColumnRenamed(n.OFFSET, END), [n.TOPIC, n.PARTITION]
     )
     texts = offsets_to_json(planned, starting_offsets=START, ending_offsets=END).first()
     options = broker.range_options(
-        servers, config.topic, texts["starting_offsets"], texts["ending_offsets"], group
+        servers,
+        config.topic,
+        texts["starting_offsets"],
+        texts["ending_offsets"],
+        group,
+        [row[n.PARTITION] for row in plan],
     )
     return _store_and_commit(read(options), dictionary, config, plan, known)
 

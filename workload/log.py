@@ -54,17 +54,21 @@ def option_reader(log: DataFrame) -> Callable[[Mapping[str, str]], DataFrame]:
     """Reads a log table as the connector reads a topic: by its two offset options."""
 
     def read(options: Mapping[str, str]) -> DataFrame:
-        rows = log.filter(F.col(n.TOPIC) == options["subscribe"])
+        assigned = json.loads(options.get("assign", "{}"))
+        (topic,) = assigned or [options["subscribe"]]
+        rows = log.filter(F.col(n.TOPIC) == topic)
+        if assigned:
+            rows = rows.filter(F.col(n.PARTITION).isin(assigned[topic]))
         starting, ending = options["startingOffsets"], options["endingOffsets"]
         if starting != "earliest":
-            rows = rows.filter(_limited(json.loads(starting), options, lambda o, b: o >= b))
+            rows = rows.filter(_limited(json.loads(starting)[topic], lambda o, b: o >= b))
         if ending != "latest":
-            rows = rows.filter(_limited(json.loads(ending), options, lambda o, b: o < b))
+            rows = rows.filter(_limited(json.loads(ending)[topic], lambda o, b: o < b))
         return rows
 
-    def _limited(limits, options, compare):
+    def _limited(limits, compare):
         wanted = F.lit(False)
-        for partition, bound in limits[options["subscribe"]].items():
+        for partition, bound in limits.items():
             wanted |= (F.col(n.PARTITION) == int(partition)) & compare(F.col(n.OFFSET), bound)
         return wanted
 
