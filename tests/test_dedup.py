@@ -161,3 +161,10 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     assert (hot["offset"], hot[n.COPIES]) == (0, 30_000)
     plan = dedup.dedup_in_batch(flat)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("partial_min")
+
+
+def test_weeks_between_hold_both_sides_of_a_new_year():
+    import datetime as dt
+
+    pairs = dedup.weeks_between(dt.date(2020, 12, 26), dt.date(2021, 1, 5))
+    assert pairs == [(2020, 52), (2020, 53), (2021, 1), (2021, 53)]

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from tests.frames import local_frame
 from tidemark import names as n
+from tidemark import scratch
 from tidemark.functions.messages import flatten_messages
-from tidemark.operators.dedup import dedup_in_batch
+from tidemark.operators import slices
+from tidemark.operators.dedup import dedup_in_batch, dedup_incremental
 from tidemark.operators.metrics import batch_counts, partition_lag, run_metrics
 from tidemark.operators.offsets import committed_offsets, log_bounds, starting_offsets
 from tidemark.plans import batch as batch_plans
+from tidemark.plans import backfill as backfill_plan
 from tidemark.plans import job
 from tidemark.plans.batch import BatchReport, process_batch, store_batch
 from tidemark.sources import offset_table
@@ -68,7 +71,7 @@ def test_end_to_end_over_two_partitions_and_a_week_boundary(spark, tmp_path):
         message(6, 7, shop=1, hours=24 * 7),
     ]
     log, settings = log_of(spark, rows), config(tmp_path, batch_size=2)
-    first, second = job.backfill(log, shops(spark), settings)
+    first, second = backfill_plan.backfill(log, shops(spark), settings)
     assert first == (0, BatchReport(read=4, invalid=1, dup_in_batch=1, success=1, failed=2))
     assert second == (1, BatchReport(read=1, success=1))
     assert stores(spark, tmp_path) == (
@@ -92,7 +95,7 @@ def test_nothing_new_is_no_batch(spark, tmp_path):
 
 def test_other_topics_are_left_alone(spark, tmp_path):
     other = [("else", 0, 0, '{"id":9,"shopId":2}', DAY)]
-    job.backfill(log_of(spark, THREE + other), shops(spark), config(tmp_path))
+    backfill_plan.backfill(log_of(spark, THREE + other), shops(spark), config(tmp_path))
     assert stores(spark, tmp_path) == ([(1, "shop#2")], [(2, None)])
 
 
@@ -230,7 +233,7 @@ def test_old_commits_are_removed_and_offsets_stay(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(offset_table, "KEPT_COMMITS", 2)
     rows = [message(o, o, hours=o) for o in range(7)] + [message(0, 99, partition=1)]
     settings = config(tmp_path, batch_size=1)
-    assert len(job.backfill(log_of(spark, rows), shops(spark), settings)) == 7
+    assert len(one_by_one(log_of(spark, rows), shops(spark), settings)) == 7
     offsets = find_offsets(spark, settings.offsets_path, "orders").collect()
     assert {(r["partition"], r["offset"], r["batch_id"]) for r in offsets} == {(0, 7, 6), (1, 1, 6)}
     assert len(list((tmp_path / "offsets").rglob("*.parquet"))) <= 5
@@ -341,7 +344,7 @@ def reference_run(rows, slices):
 def test_backfill_in_slices_equals_brute_force(spark, tmp_path, seed):
     rows, cap = random_messages(seed), 9
     log = log_of(spark, rows)
-    batches = job.backfill(log, shops(spark), config(tmp_path, batch_size=cap))
+    batches = backfill_plan.backfill(log, shops(spark), config(tmp_path, batch_size=cap))
     # The slices the cap makes, from the end of one to the next offset there is.
     slices, position = [], dict.fromkeys(range(3), 0)
     while True:
@@ -364,6 +367,91 @@ def test_backfill_in_slices_equals_brute_force(spark, tmp_path, seed):
     assert tuple(summed) == tuple(map(len, stores(spark, tmp_path)))
 
 
+def one_by_one(log, dictionary, settings):
+    done = []
+    while (batch := job.incremental_batch(log, dictionary, settings)) is not None:
+        done.append(batch)
+    return done
+
+
+def whole_stores(spark, path):
+    """All columns of the stores and of what was set aside."""
+    found = {}
+    for store in (n.SUCCESS, n.FAILED, n.QUARANTINE):
+        if (path / store).exists():
+            rows = spark.read.parquet(str(path / store))
+            found[store] = sorted(str(r) for r in rows.select(sorted(rows.columns)).collect())
+    return found
+
+
+@pytest.mark.parametrize(
+    "seed, at_once, options",
+    [
+        (11, 500, {}),
+        (12, 3, {"replay_safe": True}),
+        (13, 2, {"quarantine": True, "replay_safe": True}),
+        (14, 500, {"quarantine": True}),
+    ],
+)
+def test_backfill_equals_batches_one_by_one(spark, tmp_path, seed, at_once, options):
+    rows = random_messages(seed)
+    log, before = log_of(spark, rows), log_of(spark, [message(0, 3), message(1, 90, shop=10)])
+    for folder in "ab":  # both go on from a store and a commit
+        job.incremental_batch(before, shops(spark), config(tmp_path / folder, **options))
+    want = one_by_one(log, shops(spark), config(tmp_path / "a", batch_size=7, **options))
+    settings = config(tmp_path / "b", batch_size=7, **options)
+    got = backfill_plan.backfill(log, shops(spark), settings, at_once)
+    assert got == want and len(got) > 3
+    assert whole_stores(spark, tmp_path / "b") == whole_stores(spark, tmp_path / "a")
+    ends = [
+        {(r["partition"], r["offset"]) for r in find_offsets(spark, str(tmp_path / f / "offsets"), "orders").collect()}
+        for f in "ab"
+    ]
+    assert ends[0] == ends[1]
+    assert not list(tmp_path.rglob("tidemark-*"))
+
+
+def test_a_backfill_takes_fewer_jobs_than_batches(spark, tmp_path):
+    rows = [message(3 * o, o % 40, shop=o % 5, hours=o) for o in range(120)]
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        context.setJobGroup("backfill", "")
+        batches = backfill_plan.backfill(
+            log_of(spark, rows), shops(spark), config(tmp_path, batch_size=6)
+        )
+        jobs = len(tracker.getJobIdsForGroup("backfill"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(batches) == 60 and sum(report.read for _, report in batches) == 120
+    assert jobs < len(batches)
+
+
+def test_slices_follow_from_one_another_across_gaps(spark):
+    draw = random.Random(5)
+    rows, want = [], set()
+    for partition, first in ((0, 0), (1, 32_760), (2, 5 * 10**9)):
+        offsets, at = [], first
+        for _ in range(400):
+            offsets.append(at)
+            at += draw.choice([1, 1, 2, 90, 40_000])
+        rows += [message(o, o, partition=partition) for o in offsets]
+        start, k = offsets[0], 0
+        while start is not None:
+            rest = [o for o in offsets if o >= start + 100]
+            end = start + 100 if rest else min(start + 100, offsets[-1] + 1)
+            want.add((partition, k, start, end))
+            start, k = (rest[0] if rest else None), k + 1
+    log = log_of(spark, rows)
+    got = slices.batch_slices(log, 100, 10**6)
+    assert {tuple(r) for r in got.collect()} == want
+    some = {tuple(r) for r in slices.batch_slices(log, 100, 4).collect()}
+    assert some == {w for w in want if w[1] < 4}
+    dealt = slices.with_batch(log, got, 100).select("partition", "offset", "batch").collect()
+    assert len(dealt) == len(rows)
+    where = {(p, k): (a, b) for p, k, a, b in want}
+    assert all(where[r[0], r[2]][0] <= r[1] < where[r[0], r[2]][1] for r in dealt)
+
+
 def test_both_routes_make_up_the_deduped_batch(spark):
     log = log_of(spark, random_messages(3))
     kept = dedup_in_batch(flatten_messages(log, keep=n.POSITION))
@@ -388,6 +476,45 @@ def test_metrics_agree_with_the_report(spark, tmp_path):
     assert counts["duplicates"] == report.read - report.success - report.failed
 
 
+def test_composed_operators_run_nothing_and_leave_nothing(spark, tmp_path, monkeypatch):
+    """Jobs start when a result is asked for; only the dictionary is measured before."""
+    store_batch(log_of(spark, THREE), shops(spark), str(tmp_path / "stores"))
+    stored, log = read_store(spark, str(tmp_path / "stores")), log_of(spark, random_messages(6))
+    flat = flatten_messages(log, keep=n.POSITION)
+    monkeypatch.setattr(scratch, "local_folder", lambda _: str(tmp_path / "scratch"))
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        context.setJobGroup("planned", "")
+        frames = [
+            dedup_incremental(flat, stored),
+            run_metrics(flat, stored, shops(spark)),
+            batch_counts(flat, stored, shops(spark)),
+            process_batch(log, shops(spark), stored),
+        ]
+        assert len(tracker.getJobIdsForGroup("planned")) <= 6  # three sizes of the dictionary
+        context.setJobGroup("collected", "")
+        assert all(frame.collect() for frame in frames)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert not (tmp_path / "scratch").exists()
+
+
+def test_a_batch_takes_few_jobs(spark, tmp_path):
+    """Counts are observed while tables are written: no job is run for them."""
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        context.setJobGroup("batch", "")
+        report = store_batch(
+            log_of(spark, random_messages(8)), shops(spark), str(tmp_path), dictionary_size=100
+        )
+        jobs = len(tracker.getJobIdsForGroup("batch"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert report.success and report.failed
+    # adaptive execution runs each shuffle as a job: survivors, result and each store
+    assert jobs <= 8
+
+
 def test_metrics_of_nothing_are_zero(spark):
     flat = flatten_messages(log_of(spark, []), keep=n.POSITION)
     stored = spark.createDataFrame([], n.RESULT_DDL)
@@ -400,13 +527,13 @@ def test_the_batch_beyond_the_small_size_gives_the_same(spark, tmp_path, monkeyp
     rows = random_messages(5, count=24)
     for limit, folder in ((500_000, "a"), (0, "b")):
         monkeypatch.setattr(dedup, "SMALL_BATCH_ROWS", limit)
-        job.backfill(log_of(spark, rows), shops(spark), config(tmp_path / folder, batch_size=6))
+        backfill_plan.backfill(log_of(spark, rows), shops(spark), config(tmp_path / folder, batch_size=6))
     assert stores(spark, tmp_path / "a") == stores(spark, tmp_path / "b")
 
 
 def test_a_topic_created_anew_is_read_from_its_start(spark, tmp_path, caplog):
     old = log_of(spark, [message(i, i) for i in range(6)])
-    job.backfill(old, shops(spark), config(tmp_path))
+    backfill_plan.backfill(old, shops(spark), config(tmp_path))
     new = log_of(spark, [message(0, 50), message(1, 51)])
     _, report = job.incremental_batch(new, shops(spark), config(tmp_path))
     assert report.success == 2
@@ -431,7 +558,7 @@ def test_nothing_stays_persisted(spark, tmp_path):
     before = persistent().size()
     log = log_of(spark, [*THREE, message(3, None, value="not json")])
     settings = config(tmp_path, quarantine=True, replay_safe=True, max_rows_per_file=1)
-    job.backfill(log, shops(spark), settings)
+    backfill_plan.backfill(log, shops(spark), settings)
     assert persistent().size() == before
 
     with pytest.raises(Exception, match="no_such_column"):

@@ -1,14 +1,15 @@
 """Duplicate removal inside a batch and against the stored history."""
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.scratch import run_folder, write_once
+from tidemark.scratch import observed, write_once
 
 # Up to this many batch rows, the keys of a batch (16 bytes each) are broadcast.
 SMALL_BATCH_ROWS = 500_000
@@ -123,7 +124,8 @@ def anti_join_stored(
 
 @dataclass(frozen=True)
 class Extent:
-    """What a batch spans: its weeks, its ids, and how many rows and copies it has."""
+    """What a batch spans: weeks that hold all of its, its ids, and how many rows and copies
+    it has."""
 
     weeks: list[tuple[int | None, int | None]]
     id_range: tuple[int, int] | None
@@ -131,51 +133,73 @@ class Extent:
     kept_valid: int
     read: int
     valid: int
+    untimed: bool = False
 
-    @property
-    def untimed(self) -> bool:
-        """Some row has no arrival time."""
-        return any(None in pair for pair in self.weeks)
-
-
-def extent_of(survivors: DataFrame) -> Extent:
-    """One aggregation over the survivors, which know their copies; one row per week
-    is collected."""
-    copies = F.col(n.COPIES)
-    weeks = (
-        survivors.groupBy(n.YEAR, n.WEEK_NUMBER)
-        .agg(
-            F.count(F.lit(1)).alias("kept"),
-            F.count(n.ID).alias("kept_valid"),
-            F.sum(copies).alias("read"),
-            F.coalesce(F.sum(F.when(F.col(n.ID).isNotNull(), copies)), F.lit(0)).alias("valid"),
-            F.min(n.ID).alias("low"),
-            F.max(n.ID).alias("high"),
-        )
-        .collect()
-    )
-    with_ids = [w for w in weeks if w["low"] is not None]
-    return Extent(
-        [(w[n.YEAR], w[n.WEEK_NUMBER]) for w in weeks],
-        (min(w["low"] for w in with_ids), max(w["high"] for w in with_ids)) if with_ids else None,
-        *(sum(w[c] for w in weeks) for c in ("kept", "kept_valid", "read", "valid")),
-    )
 
+def weeks_between(first: dt.date, last: dt.date) -> list[tuple[int, int]]:
+    """The (calendar year, ISO week) pairs of all days from one to another."""
+    days = (first + dt.timedelta(d) for d in range((last - first).days + 1))
+    return sorted({(day.year, day.isocalendar()[1]) for day in days})
+
+
+def write_survivors(
+    flat: DataFrame, path: str, key: Sequence[str] = (n.ID,)
+) -> tuple[DataFrame, Extent]:
+    """The survivors of a batch, with their copies, as a table at `path`, and their extent.
+
+    The extent is observed while the table is written, in the tasks that write it, so that
+    neither messages nor survivors are read for it. Its weeks are those between the first and
+    the last day; a batch that spans more than `MAX_LITERAL_WEEKS` of them is asked for its own.
+    """
+    copies, valid = F.col(n.COPIES), F.col(n.ID).isNotNull()
+    day = F.to_date(n.RECEIVE_TIME)
+    seen = Observation()
+    survivors = dedup_in_batch(flat, key, copies=n.COPIES).observe(
+        seen,
+        F.count(F.lit(1)).alias("kept"),
+        F.count(n.ID).alias("kept_valid"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("read"),
+        F.coalesce(F.sum(F.when(valid, copies)), F.lit(0)).alias("valid"),
+        F.min(n.ID).alias("low"),
+        F.max(n.ID).alias("high"),
+        F.min(day).alias("first"),
+        F.max(day).alias("last"),
+        F.count_if(F.col(n.RECEIVE_TIME).isNull()).alias("untimed"),
+    )
+    table = write_once(survivors, path)
+    numbers = ("kept", "kept_valid", "read", "valid", "untimed")
+    found = observed(seen, (*numbers, "low", "high", "first", "last"))
+    found |= {c: found[c] or 0 for c in numbers}
+    weeks = []
+    if found["first"] is not None:
+        if (found["last"] - found["first"]).days <= 7 * MAX_LITERAL_WEEKS:
+            weeks = weeks_between(found["first"], found["last"])
+        else:
+            weeks = [pair for pair in weeks_of(table) if None not in pair]
+    counts = {c: found[c] for c in numbers[:-1]}
+    id_range = None if found["low"] is None else (found["low"], found["high"])
+    return table, Extent(weeks, id_range, **counts, untimed=found["untimed"] > 0)
+
+
+def known_keys(stored: DataFrame, extent: Extent | None) -> DataFrame:
+    """Keys of the store; with an extent only those that the batch may hold."""
+    known = store_key(stored)
+    if extent is not None:
+        known = only_weeks(known, extent.weeks)
+        if extent.id_range is not None:
+            known = known.filter(F.col(n.ID).between(*extent.id_range))
+    return known
 
-def fixed_survivors(flat: DataFrame, below: str | None = None) -> tuple[DataFrame, Extent]:
-    """Survivors of a batch, with their copies, as a written table, and their extent: the
-    messages are read and parsed for the table alone."""
-    spark = flat.sparkSession
-    path = run_folder(spark, "survivors", below)
-    survivors = write_once(dedup_in_batch(flat, copies=n.COPIES), path)
-    return survivors, extent_of(survivors)
 
+def dedup_incremental(
+    flat: DataFrame, stored: DataFrame | None, extent: Extent | None = None
+) -> DataFrame:
+    """Survivors of the batch that are not stored yet; with no store, all of them.
 
-def dedup_incremental(flat: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Survivors of the batch that are not stored yet; with no store, all of them."""
+    One plan: nothing runs or is written here. An `extent` of the batch, where it is known,
+    keeps weeks and row groups of the store from being read.
+    """
+    survivors = dedup_in_batch(flat)
     if stored is None:
-        return dedup_in_batch(flat)
-    survivors, extent = fixed_survivors(flat)
-    return anti_join_stored(
-        survivors, stored, extent.weeks, extent.id_range, extent.kept
-    ).drop(n.COPIES)
+        return survivors
+    return missing_from(survivors, known_keys(stored, extent), n.STORE_KEY)

@@ -1,6 +1,6 @@
 """Counts of a run, lag of a topic, and volume of logs and stores."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -11,37 +11,35 @@ from tidemark.operators.enrich import enrich_with_dictionary
 MAX_BROADCAST_PARTITIONS = 500_000
 
 
-def judged(
-    survivors: DataFrame, stored: DataFrame, dictionary: DataFrame, extent: dedup.Extent
+def run_metrics(
+    flat: DataFrame,
+    stored: DataFrame,
+    dictionary: DataFrame,
+    extent: dedup.Extent | None = None,
 ) -> DataFrame:
-    """Survivors with their copies, whether they are stored, and their shop name."""
-    fresh = dedup.anti_join_stored(
-        survivors, stored, extent.weeks, extent.id_range, extent.kept
-    )
-    named = enrich_with_dictionary(fresh, dictionary, keep=[n.COPIES])
-    return named.select(n.ID, n.COPIES, n.SHOP_NAME)
-
-
-def run_metrics(flat: DataFrame, stored: DataFrame, dictionary: DataFrame) -> DataFrame:
     """One row: read, invalid, duplicates by kind, success and failed.
 
-    The batch is read and parsed once: each survivor knows how many copies it stands
-    for. Rows without an id are `invalid` and not duplicates, although they collapse to
-    one row that goes to a store.
+    One plan, in which the batch is read and parsed once: each survivor knows how many
+    copies it stands for and whether the store has it. Rows without an id are `invalid` and
+    not duplicates, although they collapse to one row that goes to a store. `extent` as in
+    `dedup_incremental`.
     """
-    survivors, extent = dedup.fixed_survivors(flat)
-
-    def known(count):
-        return F.lit(count).cast("long")
-
-    shop = F.col(n.SHOP_NAME)
-    return judged(survivors, stored, dictionary, extent).agg(
-        known(extent.read).alias("read"),
-        known(extent.read - extent.valid).alias("invalid"),
-        known(extent.valid - extent.kept_valid).alias("dup_in_batch"),
-        (known(extent.kept) - F.count(F.lit(1))).alias("dup_stored"),
-        F.count_if(shop.isNotNull()).alias("success"),
-        F.count_if(shop.isNull()).alias("failed"),
+    known = dedup.known_keys(stored, extent).distinct().withColumn("__stored", F.lit(True))
+    survivors = dedup.dedup_in_batch(flat, copies=n.COPIES).join(known, n.STORE_KEY, "left")
+    named = enrich_with_dictionary(survivors, dictionary, keep=[n.COPIES, "__stored"])
+    copies, stored_before = F.col(n.COPIES), F.col("__stored").isNotNull()
+    valid, shop = F.col(n.ID).isNotNull(), F.col(n.SHOP_NAME)
+
+    def total(amount: Column) -> Column:
+        return F.coalesce(F.sum(amount), F.lit(0)).cast("long")
+
+    return named.agg(
+        total(copies).alias("read"),
+        total(F.when(~valid, copies)).alias("invalid"),
+        total(F.when(valid, copies - 1)).alias("dup_in_batch"),
+        F.count_if(stored_before).alias("dup_stored"),
+        F.count_if(~stored_before & shop.isNotNull()).alias("success"),
+        F.count_if(~stored_before & shop.isNull()).alias("failed"),
     )
 
 

@@ -4,19 +4,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.messages import flatten_messages, split_invalid
 from tidemark.operators.dedup import (
+    Extent,
     anti_join_stored,
-    dedup_in_batch,
     dedup_incremental,
-    extent_of,
     only_weeks,
+    write_survivors,
 )
 from tidemark.operators.enrich import enrich_with_dictionary, route
-from tidemark.scratch import remove_folder, run_folder, write_once
+from tidemark.scratch import observed, remove_folder, run_folder, write_once
 from tidemark.sources.store import append_quarantine, read_store, write_routed
 
 # Folder below the stores for intermediate tables, where the session names none.
@@ -48,10 +49,12 @@ def process_batch(
     dictionary: DataFrame,
     stored: DataFrame | None,
     keep: Sequence[str] = (),
+    extent: Extent | None = None,
 ) -> DataFrame:
-    """Messages to result rows with the route each one takes. Nothing is written."""
+    """Messages to result rows with the route each one takes. Nothing is written; `extent`
+    as in `dedup_incremental`."""
     flat = flatten_messages(messages, keep=_place(messages))
-    fresh = dedup_incremental(flat, stored)
+    fresh = dedup_incremental(flat, stored, extent)
     return enrich_with_dictionary(fresh, dictionary, keep).withColumn(n.ROUTE, route())
 
 
@@ -93,8 +96,7 @@ def store_batch(
     flat = flatten_messages(messages, keep=_place(messages))
     folder = run_folder(spark, "batch", f"{root.rstrip('/')}/{SCRATCH}")
     try:
-        survivors = write_once(dedup_in_batch(flat, copies=n.COPIES), f"{folder}/survivors")
-        extent = extent_of(survivors)
+        survivors, extent = write_survivors(flat, f"{folder}/survivors")
         if not extent.kept:
             return BatchReport(read=set_aside, invalid=written_aside, dup_stored=set_aside - written_aside)
         if extent.untimed:
@@ -111,12 +113,19 @@ def store_batch(
         result = enrich_with_dictionary(
             fresh, dictionary, keep=_place(messages), dictionary_size=dictionary_size
         )
-        rows = write_once(result, f"{folder}/result")
+        routed = Observation()
+        rows = write_once(
+            result.observe(
+                routed, F.count(n.SHOP_NAME).alias("matched"), F.count(F.lit(1)).alias("all")
+            ),
+            f"{folder}/result",
+        )
+        counts = {c: count or 0 for c, count in observed(routed, ("matched", "all")).items()}
         failed_before = None
         if replay_safe:
             before = read_store(spark, root, n.FAILED, extent.weeks, n.FAILED_DDL)
             failed_before = only_weeks(before, extent.weeks)
-        success, failed = write_routed(rows, root, failed_before, max_rows_per_file)
+        success, failed = write_routed(rows, root, failed_before, max_rows_per_file, counts)
     finally:
         remove_folder(spark, folder)
     return BatchReport(

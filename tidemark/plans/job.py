@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark import names as n
 from tidemark.functions.offset_text import offsets_to_json
-from tidemark.operators.enrich import dictionary_bytes
 from tidemark.operators.offsets import (
     COMMITTED,
     END,
@@ -86,7 +85,7 @@ class JobConfig:
         )
 
 
-def _warn_of_moves(config: JobConfig, plan: list[Row]) -> None:
+def warn_of_moves(config: JobConfig, plan: list[Row]) -> None:
     for row in plan:
         if row["moved"]:
             logger.log(
@@ -140,7 +139,7 @@ def incremental_batch(
     plan = plan_unread(log, known, config.batch_size)
     if not plan:
         return None
-    _warn_of_moves(config, plan)
+    warn_of_moves(config, plan)
     messages = log_range_scan(log, plan)
     return _store_and_commit(messages, dictionary, config, plan, known, dictionary_size)
 
@@ -191,7 +190,7 @@ def broker_batch(
     plan = [r for r in ending_offsets(starts, config.batch_size).collect() if r[START] < r[END]]
     if not plan:
         return None
-    _warn_of_moves(config, plan)
+    warn_of_moves(config, plan)
     planned = local_offsets(spark, plan, START).withColumnRenamed(n.OFFSET, START)
     planned = planned.join(
         local_offsets(spark, plan, END).withColumnRenamed(n.OFFSET, END), [n.TOPIC, n.PARTITION]
@@ -208,17 +207,6 @@ def broker_batch(
     return _store_and_commit(read(options), dictionary, config, plan, known)
 
 
-def backfill(
-    log: DataFrame, dictionary: DataFrame, config: JobConfig
-) -> list[tuple[int, BatchReport]]:
-    """Batches until the end of the log, for a historical load. The dictionary is
-    measured once."""
-    done, size = [], dictionary_bytes(dictionary)
-    while (batch := incremental_batch(log, dictionary, config, size)) is not None:
-        done.append(batch)
-    return done
-
-
 def reports_frame(spark: SparkSession, reports: list[tuple[int, BatchReport]]) -> DataFrame:
     """Reports as a table, one row per batch."""
     columns = list(asdict(BatchReport()))

@@ -1,9 +1,21 @@
 """Folders for intermediate tables, where every executor can reach them."""
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+
+def local_folder(spark: SparkSession) -> str:
+    """A new temporary folder, if all of the session's tasks run on this machine; on a cluster,
+    be it one of processes, the session must name a folder instead."""
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def run_folder(spark: SparkSession, label: str, below: str | None = None) -> str:
@@ -13,9 +25,7 @@ def run_folder(spark: SparkSession, label: str, below: str | None = None) -> str
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or below
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+        base = local_folder(spark)
     return f"{base.rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
 
 
@@ -25,6 +35,18 @@ def write_once(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def observed(observation: Observation, names: Iterable[str]) -> dict[str, Any]:
+    """What was observed while a table was written. Adaptive execution takes the observation
+    of rows that turn out to be none out of the plan; then everything is None."""
+    try:
+        found = observation.get
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        found = {}
+    return {name: found.get(name) for name in names}
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that `run_folder` named and everything in it."""
     if "/tidemark-" not in path:

@@ -1,15 +1,16 @@
 """The parquet stores of routed rows, laid out by year and week of arrival."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import names as n
 from tidemark.functions.messages import arrival_time, arrival_week, arrival_year
 from tidemark.operators.dedup import missing_from, only_weeks
 from tidemark.operators.enrich import matched, unmatched
+from tidemark.scratch import observed
 
 # Up to this many weeks are named one by one when a store is listed.
 MAX_LISTED_WEEKS = 200
@@ -87,16 +88,19 @@ def write_routed(
     root: str,
     failed_before: DataFrame | None = None,
     max_rows_per_file: int | None = None,
+    counts: Mapping[str, int] | None = None,
 ) -> tuple[int, int]:
     """Matched rows to the success store, then the others to the failed store.
 
-    Returns how many were written to each. `rows` is read three times and should be
-    persisted or a written table. Failed rows that `failed_before` holds are not written
+    Returns how many were written to each. `rows` is read once for each store and should be
+    persisted or a written table; `counts` are its `matched` rows and `all` of them, where
+    the caller has observed them. Failed rows that `failed_before` holds are not written
     again. Where rows know their place in the log, the failed store keeps it.
     """
-    counts = rows.agg(
-        F.count(n.SHOP_NAME).alias("matched"), F.count(F.lit(1)).alias("all")
-    ).first()
+    if counts is None:
+        counts = rows.agg(
+            F.count(n.SHOP_NAME).alias("matched"), F.count(F.lit(1)).alias("all")
+        ).first().asDict()
     success, failed = counts["matched"], counts["all"] - counts["matched"]
     place = [c for c in n.PLACE if c in rows.columns]
     if success:
@@ -106,39 +110,50 @@ def write_routed(
     if failed:
         lost = unmatched(rows)
         if failed_before is not None:
-            lost = not_yet_in(lost, failed_before, failed)
-            failed = lost.count()
-        if failed:
-            append_partitioned(lost, store_path(root, n.FAILED), max_rows_per_file)
+            # Counted while they are written; a replay may leave none.
+            seen = Observation()
+            lost = not_yet_in(lost, failed_before, failed).observe(seen, F.count(F.lit(1)).alias("new"))
+        append_partitioned(lost, store_path(root, n.FAILED), max_rows_per_file)
+        if failed_before is not None:
+            failed = observed(seen, ["new"])["new"] or 0
     return success, failed
 
 
-def append_quarantine(
+def not_yet_aside(
     messages: DataFrame, root: str, replay_safe: bool = False, row_count: int | None = None
-) -> int:
-    """Invalid messages as they came, laid out by year and week of arrival; returns how
-    many were written. On a replay, those already there are left out: a message is known
-    by its place in the log and its arrival time. Only the weeks of these messages are
-    looked at, and those without an arrival time lie together."""
+) -> DataFrame:
+    """Invalid messages as they came, with year and week of arrival, that are to be set aside.
+    On a replay, those already there are left out: a message is known by its place in the log
+    and its arrival time. Only the weeks of these messages are looked at, and those without
+    an arrival time lie together."""
     path = store_path(root, n.QUARANTINE)
     place = [c for c in n.PLACE if c in messages.columns]
     when = arrival_time()
     dated = messages.withColumns({n.YEAR: arrival_year(when), n.WEEK_NUMBER: arrival_week(when)})
-    if replay_safe and n.OFFSET in place:
-        weeks = [tuple(r) for r in dated.select(*n.STORE_PARTITIONS).distinct().collect()]
-        try:
-            before = messages.sparkSession.read.schema(dated.schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            undated = before.filter(F.col(n.YEAR).isNull())
-            before = only_weeks(before, weeks)
-            if any(None in pair for pair in weeks):
-                before = before.unionByName(undated)
-            key = [*n.STORE_PARTITIONS, "timestamp", *place]
-            dated = missing_from(dated, before, key, row_count, null_safe=True)
+    if not replay_safe or n.OFFSET not in place:
+        return dated
+    weeks = [tuple(r) for r in dated.select(*n.STORE_PARTITIONS).distinct().collect()]
+    try:
+        before = messages.sparkSession.read.schema(dated.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return dated
+    undated = before.filter(F.col(n.YEAR).isNull())
+    before = only_weeks(before, weeks)
+    if any(None in pair for pair in weeks):
+        before = before.unionByName(undated)
+    key = [*n.STORE_PARTITIONS, "timestamp", *place]
+    return missing_from(dated, before, key, row_count, null_safe=True)
+
+
+def append_quarantine(
+    messages: DataFrame, root: str, replay_safe: bool = False, row_count: int | None = None
+) -> int:
+    """Sets invalid messages aside, laid out by year and week of arrival; returns how many
+    were written. For a replay see `not_yet_aside`."""
+    dated = not_yet_aside(messages, root, replay_safe, row_count)
     written = dated.count()
     if written:
-        append_partitioned(dated, path)
+        append_partitioned(dated, store_path(root, n.QUARANTINE))
     return written

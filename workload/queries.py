@@ -13,6 +13,7 @@ from tidemark.functions.offset_text import (
     offsets_to_json,
 )
 from tidemark.operators import dedup, enrich, metrics, offsets
+from tidemark.plans import backfill as backfill_plan
 from tidemark.plans import job
 from tidemark.plans.batch import process_batch
 from tidemark.scratch import run_folder
@@ -363,7 +364,7 @@ def incremental_batch(spark, sf_dir):
 def backfill(spark, sf_dir):
     log = log_table(spark, sf_dir)
     config = job_config(spark, part_of_log(log, 3))
-    job.backfill(log, dictionary(spark, sf_dir), config)
+    backfill_plan.backfill(log, dictionary(spark, sf_dir), config)
     return both_stores(spark, config.write_to)
 
 
