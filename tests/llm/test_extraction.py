@@ -136,3 +136,40 @@ def test_the_classifier_outweighs_a_name(name):
     found = extraction.main_text(page, weights).split("\n\n")
     assert found.count(text) == 3
     assert extraction.main_text(page, NONE) == text  # without evidence the name decides
+
+
+P = "<p>A first sentence of the article.</p><p>A second sentence of it.</p>"
+BOTH = "A first sentence of the article.\n\nA second sentence of it."
+FORM = '<form id="aspnet" action="/x"><input type="hidden" name="s">{}<input type="submit" value="Go"></form>'
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # a page inside one form, with and without an element that names its article
+        (f"<body>{FORM.format(f'<nav>Home</nav><article>{P}</article><footer>End</footer>')}</body>", BOTH),
+        (f"<body>{FORM.format(f'<h1>Title</h1>{P}')}</body>", f"Title\n\n{BOTH}"),
+        (f"<body><nav>Home</nav>{FORM.format(P)}</body>", BOTH),
+        # a form inside an article, or beside one, goes with all it holds
+        (f"<article>{P}{FORM.format('<label>Name</label><p>Write us a letter, please.</p>')}</article>", BOTH),
+        (f"{FORM.format(f'<p>{120 * "Long terms. "}</p>')}<article>{P}</article>", BOTH),
+        # inline marks that are not shown or read lose their own text alone
+        ('<article><h1><span aria-hidden="true">#</span> Title</h1>' + P + "</article>", f"Title\n\n{BOTH}"),
+        ('<article><h1>Title <a aria-hidden="true" href="#t">¶</a></h1>' + P + "</article>", f"Title\n\n{BOTH}"),
+        ("<article><p>One <span hidden>not this</span>two <b style='color:red; display: none'>nor this</b>three.</p></article>", "One two three."),
+        ('<article><p hidden>No.</p><div style="display:none"><p>Nor this.</p></div>' + P + "</article>", BOTH),
+        # an open dialog marks the page behind it; an address is not the end of an article
+        (f'<div id="app" aria-hidden="true"><main><article>{P}</article></main></div>', BOTH),
+        # comments as articles of their own, beside, inside and nested
+        (f'<article class="post">{P}</article><section class="comments"><article class="comment-body"><p>{40 * "I liked it. "}</p></article></section>', BOTH),
+        (f'<main><article>{P}</article><div id="comments"><ol><li><article class="comment-body"><div class="comment-content"><p>I liked this article.</p></div></article></li></ol></div></main>', BOTH),
+        (f'<article>{P}<section id="comments"><article><p>Me too, I liked it very much.</p><article><p>So did I, thank you.</p></article></article></section></article>', BOTH),
+        (f'<article>{P}<article class="comment"><p>I liked this article very much.</p></article></article>', BOTH),
+    ],
+)
+def test_forms_hidden_marks_and_comments(page, want):
+    if "<article" in page:
+        assert extraction.main_text(page, NONE) == want
+    weights = NONE.copy()
+    weights[2] = 3.0  # texts look like content: that brings no comments and forms back
+    assert extraction.main_text(page, weights) == want

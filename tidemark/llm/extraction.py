@@ -10,7 +10,7 @@ The classifier is a logistic regression on what a block's text looks like. It is
 pages whose markup says what is what (article and main against nav, footer and the like);
 that markup then counts as a cost of its own, on the pages that have it. Names of elements
 (class, id, role) are weaker evidence: they cost less than the classifier can make up for, and
-weaken the smoothness edges across their bounds.
+weaken the smoothness edges across their bounds; those of readers' comments cost more.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ MAIN_COST = 6.0
 OTHER_COST = 14.0
 #: Of a name that tells of something else: half of `CLIP`, so that what the text looks like can outweigh it.
 NAME_COST = 1.5
+#: Of a name that tells of readers' comments: more than what the text looks like makes up for.
+COMMENT_COST = 8.0
 #: What is left of a smoothness edge between a block under such a name and one that is not.
 NAME_EDGE = 0.25
 NEXT_COST = 1.0
@@ -202,6 +204,8 @@ def label(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     for k, block in enumerate(blocks):
         if block.in_other:
             odds[k] -= OTHER_COST
+        elif block.in_comments:
+            odds[k] -= COMMENT_COST
         elif block.in_named:
             odds[k] -= NAME_COST if block.in_main or not some_main else NAME_COST + MAIN_COST
         elif some_main:

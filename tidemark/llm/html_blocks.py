@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -12,7 +13,7 @@ VOID = frozenset(
 )
 SILENT = frozenset(
     "head script style noscript template svg math canvas iframe object select textarea button "
-    "form title audio video".split()
+    "label legend datalist title audio video".split()
 )
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
@@ -30,7 +31,7 @@ CLOSES = {
     "option": (("option",), ("select",)),
 }
 MAIN = frozenset({"article", "main"})
-ASIDE = frozenset({"nav", "aside", "footer", "header", "menu", "dialog", "address"})
+ASIDE = frozenset({"nav", "aside", "footer", "header", "menu", "dialog"})
 #: Parts of a class, id or role that often name what does not belong to an article.
 OTHER_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar|"
@@ -40,14 +41,20 @@ OTHER_NAME = re.compile(
     r"copyright|legal|disclaimer|complementary|navigation|contentinfo|dialog|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Those of them that name what readers wrote.
+COMMENT_NAME = re.compile(
+    r"(?:^|[\s_-])(?:comments?|comment-?list|respond|replies|disqus)(?:$|[\s_-])", re.IGNORECASE
+)
 #: Parts that turn a name into one of the layout around, such as has-sidebar or no-banner.
 LAYOUT_NAME = re.compile(
     r"(?:^|[_-])(?:has|have|no|not|non|with|without|is|hide|show|enabled?|disabled?|open|closed|"
     r"layout|wrap|wrapper|container|page|site)(?:$|[_-])",
     re.IGNORECASE,
 )
-#: Elements whose own names say nothing about the text in them: they hold the whole page or article.
-WHOLE = frozenset({"html", "body", "main", "article"})
+#: Elements whose own names say nothing about the text in them: they hold the whole page. The
+#: names of a page's main article do not either.
+WHOLE = frozenset({"html", "body", "main"})
+NOT_SHOWN = re.compile(r"(?:^|[\s;])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 #: Names that do so outside of an article only, whose own head they are inside it.
 HEAD_NAME = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.IGNORECASE)
 MAIN_NAME = re.compile(
@@ -55,12 +62,15 @@ MAIN_NAME = re.compile(
 )
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     """An open element: its tag, its place in the tree and what its markup says.
 
     `naming` is the nearest element, itself or above, whose name tells of something else than
-    an article; `holds_main` is set once a main or an article opens below the element.
+    an article, `comments` the nearest whose name tells of readers' comments, `article` and `form`
+    the nearest of these. `holds_main` is set if a main element or the page's main article is
+    this element or below it; `size` counts the characters in it, for an article without those
+    of articles inside.
     """
 
     tag: str
@@ -68,8 +78,20 @@ class Node:
     other: bool
     main: bool
     children: int = 0
+    above: Node | None = None
     naming: Node | None = None
+    comments: Node | None = None
+    article: Node | None = None
+    form: Node | None = None
     holds_main: bool = False
+    holds_title: bool = False
+    size: int = 0
+
+    def outwards(self) -> Iterator[Node]:
+        node: Node | None = self
+        while node is not None:
+            yield node
+            node = node.above
 
 
 @dataclass
@@ -77,15 +99,19 @@ class Block:
     """Text between two block boundaries; `path` numbers the elements around it.
 
     `in_other` is what elements say that never hold an article's text (nav, footer, hidden
-    ones); `in_named` what a class, id or role suggests, which may be wrong.
+    ones, forms that are not around the page); `in_named` what a class, id or role suggests,
+    which may be wrong; `in_comments` that it suggests readers' comments.
     """
 
     path: tuple[int, ...]
     tag: str
     in_main: bool
     in_other: bool
+    box: Node
     naming: Node | None = None
+    comments: Node | None = None
     in_named: bool = False
+    in_comments: bool = False
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
@@ -107,8 +133,12 @@ class BlockParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[Node] = [Node("", (), False, False)]
         self.blocks: list[Block] = []
+        self.articles: list[Node] = []
+        self.forms: list[Node] = []
         self.block: Block | None = None
         self.silent = self.links = 0
+        #: Inline elements that are not shown; their text alone is left out.
+        self.unseen: list[Node] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
@@ -121,26 +151,56 @@ class BlockParser(HTMLParser):
         if tag in VOID:
             return
         above = self.stack[-1]
-        names = " ".join(value for key, value in attrs if key in ("class", "id", "role") and value)
-        hidden = any(key in ("hidden", "aria-hidden") and value != "false" for key, value in attrs)
+        names = [
+            name for key, value in attrs if key in ("class", "id", "role") and value for name in value.split()
+        ]
+        shown = {key: value or "" for key, value in attrs if key in ("hidden", "aria-hidden", "style")}
+        hidden = shown.get("hidden", "false") != "false" or bool(NOT_SHOWN.search(shown.get("style", "")))
+        unread = shown.get("aria-hidden", "false") != "false"
         article = above.main and tag == "header"  # the head of an article belongs to it
-        opens_main = tag in MAIN or bool(names and MAIN_NAME.search(names))
-        other = hidden or (tag in ASIDE and not article)
+        opens_main = tag in MAIN or any(
+            MAIN_NAME.search(name) and not named_other([name], above.main) for name in names
+        )
+        other = tag in BLOCK and hidden or (tag in ASIDE and not article)
         node = Node(
-            tag, (*above.path, above.children), above.other or other, above.main or opens_main
+            tag,
+            (*above.path, above.children),
+            above.other or other,
+            above.main or opens_main,
+            above=above,
+            naming=above.naming,
+            comments=above.comments,
+            article=above.article,
+            form=above.form,
         )
-        named = tag not in WHOLE and bool(names) and named_other(names.split(), above.main)
-        node.naming = node if named else above.naming
-        if tag in MAIN:
-            for outer in reversed(self.stack):
-                if outer.holds_main:
-                    break  # as do all around it
-                outer.holds_main = True
+        if tag not in WHOLE and (named_other(names, above.main) or tag == "address" or (unread and tag in BLOCK)):
+            node.naming = node
+            if any(COMMENT_NAME.search(name) and not LAYOUT_NAME.search(name) for name in names):
+                node.comments = node
+        if tag == "main":
+            self._holds_main(node)
+        elif tag == "article":
+            node.article = node
+            self.articles.append(node)
+        elif tag == "form":
+            node.form = node
+            self.forms.append(node)
+        elif tag == "h1" and node.form:
+            node.form.holds_title = True
+        if tag not in BLOCK and (hidden or unread):
+            self.unseen.append(node)
         self.stack.append(node)
         above.children += 1
         self.silent += tag in SILENT
         self.links += tag == "a"
 
+    @staticmethod
+    def _holds_main(node: Node) -> None:
+        for outer in node.outwards():
+            if outer.holds_main:
+                return  # as do all around it
+            outer.holds_main = True
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a slash closes void elements only, which need none
 
@@ -155,18 +215,32 @@ class BlockParser(HTMLParser):
                 return  # an inline end does not leave the block around it
 
     def handle_data(self, data: str) -> None:
-        if self.silent:
+        if self.silent or self.unseen:
             return
+        top = self.stack[-1]
         if self.block is None:
             if not data.strip():
                 return
-            top = self.stack[-1]
             box = next((n for n in reversed(self.stack) if n.tag in BLOCK), self.stack[0])
-            self.block = Block(box.path, box.tag, top.main, top.other, top.naming)
+            self.block = Block(box.path, box.tag, top.main, box.other, box, top.naming, top.comments)
             self.blocks.append(self.block)
-        self.block.pieces.append(data)
+        block = self.block
+        block.pieces.append(data)
+        if not data.strip():
+            return
+        # A name inside a block counts if all of the block's text is under one.
+        block.in_main |= top.main
+        if top.naming is block.box.naming:
+            block.naming = top.naming
+        if top.comments is block.box.comments:
+            block.comments = top.comments
+        size = len(data)
         if self.links:
-            self.block.linked += len(data)
+            block.linked += size
+        if top.article:
+            top.article.size += size
+        if top.form:
+            top.form.size += size
 
     def _end_block(self) -> None:
         self.block = None
@@ -175,6 +249,8 @@ class BlockParser(HTMLParser):
         for node in self.stack[at:]:
             self.silent -= node.tag in SILENT
             self.links -= node.tag == "a"
+        while self.unseen and self.unseen[-1] in self.stack[at:]:
+            self.unseen.pop()
         del self.stack[at:]
 
     def _close_before(self, tag: str) -> None:
@@ -188,6 +264,13 @@ class BlockParser(HTMLParser):
                 return
 
 
+def _main_article(articles: list[Node]) -> Node | None:
+    """The article with most text of its own, of those that no name around calls something else
+    if there are such; articles inside it may be comments."""
+    plain = [article for article in articles if article.naming is None and not article.other]
+    return max(plain or articles, key=lambda article: article.size, default=None)
+
+
 def page_blocks(html: str | None) -> list[Block]:
     """Blocks with text, white space reduced to single blanks."""
     if not html:
@@ -195,10 +278,24 @@ def page_blocks(html: str | None) -> list[Block]:
     parser = BlockParser()
     parser.feed(html)
     parser.close()
+    article = _main_article(parser.articles)
+    if article is not None:
+        parser._holds_main(article)
+    some_main = any(node.holds_main for node in parser.stack[:1])
+    whole = sum(sum(map(len, block.pieces)) for block in parser.blocks if not block.in_other)
+    # A form around the page is layout: it holds the article or title, or most of the text.
+    around = {
+        id(form)
+        for form in parser.forms
+        if form.holds_main or (not some_main and (form.holds_title or 2 * form.size > whole))
+    }
     for block in parser.blocks:
         block.text = " ".join("".join(block.pieces).split())
         block.pieces = []
         # What is around an element that holds an article holds it too.
         block.in_named = block.naming is not None and not block.naming.holds_main
-        block.naming = None
+        block.in_comments = block.comments is not None and not block.comments.holds_main
+        form = block.box.form
+        block.in_other |= form is not None and id(form) not in around
+        block.naming = block.comments = None
     return [block for block in parser.blocks if block.text]
