@@ -11,12 +11,18 @@ from tidemark.llm.license_templates import BSD_THIRD, BSD_TWO, BSD_WARRANTY, MIT
 def brute(text, templates, threshold):
     """Best runs of lines that do not overlap, from all runs and all templates."""
     lines = licenses.normal_lines(text)
+    known = licenses.Templates(templates, threshold)
+    present = known.known & licenses.bigrams([w for line in lines for w in line])
+    most = known.most_words(known.candidates(present))
     found = []
     for first in range(len(lines)):
         for last in range(first, len(lines)):
             if not lines[first] or not lines[last]:
                 continue
-            part = licenses.bigrams([w for line in lines[first : last + 1] for w in line])
+            words = [w for line in lines[first : last + 1] for w in line]
+            if len(words) > most:
+                continue
+            part = licenses.bigrams(words)
             best = max(
                 (
                     (2 * len(part & t) / (len(part) + len(t)), name)
@@ -127,3 +133,76 @@ def test_notices_inside_sentences(text, want):
 def test_the_longer_licence_wins_over_the_one_inside_it():
     text = "\n".join([BSD_TWO, BSD_THIRD.replace("the copyright holder", "Some Body"), BSD_WARRANTY])
     assert names(text) == ["BSD-3-Clause"]
+
+
+def brute_words(text, templates, threshold):
+    """Best parts of a text without copyright lines and joints, from all pairs of ends: where a
+    sentence or line ends, or at a template's own first or last bigram."""
+    import re
+
+    known = licenses.Templates(templates, threshold)
+    words, breaks = [], {0}
+    for line in text.lower().split("\n"):
+        breaks.add(len(words))
+        for sentence in re.split(r"(?<=[.!?;:])\s+", line):
+            breaks.add(len(words))
+            words += re.findall(r"[^\W_]+", sentence)
+    breaks.add(len(words))
+    pairs = list(zip(words, words[1:]))
+    candidates = known.candidates(known.known & set(pairs))
+    sets = {k: {p for p, owners in known.owners.items() if k in owners} for k in candidates}
+    firsts, lasts = ({getattr(known, x)[k] for k in candidates} for x in ("firsts", "lasts"))
+    most, found = known.most_words(candidates), []
+    for a in range(len(words)):
+        if not (a in breaks or (a < len(pairs) and pairs[a] in firsts)):
+            continue
+        for b in range(a + 1, min(len(words), a + most)):
+            if not (b + 1 in breaks or pairs[b - 1] in lasts):
+                continue
+            part = set(pairs[a:b])
+            best = max(((2 * len(part & s) / (len(part) + len(s)), -k) for k, s in sets.items()), default=(0, 0))
+            if best[0] >= threshold:
+                found.append((best[0], a, b))
+    return max((f[0] for f in found), default=0.0), {w for f in found for w in range(f[1], f[2] + 1)}
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_ends_inside_lines_equal_brute_force(seed):
+    """The best Dice is that of all parts, every match is one, and no part is without a match."""
+    rng, known = random.Random(seed), vocabulary()
+    pieces = []
+    for _ in range(8):
+        part = " ".join(rng.choice(SHORT)[1].split())
+        part = part.replace("-", " ").replace("'", "").replace("_", " ")
+        pieces.append(rng.choice([part, f"{prose(rng, 3, known)}. {part}", f"so {part} and {prose(rng, 2, known)}", part + "."]))
+    text = "".join(p + rng.choice(["\n", " ", ". "]) for p in pieces)
+    text = "".join(c for c in text if c not in "©()/\"" and not c == "\t")
+    if "copyright" in text.lower():
+        text = text.lower().replace("copyright", "right")
+    for number in range(10):
+        text = text.replace(f"{number}.", f"{number} ")
+    got = licenses.scan(text, licenses.Templates(SHORT, 0.92))
+    best, covered = brute_words(text, SHORT, 0.92)
+    assert max((m.dice for m in got), default=0.0) == pytest.approx(best)
+    assert bool(got) == bool(covered)
+
+
+def test_time_grows_with_the_text_however_it_repeats_itself():
+    import time
+
+    known = licenses.Templates(TEMPLATES)
+    line = " ".join(MIT.split()[:12])
+    spent = []
+    for lines in (2_000, 16_000):
+        start = time.process_time()
+        licenses.scan(MIT + "\n" + "\n".join([line] * lines), known)
+        licenses.scan("\n".join(["Licensed under the MIT License."] * lines), known)
+        spent.append(time.process_time() - start)
+    assert spent[1] < 16 * spent[0] + 2  # 8 times the text; once it was the square of that
+
+
+def test_repeated_notices_are_told_one_by_one():
+    text = "\n".join(["Licensed under the MIT License."] * 30)
+    found = licenses.scan(text, licenses.Templates(TEMPLATES))
+    covered = {line for m in found for line in range(m.first, m.last + 1)}
+    assert {m.license for m in found} == {"MIT"} and covered == set(range(30))

@@ -10,10 +10,14 @@ make a match of it. Only templates of whose bigrams the text has enough are look
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +26,10 @@ from tidemark.llm.license_templates import TEMPLATES
 
 THRESHOLD = 0.92
 BATCH_BYTES = 8 << 20
+#: Words of a part, repeated ones counted, in lengths of the longest template it may match.
+LENGTHS = 2
+#: Windows of words whose parts a text's scan remembers.
+REMEMBERED = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
 #: The start of a copyright statement, not of a wrapped sentence on copyright holders and the like.
@@ -69,6 +77,7 @@ class Templates:
         )
         self.sizes = [size for size, _, _ in sized]
         self.names = [name for _, name, _ in sized]
+        self.lengths = [len(words) for _, _, words in sized]
         self.firsts = [tuple(words[:2]) for _, _, words in sized]
         self.lasts = [tuple(words[-2:]) for _, _, words in sized]
         sets = [bigrams(words) for _, _, words in sized]
@@ -86,6 +95,11 @@ class Templates:
             for one, name in zip(sets, self.names, strict=True)
         ]
 
+    def most_words(self, candidates: list[int]) -> int:
+        """Words of a part that is compared with these: twice those of the longest one. A part
+        that repeats itself beyond that is told as several."""
+        return LENGTHS * max((self.lengths[number] for number in candidates), default=0)
+
     def candidates(self, present: set[Bigram]) -> list[int]:
         """Templates that a part of a text with these known bigrams can reach.
 
@@ -118,7 +132,10 @@ class _Part(NamedTuple):
 
 
 def _parts(lines: list[str], templates: Templates, candidates: list[int]) -> list[_Part]:
-    """All parts that reach the threshold for a candidate, each with its best one."""
+    """All parts that reach the threshold for a candidate, each with its best one.
+
+    Each start looks at a bounded number of words, and equal stretches are looked at once, so
+    time grows with the text, however it repeats itself."""
     words: list[str] = []
     at_line: list[int] = []
     breaks, joined = {0}, set()  # words that begin a sentence or line, or belong to the one before
@@ -158,34 +175,66 @@ def _parts(lines: list[str], templates: Templates, candidates: list[int]) -> lis
     sizes = [templates.sizes[number] for number in candidates]
     t = templates.threshold
     largest = int(max(sizes) * (2 - t) / t + 1e-9)  # Dice is at most 2 * smaller / (smaller + larger)
+    most = templates.most_words(candidates)
+    # What follows a start, with its breaks, decides on its parts: repeated text is looked at once.
+    numbers: dict[tuple[str, bool, bool], int] = {}
+    window = np.fromiter(
+        (numbers.setdefault((w, k in breaks, k in joined), len(numbers)) for k, w in enumerate(words)),
+        np.int32,
+        len(words),
+    )
+    known: dict[bytes, list[tuple[float, int, int]]] = {}
     found = []
     for start in reversed(starts):
-        part: set[Bigram] = set()
-        counts = [0] * len(sizes)
-        best: tuple[float, int] | None = None
-        stale = True
-        for k in range(start, len(pairs)):
-            pair = pairs[k]
-            if pair not in part:
-                part.add(pair)
-                if len(part) > largest:
-                    break
-                stale = True
-                for place in owners.get(pair, ()):
-                    counts[place] += 1
-            end = k + 1
-            if end + 1 in breaks or end + 1 == len(words) or (pair in lasts and end + 1 not in joined):
-                if stale:
-                    best, stale = None, False
-                    for place, count in enumerate(counts):
-                        dice = 2 * count / (len(part) + sizes[place])
-                        if dice >= t and (best is None or dice > best[0]):
-                            best = (dice, candidates[place])
-                if best:
-                    found.append(_Part(*best, start, end, at_line[start], at_line[end]))
+        key = hashlib.blake2b(window[start : start + most + 1].tobytes(), digest_size=16).digest()
+        parts = known.get(key)
+        if parts is None:
+            parts = []
+            part: set[Bigram] = set()
+            counts = [0] * len(sizes)
+            best: tuple[float, int] | None = None
+            stale = True
+            for k in range(start, min(len(pairs), start + most - 1)):
+                pair = pairs[k]
+                if pair not in part:
+                    part.add(pair)
+                    if len(part) > largest:
+                        break
+                    stale = True
+                    for place in owners.get(pair, ()):
+                        counts[place] += 1
+                end = k + 1
+                if end + 1 in breaks or end + 1 == len(words) or (pair in lasts and end + 1 not in joined):
+                    if stale:
+                        best, stale = None, False
+                        for place, count in enumerate(counts):
+                            dice = 2 * count / (len(part) + sizes[place])
+                            if dice >= t and (best is None or dice > best[0]):
+                                best = (dice, candidates[place])
+                    if best:
+                        parts.append((*best, end - start))
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[key] = parts
+        for dice, number, length in parts:
+            end = start + length
+            found.append(_Part(dice, number, start, end, at_line[start], at_line[end]))
     return found
 
 
+class _Holders:
+    """Parts of some templates, by start, to ask whether one of them holds a part."""
+
+    def __init__(self, parts: list[_Part]) -> None:
+        parts = sorted((part.start, part.end) for part in parts)
+        self.starts = [start for start, _ in parts]
+        self.ends = list(accumulate((end for _, end in parts), max))
+
+    def hold(self, part: _Part) -> bool:
+        before = bisect_right(self.starts, part.start)
+        return before > 0 and self.ends[before - 1] >= part.end
+
+
 def scan(text: str | None, templates: Templates) -> list[Match]:
     """Matches that share no word, the best first chosen, in order; lines count from 0.
 
@@ -207,20 +256,19 @@ def scan(text: str | None, templates: Templates) -> list[Match]:
     of_template: dict[int, list[_Part]] = {}
     for part in found:
         of_template.setdefault(part.template, []).append(part)
-    found = [
-        part
-        for part in found
-        if not any(
-            other.start <= part.start and part.end <= other.end
-            for number in templates.around[part.template]
-            for other in of_template.get(number, ())
-        )
-    ]
+    holders = {
+        number: _Holders([p for other in templates.around[number] for p in of_template.get(other, ())])
+        for number in of_template
+    }
+    found = [part for part in found if not holders[part.template].hold(part)]
     found.sort(key=lambda m: (-m.dice, m.first - m.last, m.first, m.start - m.end, m.start))
+    taken = bytearray(len(words))  # chosen parts share no word, so no word is marked twice
     chosen: list[_Part] = []
     for part in found:
-        if all(part.end < other.start or part.start > other.end for other in chosen):
+        # One that overlaps a chosen part and has neither end in it holds it whole.
+        if not taken[part.start] and not taken[part.end] and not taken.count(1, part.start, part.end):
             chosen.append(part)
+            taken[part.start : part.end + 1] = b"\x01" * (part.end + 1 - part.start)
     return [
         Match(part.dice, templates.names[part.template], part.first, part.last)
         for part in sorted(chosen, key=lambda m: m.start)
