@@ -277,6 +277,34 @@ def test_a_crash_between_the_stores_loses_and_repeats_nothing(spark, tmp_path, m
     assert stores(spark, tmp_path) == ([(1, "shop#2")], [(2, None)])
 
 
+def test_two_runs_from_one_state_store_once(spark, tmp_path, monkeypatch):
+    """The second run plans from the offsets that the first one has read, too."""
+    log, settings = log_of(spark, THREE), config(tmp_path)
+    planned = find_offsets(spark, settings.offsets_path, "orders")
+    stale = planned.collect()
+    assert job.incremental_batch(log, shops(spark), settings)
+    held = stores(spark, tmp_path)
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "find_offsets", lambda *_: planned.limit(0))
+        with pytest.raises(offset_table.CommitConflict, match="committed already"):
+            job.incremental_batch(log, shops(spark), settings)
+    assert stale == [] and stores(spark, tmp_path) == held
+
+
+def test_claims_of_lost_runs_are_taken_over(spark, tmp_path):
+    path = str(tmp_path / "offsets")
+    with pytest.raises(RuntimeError, match="failed"), offset_table.claimed(spark, path, "orders", 0):
+        with pytest.raises(offset_table.CommitConflict, match="another run"):
+            with offset_table.claimed(spark, path, "orders", 0):
+                raise AssertionError("held twice")
+        with offset_table.claimed(spark, path, "orders", 0, lost_after=-1):
+            pass
+        raise RuntimeError("failed")
+    with offset_table.claimed(spark, path, "orders", 0):  # a run that failed gave it up
+        pass
+    assert find_offsets(spark, path, "orders").collect() == []
+
+
 def test_null_ids_collapse_or_are_set_aside(spark, tmp_path):
     rows = [*THREE, *[message(3 + i, None, value="not json", hours=i) for i in range(4)]]
     report = store_batch(log_of(spark, rows), shops(spark), str(tmp_path / "a"))

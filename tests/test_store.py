@@ -3,7 +3,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tests.frames import local_frame
 from tidemark import names as n
+from tidemark.operators import dedup
 from tidemark.operators.metrics import store_bytes, store_volume
 from tidemark.sources import store
 
@@ -154,3 +156,49 @@ def test_store_volume_reads_no_data_column(spark, plan_of, tmp_path):
     path = str(tmp_path / "s")
     store.append_partitioned(routed(spark, 9), path)
     assert "ReadSchema: struct<>" in plan_of(store_volume(spark.read.parquet(path)))
+
+
+def rows_scanned(frame):
+    """Rows that left the scan of a frame which is collected here."""
+    frame.collect()
+    leaf = frame._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_ids_spread_over_a_week_are_found_by_bloom_filters(spark, tmp_path):
+    """A million rows in files that each span all ids: bounds cannot leave out any."""
+    one_week = [
+        F.lit("2022-01-03 10:00:00").cast("timestamp").alias(n.RECEIVE_TIME),
+        F.col("id"),
+        F.lit(None).cast("timestamp").alias(n.ORDER_TIMESTAMP),
+        F.lit("shop").alias(n.SHOP_NAME),
+        F.lit(2022).alias(n.YEAR),
+        F.lit(1).alias(n.WEEK_NUMBER),
+    ]
+    for part in range(10):
+        rows = spark.range(part, 10_000_000, 100, numPartitions=1).select(*one_week)
+        store.append_success(rows, str(tmp_path / "with"))
+        store.append_partitioned(rows, str(tmp_path / "without" / n.SUCCESS))
+    asked = [3 + 100 * 77_777, 5 + 100 * 12, 9_999_999]  # the last one is not there
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scanned = {}
+        for kind in ("with", "without"):
+            known = store.read_store(spark, str(tmp_path / kind))
+            found = known.filter(dedup.is_any_of(n.ID, asked)).select(n.ID)
+            assert sorted(r[0] for r in found.collect()) == sorted(asked[:2])
+            scanned[kind] = rows_scanned(found)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert scanned["with"] <= scanned["without"] / 3
+
+
+def test_literal_ids_and_joined_ones_find_the_same(spark, monkeypatch):
+    schema = "id long, year int, week_number int"
+    batch = local_frame(spark, [(k, 2022, 1) for k in range(20)] + [(None, 2022, 1)], schema)
+    stored = local_frame(spark, [(k, 2022, 1 + k % 2) for k in range(0, 20, 2)] + [(None, 2022, 1)], schema)
+    want = dedup.anti_join_stored(batch, stored).collect()
+    for literal in (0, 200):
+        monkeypatch.setattr(dedup, "LITERAL_IDS", literal)
+        got = dedup.anti_join_stored(batch, stored, [(2022, 1)], (0, 19), 21)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want))

@@ -5,7 +5,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark import names as n
@@ -14,6 +14,9 @@ from tidemark.scratch import observed, write_once
 # Up to this many batch rows, the keys of a batch (16 bytes each) are broadcast.
 SMALL_BATCH_ROWS = 500_000
 
+# Up to this many ids of a batch are written out as literals.
+LITERAL_IDS = 200
+
 # Up to this many (year, week) pairs are written out as literals.
 MAX_LITERAL_WEEKS = 1_000
 
@@ -46,6 +49,15 @@ def dedup_in_batch(
     )
 
 
+def is_any_of(column: str, values: Sequence[int]) -> Column:
+    """Equality with one of the values, as a balanced OR: unlike a long IN it reaches the scan
+    as equalities, which Bloom filters can answer."""
+    if len(values) <= 1:
+        return F.col(column) == values[0] if values else F.lit(False)
+    half = len(values) // 2
+    return is_any_of(column, values[:half]) | is_any_of(column, values[half:])
+
+
 def store_key(stored: DataFrame) -> DataFrame:
     """The columns by which a stored order is recognised."""
     return stored.select(*n.STORE_KEY)
@@ -112,13 +124,17 @@ def anti_join_stored(
 
     `weeks` and `id_range`, where known, are those of the batch; both are implied
     by the join key and only keep partitions and row groups of the store from
-    being read. For `batch_rows` see `missing_from`.
+    being read. For `batch_rows` see `missing_from`; of up to `LITERAL_IDS` rows the ids are
+    literals besides, for which row groups are left out by their Bloom filters.
     """
     known = store_key(stored)
     if weeks is not None:
         known = only_weeks(known, weeks)
     if id_range is not None and None not in id_range:
         known = known.filter(F.col(n.ID).between(*id_range))
+    if batch_rows is not None and batch_rows <= LITERAL_IDS:
+        ids = [row[0] for row in batch.select(n.ID).filter(F.col(n.ID).isNotNull()).distinct().collect()]
+        known = known.filter(is_any_of(n.ID, ids))
     return missing_from(batch, known, n.STORE_KEY, batch_rows)
 
 

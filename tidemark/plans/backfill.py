@@ -16,9 +16,10 @@ from tidemark.operators.slices import BATCH, SLICES_DDL, batch_slices, with_batc
 from tidemark.plans.batch import SCRATCH, BatchReport
 from tidemark.plans.job import JobConfig, warn_of_moves
 from tidemark.scratch import remove_folder, run_folder, write_once
-from tidemark.sources.offset_table import commit_offsets, find_offsets
+from tidemark.sources.offset_table import claimed, commit_offsets, find_offsets
 from tidemark.sources.store import (
     append_partitioned,
+    append_success,
     not_yet_aside,
     not_yet_in,
     read_store,
@@ -72,10 +73,11 @@ def _batches(
         log_range_scan(log, ranges), spark.createDataFrame(slices, SLICES_DDL), config.batch_size
     )
     number = 1 + max(row[BATCH] for row in slices)
-    reports = store_batches(messages, number, dictionary, config, dictionary_size)
     first = max((row["batch_id"] for row in known), default=-1) + 1
     ends = [Row(**{n.TOPIC: config.topic, n.PARTITION: r[n.PARTITION], END: r[END]}) for r in ranges]
-    commit_offsets(spark, ends, config.offsets_path, first + number - 1, known)
+    with claimed(spark, config.offsets_path, config.topic, first):
+        reports = store_batches(messages, number, dictionary, config, dictionary_size)
+        commit_offsets(spark, ends, config.offsets_path, first + number - 1, known)
     for k, report in enumerate(reports):
         logger.info("%s, batch %s: %s", config.topic, first + k, report)
     return [(first + k, report) for k, report in enumerate(reports)]
@@ -169,9 +171,7 @@ def store_batches(
         success, failed = _per_batch(matched(rows), n_rows=one), _per_batch(lost, n_rows=one)
         limit = config.max_rows_per_file
         if success:
-            append_partitioned(
-                matched(rows).drop(*place, BATCH), store_path(root, n.SUCCESS), limit
-            )
+            append_success(matched(rows).drop(*place, BATCH), root, limit)
         if failed:
             append_partitioned(lost.drop(BATCH), store_path(root, n.FAILED), limit)
     finally:

@@ -24,7 +24,7 @@ from tidemark.plans.batch import BatchReport, store_batch
 from tidemark.sources import broker
 from tidemark.sources.broker import read_range
 from tidemark.sources.dictionary import jdbc_options, read_dictionary
-from tidemark.sources.offset_table import commit_offsets, find_offsets
+from tidemark.sources.offset_table import claimed, commit_offsets, find_offsets
 from tidemark.sources.store import store_path
 
 logger = logging.getLogger(__name__)
@@ -106,18 +106,21 @@ def _store_and_commit(
     known: list[Row],
     dictionary_size: int | None = None,
 ) -> tuple[int, BatchReport]:
-    """Stores first, offsets last: a crash between them reads the range again."""
+    """Stores first, offsets last: a crash between them reads the range again. The batch is
+    claimed before, so that of two runs planned from the same offsets one stores nothing."""
     batch_id = max((row["batch_id"] for row in known), default=-1) + 1
-    report = store_batch(
-        messages,
-        dictionary,
-        config.write_to,
-        replay_safe=config.replay_safe,
-        quarantine=config.quarantine,
-        max_rows_per_file=config.max_rows_per_file,
-        dictionary_size=dictionary_size,
-    )
-    commit_offsets(messages.sparkSession, plan, config.offsets_path, batch_id, known)
+    spark = messages.sparkSession
+    with claimed(spark, config.offsets_path, config.topic, batch_id):
+        report = store_batch(
+            messages,
+            dictionary,
+            config.write_to,
+            replay_safe=config.replay_safe,
+            quarantine=config.quarantine,
+            max_rows_per_file=config.max_rows_per_file,
+            dictionary_size=dictionary_size,
+        )
+        commit_offsets(spark, plan, config.offsets_path, batch_id, known)
     logger.info("%s, batch %s: %s", config.topic, batch_id, report)
     return batch_id, report
 

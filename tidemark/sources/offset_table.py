@@ -1,7 +1,10 @@
 """Committed offsets as an append-only table: one row per topic partition and commit."""
 
-from collections.abc import Sequence
+import time
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,63 @@ def find_offsets(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return committed_offsets(read_state(spark, path), topic)
 
 
+class CommitConflict(RuntimeError):
+    """Another run is at this batch, or has committed it."""
+
+
+# A claim older than this belongs to a run that was lost; the next one takes it over.
+LOST_AFTER_SECONDS = 3 * 3600
+
+
+def _claim_file(path: str, topic: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/_claims/{topic}/{batch_id}"  # readers of the table pass it over
+
+
+@contextmanager
+def claimed(
+    spark: SparkSession,
+    path: str,
+    topic: str,
+    batch_id: int,
+    lost_after: float = LOST_AFTER_SECONDS,
+) -> Iterator[None]:
+    """Holds a batch for one run, from before its stores are written until it is committed.
+
+    A claim is a file that only one run can create. It stays once the batch is committed, so
+    that a second run planned from the same offsets raises `CommitConflict` before it stores
+    anything. A run that fails gives its claim up; that of one that vanished is taken over
+    after `lost_after` seconds, if the batch was not committed.
+    """
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(_claim_file(path, topic, batch_id))
+    files = file.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def take() -> bool:
+        try:
+            files.create(file, False).close()
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
+    if not take():
+        committed = find_offsets(spark, path, topic).agg(F.max("batch_id")).first()[0]
+        if committed is not None and committed >= batch_id:
+            raise CommitConflict(f"{topic}: batch {batch_id} is committed already")
+        age = time.time() - files.getFileStatus(file).getModificationTime() / 1000
+        if age < lost_after:
+            raise CommitConflict(f"{topic}: another run is at batch {batch_id}")
+        files.delete(file, False)
+        if not take():
+            raise CommitConflict(f"{topic}: another run is at batch {batch_id}")
+    try:
+        yield
+    except BaseException:
+        files.delete(file, False)
+        raise
+
+
 # Files of commits that are kept for each topic. Every commit holds the offsets of all
 # partitions, so the last one would do; the others are there to look back at.
 KEPT_COMMITS = 96
@@ -57,8 +117,10 @@ def _remove_old(spark: SparkSession, path: str, topic: str, batch_id: int) -> No
     newest = state.groupBy(F.input_file_name().alias("file")).agg(F.max("batch_id").alias("batch"))
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for row in newest.filter(F.col("batch") <= batch_id - KEPT_COMMITS).collect():
-        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["file"]))
-        file.getFileSystem(conf).delete(file, False)
+        claim = _claim_file(path, topic, row["batch"])
+        for file in (jvm.java.net.URI(row["file"]), claim):
+            file = jvm.org.apache.hadoop.fs.Path(file)
+            file.getFileSystem(conf).delete(file, False)
 
 
 def compact(spark: SparkSession, path: str, new_path: str) -> None:

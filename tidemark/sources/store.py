@@ -63,13 +63,35 @@ def distribute_by_partition(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *n.STORE_PARTITIONS)
 
 
-def append_partitioned(rows: DataFrame, path: str, max_rows_per_file: int | None = None) -> None:
-    writer = distribute_by_partition(rows).write.mode("append").partitionBy(*n.STORE_PARTITIONS)
+def append_partitioned(
+    rows: DataFrame,
+    path: str,
+    max_rows_per_file: int | None = None,
+    lookup: str | None = None,
+) -> None:
+    """Appends rows, one directory for each year and week.
+
+    `lookup` names a column by which rows will be looked up: files are sorted by it and have
+    Bloom filters for it, so that a lookup of few values reads few row groups although each
+    file spans all values.
+    """
+    rows = distribute_by_partition(rows)
+    if lookup is not None:
+        rows = rows.sortWithinPartitions(*n.STORE_PARTITIONS, lookup)
+    writer = rows.write.mode("append").partitionBy(*n.STORE_PARTITIONS)
+    if lookup is not None:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)
 
 
+def append_success(rows: DataFrame, root: str, max_rows_per_file: int | None = None) -> None:
+    """Appends to the success store, in which every batch looks its ids up."""
+    append_partitioned(rows, store_path(root, n.SUCCESS), max_rows_per_file, lookup=n.ID)
+
+
 def not_yet_in(rows: DataFrame, stored: DataFrame, row_count: int | None = None) -> DataFrame:
     """Rows a store does not hold; nulls compare as equal. Keeps a replay from adding
     failed rows twice, while orders sent again still accumulate.
@@ -104,9 +126,7 @@ def write_routed(
     success, failed = counts["matched"], counts["all"] - counts["matched"]
     place = [c for c in n.PLACE if c in rows.columns]
     if success:
-        append_partitioned(
-            matched(rows).drop(*place), store_path(root, n.SUCCESS), max_rows_per_file
-        )
+        append_success(matched(rows).drop(*place), root, max_rows_per_file)
     if failed:
         lost = unmatched(rows)
         if failed_before is not None:
