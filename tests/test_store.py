@@ -7,7 +7,7 @@ from tests.frames import local_frame
 from tidemark import names as n
 from tidemark.operators import dedup
 from tidemark.operators.metrics import store_bytes, store_volume
-from tidemark.sources import store
+from tidemark.sources import compaction, store
 
 PLAIN = "receive_time string, shop_name string, year int, week_number int"
 
@@ -202,3 +202,75 @@ def test_literal_ids_and_joined_ones_find_the_same(spark, monkeypatch):
         monkeypatch.setattr(dedup, "LITERAL_IDS", literal)
         got = dedup.anti_join_stored(batch, stored, [(2022, 1)], (0, 19), 21)
         assert sorted(map(str, got.collect())) == sorted(map(str, want))
+
+
+def test_readers_see_every_row_once_before_during_and_after_a_compaction(
+    spark, tmp_path, monkeypatch
+):
+    root = str(tmp_path)
+    for part in range(6):
+        rows = spark.range(part, 600, 6, numPartitions=1).select(
+            F.timestamp_seconds("id").alias(n.RECEIVE_TIME),
+            n.ID,
+            F.timestamp_seconds("id").alias(n.ORDER_TIMESTAMP),
+            F.lit("shop").alias(n.SHOP_NAME),
+            F.lit(2022).alias(n.YEAR),
+            (F.col("id") % 2 + 1).cast("int").alias(n.WEEK_NUMBER),
+        )
+        store.append_success(rows, root)
+
+    def seen(weeks=None):
+        return sorted(r[0] for r in store.read_store(spark, root, weeks=weeks).select(n.ID).collect())
+
+    first, odd = list(range(600)), list(range(0, 600, 2))
+    planned = store.read_store(spark, root)  # has listed its files already
+    assert seen() == first
+    steps, rename = [], compaction._Files.rename
+
+    def looked(files, old, new):
+        steps.append((seen() == first, seen([(2022, 1)]) == odd))
+        rename(files, old, new)
+        steps.append((seen() == first, seen([(2022, 1)]) == odd))
+
+    monkeypatch.setattr(compaction._Files, "rename", looked)
+    assert compaction.compact_week(spark, root, n.SUCCESS, 2022, 1) == (3, 1)
+    assert len(steps) == 4 and all(map(all, steps))
+    store.append_success(rows.limit(0).union(rows), root)  # batches go on
+    after = sorted(first + list(range(5, 600, 6)))
+    assert seen() == after
+    assert sorted(r[0] for r in planned.select(n.ID).collect()) == first
+    assert compaction.vacuum(spark, root, n.SUCCESS) == 0  # not yet
+    assert compaction.vacuum(spark, root, n.SUCCESS, grace_seconds=-1) == 3
+    assert seen() == after and seen([(2022, 1)]) == odd
+    assert len(files(tmp_path / n.SUCCESS / "year=2022" / "week_number=1")) == 1
+
+
+def test_a_compaction_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for _ in range(3):
+        store.append_success(routed(spark, 30, parts=1), root)
+    held = store.read_store(spark, root).count()
+    rename = compaction._Files.rename
+
+    def dies(files, old, new):
+        if compaction.REPLACED in new:
+            raise RuntimeError("lost")
+        rename(files, old, new)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(compaction._Files, "rename", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            compaction.compact_week(spark, root, n.SUCCESS, 2022, 1)
+    assert store.read_store(spark, root).count() == held
+    with pytest.raises(RuntimeError, match="under way"):
+        compaction.compact_week(spark, root, n.SUCCESS, 2022, 1)
+    assert compaction.vacuum(spark, root, n.SUCCESS, grace_seconds=-1) == 1
+    assert compaction.compact_week(spark, root, n.SUCCESS, 2022, 1) == (3, 1)
+    assert store.read_store(spark, root).count() == held
+    assert compaction.compact_week(spark, root, n.SUCCESS, 2022, 1) == (0, 0)
+
+
+def test_bins_of_small_files():
+    sizes = {"a": 10, "b": 30, "c": 49, "d": 50, "e": 90, "f": 20, "g": 41}
+    assert compaction.bins_of(sizes, 100) == [["a", "f", "b"], ["g", "c"]]
+    assert compaction.bins_of({"a": 10}, 100) == compaction.bins_of({}, 100) == []

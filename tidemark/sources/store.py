@@ -11,6 +11,7 @@ from tidemark.functions.messages import arrival_time, arrival_week, arrival_year
 from tidemark.operators.dedup import missing_from, only_weeks
 from tidemark.operators.enrich import matched, unmatched
 from tidemark.scratch import observed
+from tidemark.sources.compaction import is_compacted, readable_files
 
 # Up to this many weeks are named one by one when a store is listed.
 MAX_LISTED_WEEKS = 200
@@ -28,20 +29,25 @@ def read_store(
     schema: str = n.RESULT_DDL,
 ) -> DataFrame:
     """Rows of a store. One that was never written has none; other errors are raised.
+    Files that a compaction has replaced are left out.
 
     With `weeks`, only the directories of these (year, week) pairs are listed, so
     that the cost of a batch does not grow with the age of the store.
     """
     base = path = store_path(root, store)
+    folders = [f"{n.YEAR}=*/{n.WEEK_NUMBER}=*"]
     if weeks is not None:
         known = sorted({pair for pair in weeks if None not in pair})
         if not known:
             return _no_rows(spark, schema)
         if len(known) <= MAX_LISTED_WEEKS:
-            folders = (f"{n.YEAR}={year}/{n.WEEK_NUMBER}={week}" for year, week in known)
+            folders = [f"{n.YEAR}={year}/{n.WEEK_NUMBER}={week}" for year, week in known]
             path = f"{base}/{{{','.join(folders)}}}"
+    paths = [path]
+    if is_compacted(spark, base, folders):
+        paths = readable_files(spark, base, folders)
     try:
-        return spark.read.schema(schema).option("basePath", base).parquet(path)
+        return spark.read.schema(schema).option("basePath", base).parquet(*paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -89,7 +95,8 @@ def append_partitioned(
 
 def append_success(rows: DataFrame, root: str, max_rows_per_file: int | None = None) -> None:
     """Appends to the success store, in which every batch looks its ids up."""
-    append_partitioned(rows, store_path(root, n.SUCCESS), max_rows_per_file, lookup=n.ID)
+    lookup = n.ID if n.ID in rows.columns else None
+    append_partitioned(rows, store_path(root, n.SUCCESS), max_rows_per_file, lookup)
 
 
 def not_yet_in(rows: DataFrame, stored: DataFrame, row_count: int | None = None) -> DataFrame:
