@@ -324,6 +324,21 @@ def test_a_safe_replay_sets_no_message_aside_twice(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / n.QUARANTINE)).count() == 1
 
 
+@pytest.mark.parametrize("quarantine", [False, True])
+def test_messages_are_read_once(spark, tmp_path, quarantine):
+    rows = [*THREE, message(3, None, value="not json"), message(4, 5, shop=3, hours=9)]
+    read = spark.sparkContext.accumulator(0)
+
+    def told(text):
+        read.add(1)
+        return text
+
+    log = log_of(spark, rows).withColumn("value", F.udf(told, "string")("value"))
+    report = store_batch(log, shops(spark), str(tmp_path), True, quarantine)
+    assert (report.read, report.invalid, report.success) == (5, 1, 2)
+    assert read.value == 5
+
+
 def test_only_invalid_messages_with_quarantine(spark, tmp_path):
     log = log_of(spark, [message(0, None, value="")])
     report = store_batch(log, shops(spark), str(tmp_path), quarantine=True)

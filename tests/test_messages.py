@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from tidemark import names as n
-from tidemark.functions.messages import flatten_messages, split_invalid
+from tidemark.functions.messages import flatten_messages, parse_messages, split_parsed
 
 TEXT_LOG = "key string, value string, timestamp string"
 
@@ -79,8 +79,8 @@ def test_split_invalid_keeps_every_message(spark):
         ("e", '{"id":2,"shopId":3}', None),
     ]
     log = spark.createDataFrame(rows, TEXT_LOG)
-    valid, invalid = split_invalid(log)
-    assert [r["key"] for r in valid.collect()] == ["a"]
+    valid, invalid = split_parsed(parse_messages(log))
+    assert [tuple(r) for r in valid.collect()] == [tuple(flatten_messages(log).first())]
     assert sorted(r["key"] for r in invalid.collect()) == ["b", "c", "d", "e"]
     assert invalid.columns == log.columns
 

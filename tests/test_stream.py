@@ -8,7 +8,7 @@ def write_slice(spark, rows, path):
     log_of(spark, rows).coalesce(1).write.mode("append").parquet(path)
 
 
-def run(spark, tmp_path, on_batch=None):
+def run(spark, tmp_path, on_batch=None, **other):
     source = (
         spark.readStream.schema(LOG)
         .option("maxFilesPerTrigger", "1")
@@ -20,6 +20,7 @@ def run(spark, tmp_path, on_batch=None):
         str(tmp_path / "out"),
         str(tmp_path / "checkpoint"),
         on_batch=on_batch,
+        **other,
     )
     query.awaitTermination()
 
@@ -82,7 +83,7 @@ def test_the_submitted_program_runs_one_bounded_batch(spark, tmp_path, monkeypat
     from tidemark.plans import job
 
     asked = []
-    reader = table_reader(log_of(spark, FIRST), asked)
+    reader = table_reader(log_of(spark, FIRST), asked, 1)
     settings = {"WRITE_TO": str(tmp_path / "out"), "BATCH_SIZE": "2", "RUN": "batch"}
     for name, value in {**ENV, **settings}.items():
         monkeypatch.setenv(name, value)
@@ -91,10 +92,12 @@ def test_the_submitted_program_runs_one_bounded_batch(spark, tmp_path, monkeypat
     for _ in range(3):
         program.main()
     assert stores(spark, tmp_path / "out") == ([(1, "shop#2")], [(2, None)])
-    ranges = [a for a in asked if a != ("earliest", "latest")]
-    assert ranges == [
+    assert asked == [
+        ("earliest", "latest"),  # nothing is known of the topic yet
         ('{"orders":{"0":0}}', '{"orders":{"0":2}}'),
+        ('{"orders":{"0":2}}', "latest"),
         ('{"orders":{"0":2}}', '{"orders":{"0":3}}'),
+        ('{"orders":{"0":3}}', "latest"),
     ]
 
 
@@ -104,3 +107,25 @@ def test_the_stream_must_know_its_partitions(monkeypatch):
     monkeypatch.delenv("TOPIC_PARTITIONS", raising=False)
     with pytest.raises(KeyError):
         program.run_stream(None, None)
+
+
+def test_copies_within_the_horizon_never_reach_a_batch(spark, tmp_path):
+    """Across restarts of the stream; a copy beyond the horizon is left to the stores."""
+    reports = []
+
+    def slice_of(*rows):
+        write_slice(spark, list(rows), str(tmp_path / "log"))
+        before = len(reports)
+        run(spark, tmp_path, lambda _, report: reports.append(report), horizon="10 hours")
+        return [report for report in reports[before:] if report.read]
+
+    (report,) = slice_of(*FIRST, message(3, None, value="{"), message(4, None, value="{"))
+    assert report.read == 4  # order 1 once, order 2, and both messages without an order
+    (report,) = slice_of(message(5, 1, hours=5), message(6, 7, hours=6))
+    assert (report.read, report.success) == (1, 1)
+    (report,) = slice_of(message(7, 9, hours=30))  # the horizon moves on
+    assert report.success == 1
+    (report,) = slice_of(message(8, 1, hours=31), message(9, 9, hours=31))
+    assert (report.read, report.dup_stored) == (1, 1)
+    success, _ = stores(spark, tmp_path / "out")
+    assert success == [(1, "shop#2"), (7, "shop#2"), (9, "shop#2")]

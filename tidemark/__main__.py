@@ -6,6 +6,7 @@ the variables of `JobConfig.from_env`: `TOPIC_PARTITIONS` (stream, required: the
 `BATCH_SIZE` is per topic partition, the connector's is for all of them together; batch:
 partitions beyond those with a commit are looked at from their start), `BOUNDS=broker` (batch:
 first and next offsets are asked of the broker instead of read from the topic's tail),
+`HORIZON` (stream: copies that arrive within it, as `3 days`, are told by the stream's state),
 `STARTING_OFFSETS` (stream, first run only; `earliest` by default), `QUARANTINE=1` and
 `MAX_ROWS_PER_FILE`.
 """
@@ -24,13 +25,12 @@ log = logging.getLogger("tidemark")
 
 
 def run_stream(spark: SparkSession, config: JobConfig) -> None:
-    if config.topic_partitions is None:
-        raise KeyError("TOPIC_PARTITIONS")
+    partitions = int(os.environ["TOPIC_PARTITIONS"])
     query = ingest_stream(
         read_stream(
             spark,
             dict(config.broker),
-            config.batch_size * config.topic_partitions,
+            config.batch_size * partitions,
             os.environ.get("STARTING_OFFSETS", "earliest"),
         ),
         lambda: load_dictionary(spark, config),
@@ -38,6 +38,7 @@ def run_stream(spark: SparkSession, config: JobConfig) -> None:
         store_path(config.write_to, "checkpoint"),
         quarantine=config.quarantine,
         max_rows_per_file=config.max_rows_per_file,
+        horizon=os.environ.get("HORIZON"),
         on_batch=lambda batch_id, report: log.info("batch %s: %s", batch_id, report),
     )
     query.awaitTermination()

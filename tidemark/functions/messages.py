@@ -9,6 +9,8 @@ from tidemark import names as n
 
 _PARSED = "__payload"
 _CORRUPT = "__corrupt"
+VALID = "__valid"
+RAW = "__message"
 
 
 def value_text(value: str = "value") -> Column:
@@ -68,26 +70,39 @@ def flatten_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     ).select(*n.FLAT_COLUMNS, *keep)
 
 
-def split_invalid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) messages, both with the columns of the log.
+def parse_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Message log to flat order table, from one parse that also tells what is invalid.
 
-    A message is invalid if its text does not parse into the payload, if the
-    payload has no id, or if it has no arrival time.
+    Besides the columns of `flatten_messages` a row has `VALID` and, if it is not, `RAW`: the
+    message as it came. A message is invalid if its text does not parse into the payload, if
+    the payload has no id, or if it has no arrival time.
     """
-    flagged = messages.withColumn(
-        _PARSED,
+    flagged = messages.select(
         F.from_json(
             value_text(),
             f"{n.PAYLOAD_DDL}, {_CORRUPT} STRING",
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-        ),
+        ).alias(_PARSED),
+        arrival_time().alias(n.RECEIVE_TIME),
+        F.struct(*messages.columns).alias(RAW),
     )
     valid = (
         F.col(f"{_PARSED}.id").isNotNull()
         & F.col(f"{_PARSED}.{_CORRUPT}").isNull()
-        & arrival_time().isNotNull()
-    )
-    return (
-        flagged.filter(valid).drop(_PARSED),
-        flagged.filter(~valid).drop(_PARSED),
+        & F.col(n.RECEIVE_TIME).isNotNull()
     )
+    return flagged.select(
+        *flatten_struct(),
+        n.RECEIVE_TIME,
+        arrival_year().alias(n.YEAR),
+        arrival_week().alias(n.WEEK_NUMBER),
+        *[F.col(f"{RAW}.{c}").alias(c) for c in keep],
+        valid.alias(VALID),
+        F.when(~valid, F.col(RAW)).alias(RAW),
+    ).select(*n.FLAT_COLUMNS, *keep, VALID, RAW)
+
+
+def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(flat rows of valid messages, invalid messages as they came), of a written table."""
+    valid = parsed.filter(VALID).drop(VALID, RAW)
+    return valid, parsed.filter(~F.col(VALID)).select(f"{RAW}.*")

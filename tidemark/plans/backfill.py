@@ -3,17 +3,16 @@
 import logging
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.functions.messages import flatten_messages, split_invalid
+from tidemark.functions.messages import flatten_messages
 from tidemark.operators.dedup import anti_join_stored, only_weeks, write_survivors
 from tidemark.operators.enrich import dictionary_bytes, enrich_with_dictionary, matched, unmatched
 from tidemark.operators.offsets import END, START, log_range_scan, plan_unread
 from tidemark.operators.slices import BATCH, SLICES_DDL, batch_slices, with_batch
-from tidemark.plans.batch import SCRATCH, BatchReport
+from tidemark.plans.batch import SCRATCH, BatchReport, parse_once
 from tidemark.plans.job import JobConfig, warn_of_moves
 from tidemark.scratch import remove_folder, run_folder, write_once
 from tidemark.sources.offset_table import claimed, commit_offsets, find_offsets
@@ -120,19 +119,15 @@ def store_batches(
     folder = run_folder(spark, "batches", f"{root.rstrip('/')}/{SCRATCH}")
     try:
         if config.quarantine:
-            messages, invalid = split_invalid(messages)
-            invalid.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
+            flat, invalid, total = parse_once(messages, f"{folder}/parsed", [BATCH])
+            if total:
                 aside = _per_batch(invalid, n_rows=one)
-                if aside:
-                    total = sum(row["n_rows"] for row in aside.values())
-                    new = not_yet_aside(invalid, root, config.replay_safe, total)
-                    written_aside = _per_batch(new, n_rows=one)
-                    if written_aside:
-                        append_partitioned(new.drop(BATCH), store_path(root, n.QUARANTINE))
-            finally:
-                invalid.unpersist()
-        flat = flatten_messages(messages, keep=[*place, BATCH])
+                new = not_yet_aside(invalid, root, config.replay_safe, total)
+                written_aside = _per_batch(new, n_rows=one)
+                if written_aside:
+                    append_partitioned(new.drop(BATCH), store_path(root, n.QUARANTINE))
+        else:
+            flat = flatten_messages(messages, keep=[*place, BATCH])
         survivors, extent = write_survivors(flat, f"{folder}/survivors", (BATCH, n.ID))
         if extent.untimed:
             raise ValueError(

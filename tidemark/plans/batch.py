@@ -3,12 +3,11 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark import names as n
-from tidemark.functions.messages import flatten_messages, split_invalid
+from tidemark.functions.messages import VALID, flatten_messages, parse_messages, split_parsed
 from tidemark.operators.dedup import (
     Extent,
     anti_join_stored,
@@ -44,6 +43,18 @@ def _place(messages: DataFrame) -> list[str]:
     return [c for c in n.PLACE if c in messages.columns]
 
 
+def parse_once(
+    messages: DataFrame, path: str, keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame, int]:
+    """Flat rows of valid messages, invalid messages as they came and how many these are. The
+    messages are read and parsed once, into a table at `path`."""
+    seen = Observation()
+    parsed = parse_messages(messages, [*_place(messages), *keep])
+    invalid = F.count_if(~F.col(VALID)).alias("invalid")
+    table = write_once(parsed.observe(seen, invalid), path)
+    return *split_parsed(table), observed(seen, ["invalid"])["invalid"] or 0
+
+
 def process_batch(
     messages: DataFrame,
     dictionary: DataFrame,
@@ -69,11 +80,11 @@ def store_batch(
 ) -> BatchReport:
     """Process one bounded batch and append it to the stores below `root`.
 
-    Messages are read and parsed once, without `quarantine`. The survivors of the batch
-    and then its result are written tables in a folder that executors share
-    (`spark.checkpoint.dir`, or below `root`) and that is removed at the end: a store
-    that changes, or a lost executor, cannot set off a second look at what was there
-    before. The report counts what was written.
+    Messages are read and parsed once. The survivors of the batch and then its result are
+    written tables in a folder that executors share (`spark.checkpoint.dir`, or below
+    `root`) and that is removed at the end: a store that changes, or a lost executor, cannot
+    set off a second look at what was there before. The report counts what was written, by
+    what was observed while it was.
 
     `replay_safe` keeps a batch that is run again after a crash from adding its
     failed rows twice. `quarantine` sets invalid messages aside, whole, instead of
@@ -83,19 +94,14 @@ def store_batch(
     """
     spark = messages.sparkSession
     set_aside = written_aside = 0
-    if quarantine:
-        messages, invalid = split_invalid(messages)
-        invalid.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            set_aside = invalid.count()
-            if set_aside:
-                written_aside = append_quarantine(invalid, root, replay_safe, set_aside)
-        finally:
-            invalid.unpersist()
-
-    flat = flatten_messages(messages, keep=_place(messages))
     folder = run_folder(spark, "batch", f"{root.rstrip('/')}/{SCRATCH}")
     try:
+        if quarantine:
+            flat, invalid, set_aside = parse_once(messages, f"{folder}/parsed")
+            if set_aside:
+                written_aside = append_quarantine(invalid, root, replay_safe, set_aside)
+        else:
+            flat = flatten_messages(messages, keep=_place(messages))
         survivors, extent = write_survivors(flat, f"{folder}/survivors")
         if not extent.kept:
             return BatchReport(read=set_aside, invalid=written_aside, dup_stored=set_aside - written_aside)
