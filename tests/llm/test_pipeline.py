@@ -62,3 +62,16 @@ def test_stages_take_messy_and_empty_tables(spark):
             result = function(spark, docs, SF)
             assert name == "token_files" or result.columns == docs.columns
             result.collect()
+
+
+def test_intermediate_tables_are_removed(spark):
+    from pathlib import Path
+
+    from tidemark.llm import common
+
+    common.remove_written(spark)
+    frame = common.written(spark.range(5).toDF("x"), "removed")
+    (path,) = common._WRITTEN[spark.sparkContext.applicationId]
+    assert frame.count() == 5 and Path(path).exists()
+    assert common.remove_written(spark) == 1 and not Path(path).exists()
+    assert common.remove_written(spark) == 0

@@ -17,12 +17,16 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.scratch import local_folder
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most rows and bytes of a table that may be broadcast; each use counts them first.
 BROADCAST_ROWS = 100_000
 
 
 _SHIPPED: set[str] = set()
+#: Intermediate tables of each application.
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -55,25 +59,34 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
     A local session may name none and gets a temporary folder; any other must name one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-llm-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or local_folder(spark)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The frame, written once as a table in the shared folder and read back.
 
-    Later plans read the table, so that a lost executor costs no recomputation.
+    Later plans read the table, so that a lost executor costs no recomputation. It stays until
+    `remove_written`, as the result that is made of it may be read at any time.
     """
     spark = frame.sparkSession
     path = shared_folder(spark, label)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def remove_written(spark: SparkSession) -> int:
+    """Removes the application's intermediate tables, once the results made of them are saved;
+    returns how many there were."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    context = spark.sparkContext
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def open_folder(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a folder given as a path or URI, and the path in it."""
     if "://" not in folder and not folder.startswith("file:"):

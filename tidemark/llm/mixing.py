@@ -24,8 +24,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def mix_key(doc_id: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+def row_name() -> Column:
+    """What a row's key is made of: its id, or without one a hash of its text, so that very
+    many rows without an id are dealt over all ranges."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+
+
+def mix_key(name: Column, seed: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), name))
 
 
 def source_targets(
@@ -85,7 +91,7 @@ def mix(
 ) -> DataFrame:
     """How often each row is taken so that the sources meet their targets.
 
-    `rows`: row columns plus `doc_id`, `source`, `size` (long); all are kept, with
+    `rows`: row columns plus `doc_id`, `mix_name` (`row_name`), `source`, `size` (long); all are kept, with
     source_size, target and `epochs` added (0, 1 or 2 times). In each source rows are
     sorted by key; a prefix sum over the ranges of keys and one inside each range give
     the words before a row. Full epochs take every row; in the last one a row is taken
@@ -95,7 +101,7 @@ def mix(
     Null sources are a source of their own, rows without words are never taken, rows
     with one doc_id are told apart by size, and rows equal in both are interchangeable.
     """
-    keyed = rows.withColumn("mix_key", mix_key(F.col("doc_id"), seed)).withColumn(
+    keyed = rows.withColumn("mix_key", mix_key(F.col("mix_name"), seed)).withColumn(
         "mix_range", F.substring("mix_key", 1, RANGE_DIGITS)
     )
     ranges = written(
@@ -145,7 +151,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Extra columns travel along under any name, those of this operator included.
     """
     whole = docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), F.struct("*").alias("row")
+        "doc_id",
+        row_name().alias("mix_name"),
+        "source",
+        word_count(F.col("text")).alias("size"),
+        F.struct("*").alias("row"),
     )
     taken = mix(whole, **options).filter("epochs > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), "epochs"))).select("row.*")
@@ -153,7 +163,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    size = word_count(F.col("text")).alias("size")
+    sized = docs.select("doc_id", row_name().alias("mix_name"), "source", size)
     return mix(written(sized, "mix-sizes"), **options).select(
         "doc_id",
         "size",
@@ -170,7 +181,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix|' || coalesce(doc_id::VARCHAR, 'null')) AS k
+         md5('mix|' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS k
   FROM documents),
 per_source AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_bytes, open_folder, shared_folder, table, written
+from tidemark.llm.common import by_bytes, open_folder, shared_folder, table
 from tidemark.llm.tokens import BATCH_BYTES, VOCABULARY, Encoder
 
 END_ID = 0
@@ -204,7 +204,9 @@ def write_token_files(
         )
 
     manifest = "shard int, file string, n_docs long, n_ids long, n_frames long"
-    return written(ordered.mapInArrow(write, manifest), "token-manifest")
+    listed = f"{folder.rstrip('/')}-manifest"  # stays with the shards
+    ordered.mapInArrow(write, manifest).write.parquet(listed)
+    return docs.sparkSession.read.schema(manifest).parquet(listed)
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
