@@ -17,7 +17,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import shared_folder, ships_package, table
+from tidemark.llm.common import remove_written, shared_folder, ships_package, table
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.neardup import drop_near_duplicates
@@ -69,7 +69,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table `documents`; every stage's rows are in the shared folder."""
+    """All stages over the table `documents`; every stage's rows are in the shared folder, what
+    it made on the way is removed."""
     docs = table(spark, sf_dir, "documents")
     folder = shared_folder(spark, "corpus")
     for number, (name, stage) in enumerate(STAGES):
@@ -77,4 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         result = stage(spark, docs, sf_dir)
         result.write.parquet(path)
         docs = spark.read.schema(result.schema).parquet(path)
+        remove_written(spark)
     return docs
