@@ -243,6 +243,21 @@ def oracle_sql() -> dict[str, str]:
             select {RESULT}, 'success' as route from stored
             union all
             select {RESULT}, 'failed' as route from refused""",
+        "batch_slices": f"""with recursive {SLICES}
+            select partition, cast(slice as integer) as batch, low as start_offset,
+              high as end_offset
+            from ranges""",
+        "broker_batches": f"""with recursive {SLICES}
+            select {RESULT}, 'success' as route from stored
+            union all
+            select {RESULT}, 'failed' as route from refused""",
+        "quarantined_messages": f"""with {LOG}
+            select partition, "offset", value, "timestamp",
+              cast(year("timestamp") as integer) as year,
+              cast(week("timestamp") as integer) as week_number
+            from log where event_id % 97 = 0""",
+        "compacted_store": f"""with {ENRICHED}
+            select * from enriched where shop_name is not null""",
         "stream_ingest": f"""with recursive {SLICES}
             select {RESULT}, 'success' as route from stored
             union all

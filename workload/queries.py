@@ -1,6 +1,7 @@
 """One query per operator over the test tables."""
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +13,17 @@ from tidemark.functions.offset_text import (
     encode_offset_document,
     offsets_to_json,
 )
-from tidemark.operators import dedup, enrich, metrics, offsets
+from tidemark.operators import dedup, enrich, metrics, offsets, slices
 from tidemark.plans import backfill as backfill_plan
 from tidemark.plans import job
-from tidemark.plans.batch import process_batch
+from tidemark.plans.batch import process_batch, store_batch
 from tidemark.scratch import run_folder
-from tidemark.sources import broker, offset_table, store
+from tidemark.sources import broker, compaction, offset_table, store
 from tidemark.sources.dictionary import read_dictionary
 from tidemark.streaming.stream import ingest_stream
 from workload.log import (
     TOPIC,
+    TOPIC_PARTITIONS,
     dictionary,
     message_log,
     option_reader,
@@ -368,6 +370,50 @@ def backfill(spark, sf_dir):
     return both_stores(spark, config.write_to)
 
 
+def batch_slices(spark, sf_dir):
+    """The ranges that a backfill gives each batch, from bitmaps of the offsets."""
+    log = message_log(spark, sf_dir)
+    return slices.batch_slices(log, part_of_log(log, 3), backfill_plan.AT_ONCE)
+
+
+def broker_batches(spark, sf_dir):
+    """Batches planned and read by the connector's options, until nothing is new."""
+    log = log_table(spark, sf_dir)
+    config = replace(
+        job_config(spark, part_of_log(log, 3)),
+        broker=broker.subscription("broker:9092", TOPIC),
+        topic_partitions=TOPIC_PARTITIONS,
+    )
+    shops, read = dictionary(spark, sf_dir), option_reader(log)
+    while job.broker_batch(spark, config, shops, read):
+        pass
+    return both_stores(spark, config.write_to)
+
+
+def quarantined_messages(spark, sf_dir):
+    """What one batch sets aside, whole; its messages are parsed once."""
+    root = run_folder(spark, "stores")
+    log = message_log(spark, sf_dir).drop("key")
+    store_batch(log, dictionary(spark, sf_dir), root, quarantine=True)
+    aside = spark.read.parquet(store.store_path(root, n.QUARANTINE))
+    return aside.select(
+        n.PARTITION, n.OFFSET, m.value_text().alias("value"), "timestamp", n.YEAR, n.WEEK_NUMBER
+    )
+
+
+def compacted_store(spark, sf_dir):
+    """The success store of three batches after all its weeks were compacted."""
+    root = run_folder(spark, "stores")
+    rows = enrich.matched(enriched(spark, sf_dir)).persist()
+    for part in range(3):
+        store.append_success(rows.filter(F.col(n.ID) % 3 == part), root)
+    rows.unpersist()
+    weeks = store.read_store(spark, root).select(*n.STORE_PARTITIONS).distinct().collect()
+    for week in weeks:
+        compaction.compact_week(spark, root, n.SUCCESS, *week)
+    return store.read_store(spark, root)
+
+
 def stream_ingest(spark, sf_dir):
     """The log in three slices, as a backfill cuts it; each is one bounded micro-batch."""
     log_path, root, checkpoint = (run_folder(spark, x) for x in ("log", "stores", "stream"))
@@ -485,6 +531,10 @@ def queries() -> dict[str, Query]:
         "distribute_by_partition": distribute_by_partition,
         "incremental_batch": incremental_batch,
         "backfill": backfill,
+        "batch_slices": batch_slices,
+        "broker_batches": broker_batches,
+        "quarantined_messages": quarantined_messages,
+        "compacted_store": compacted_store,
         "stream_ingest": stream_ingest,
         "run_metrics": run_metrics,
         "partition_lag": partition_lag,
