@@ -554,8 +554,9 @@ def test_a_batch_takes_few_jobs(spark, tmp_path):
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
     assert report.success and report.failed
-    # adaptive execution runs each shuffle as a job: survivors, result and each store
-    assert jobs <= 8
+    # adaptive execution runs each shuffle as a job: survivors, result and each store; ids of
+    # so small a batch are collected
+    assert jobs <= 9
 
 
 def test_metrics_of_nothing_are_zero(spark):

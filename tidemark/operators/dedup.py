@@ -133,8 +133,8 @@ def anti_join_stored(
     if id_range is not None and None not in id_range:
         known = known.filter(F.col(n.ID).between(*id_range))
     if batch_rows is not None and batch_rows <= LITERAL_IDS:
-        ids = [row[0] for row in batch.select(n.ID).filter(F.col(n.ID).isNotNull()).distinct().collect()]
-        known = known.filter(is_any_of(n.ID, ids))
+        ids = {row[0] for row in batch.select(n.ID).collect()} - {None}
+        known = known.filter(is_any_of(n.ID, sorted(ids)))
     return missing_from(batch, known, n.STORE_KEY, batch_rows)
 
 

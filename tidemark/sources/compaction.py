@@ -90,11 +90,20 @@ def _ruled_out(files: _Files, folder: str) -> dict[str, list[str]]:
     return found
 
 
+def _any_of(folders: Iterable[str]) -> str:
+    folders = list(folders)
+    return f"{{{','.join(folders)}}}" if len(folders) > 1 else folders[0]
+
+
+def has_any(spark: SparkSession, base: str, folders: Iterable[str]) -> bool:
+    """Whether one of the directories below `base` is there."""
+    return bool(_Files(spark, base).glob(f"{base}/{_any_of(folders)}"))
+
+
 def is_compacted(spark: SparkSession, base: str, folders: Iterable[str]) -> bool:
     """Whether a marker lies in one of the directories below `base`."""
-    files, folders = _Files(spark, base), list(folders)
-    where = f"{{{','.join(folders)}}}" if len(folders) > 1 else folders[0]
-    return bool(files.glob(f"{base}/{where}/{{{PENDING},{REPLACED}}}*"))
+    markers = f"{{{PENDING},{REPLACED}}}*"
+    return bool(_Files(spark, base).glob(f"{base}/{_any_of(folders)}/{markers}"))
 
 
 def readable_files(spark: SparkSession, base: str, folders: Iterable[str]) -> list[str]:

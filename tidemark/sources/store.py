@@ -11,7 +11,7 @@ from tidemark.functions.messages import arrival_time, arrival_week, arrival_year
 from tidemark.operators.dedup import missing_from, only_weeks
 from tidemark.operators.enrich import matched, unmatched
 from tidemark.scratch import observed
-from tidemark.sources.compaction import is_compacted, readable_files
+from tidemark.sources.compaction import has_any, is_compacted, readable_files
 
 # Up to this many weeks are named one by one when a store is listed.
 MAX_LISTED_WEEKS = 200
@@ -43,6 +43,8 @@ def read_store(
         if len(known) <= MAX_LISTED_WEEKS:
             folders = [f"{n.YEAR}={year}/{n.WEEK_NUMBER}={week}" for year, week in known]
             path = f"{base}/{{{','.join(folders)}}}"
+    if not has_any(spark, base, folders):
+        return _no_rows(spark, schema)
     paths = [path]
     if is_compacted(spark, base, folders):
         paths = readable_files(spark, base, folders)
